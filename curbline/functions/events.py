@@ -39,13 +39,16 @@ CONFORMED_FLOWS = ("yellow_trips_2025", "yellow_trips_2025_quarantine", "taxi_zo
 def object_text(json: Column) -> Column:
     """The text of a JSON object, also when it was encoded a second time as a string.
 
-    Anything that is not an object (broken text, arrays, numbers) gives NULL.
+    Anything that is not an object (broken text, arrays, numbers) gives ''. Reading the text
+    back as a member parses it as a whole and decodes a string; the second reading does the
+    same for what was inside. The input is named once only, so that Catalyst can push
+    filters through a chain of these without multiplying it.
     """
-    unwrapped = F.when(
-        F.ltrim(json).startswith('"'),
-        F.get_json_object(F.concat(F.lit('{"v":'), json, F.lit("}")), "$.v"),
-    ).otherwise(json)
-    return F.when(F.json_object_keys(unwrapped).isNotNull(), unwrapped)
+    return F.regexp_extract(_as_value(_as_value(json)), r"^(\{[\s\S]*)$", 1)
+
+
+def _as_value(json: Column) -> Column:
+    return F.get_json_object(F.concat(F.lit('{"v":'), json, F.lit("}")), "$.v")
 
 
 def member(json_object: Column, name: str) -> Column:
@@ -61,23 +64,16 @@ def first_number(json_object: Column, key: str) -> Column:
     found = F.regexp_extract(
         json_object, rf'"{key}"\s*:\s*(-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false)', 1
     )
-    return (
-        F.when(found == "true", F.lit(1.0))
-        .when(found == "false", F.lit(0.0))
-        .otherwise(F.nullif(found, F.lit("")).try_cast("double"))
-    )
+    for word, digit in (("true", "1"), ("false", "0")):
+        found = F.replace(found, F.lit(word), F.lit(digit))
+    return found.try_cast("double")
 
 
 def event_instant(text: Column) -> Column:
     """ISO text to an instant: no zone means UTC, unreadable text means NULL."""
-    clean = F.trim(text)
-    dated = F.when(
-        clean.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(clean, F.lit("T00:00:00"))
-    ).otherwise(clean)
-    zoned = F.when(dated.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), dated).otherwise(
-        F.concat(dated, F.lit("Z"))
-    )
-    return F.when(clean.rlike(r"^\d{4}-?\d{2}-?\d{2}"), F.try_to_timestamp(zoned))
+    full = F.regexp_replace(F.trim(text), r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00")
+    zoned = F.regexp_replace(full, r"(?<!Z)(?<![+-]\d{2}:\d{2})(?<![+-]\d{4})$", "Z")
+    return F.try_to_timestamp(F.regexp_extract(zoned, r"^(\d{4}-\d{2}-\d{2}T?.*)$", 1))
 
 
 def short_flow_name(flow_name: Column) -> Column:

@@ -49,7 +49,8 @@ def with_flow_timings(
     return joined.withColumns(
         {
             "observed_duration_seconds": F.when(
-                stops, F.greatest(_seconds(started, F.col("event_time")), F.lit(SHORTEST_RUN))
+                stops & started.isNotNull(),
+                F.greatest(_seconds(started, F.col("event_time")), F.lit(SHORTEST_RUN)),
             ),
             "observed_queue_seconds": F.when(
                 stops & queued.isNotNull(), F.greatest(_seconds(queued, started), F.lit(0.0))

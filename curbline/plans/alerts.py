@@ -94,18 +94,23 @@ def _expectations(flow_progress: Column) -> Column:
 
     def entry(item: Column) -> Column:
         item = ev.object_text(item)
-        passed, failed = (ev.first_number(item, f"{c}_records") for c in ("passed", "failed"))
         return F.struct(
             text.squeezed(ev.member(item, "name"), 120).alias("name"),
             text.squeezed(ev.member(item, "dataset"), 120).alias("dataset"),
-            passed.alias("passed_records"),
-            failed.alias("failed_records"),
-            F.try_divide(failed, passed + failed).alias("failure_ratio"),
+            ev.first_number(item, "passed_records").alias("passed_records"),
+            ev.first_number(item, "failed_records").alias("failed_records"),
         )
 
-    entries = F.transform(F.coalesce(items, F.array().cast("array<string>")), entry)
-    return F.filter(
-        entries, lambda e: e.passed_records.isNotNull() & e.failed_records.isNotNull()
+    counted = F.filter(
+        F.transform(F.coalesce(items, F.array().cast("array<string>")), entry),
+        lambda e: e.passed_records.isNotNull() & e.failed_records.isNotNull(),
+    )
+    return F.transform(
+        counted,
+        lambda e: e.withField(
+            "failure_ratio",
+            F.try_divide(e.failed_records, e.passed_records + e.failed_records),
+        ),
     )
 
 

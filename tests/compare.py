@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -64,6 +65,9 @@ def main(sf_dir: str, keys: list[str]) -> int:
 
     from curbline.session import local_session
 
+    import faulthandler
+
+    faulthandler.dump_traceback_later(int(os.environ.get("CHECK_SECONDS", "600")), exit=True)
     spark = local_session()
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, oracles = duck(sf_dir), entry.queries(), entry.oracle_sql()
