@@ -215,9 +215,13 @@ def with_payload(events: DataFrame, settings: AlertSettings) -> DataFrame:
     )
 
 
-def alerts(log: DataFrame, settings: AlertSettings) -> DataFrame:
-    """The whole way from the log to alert rows; every event advances the flow clocks."""
-    timed = with_output_rate(with_flow_timings(normalized_events(log)))
+def alerts(events: DataFrame, settings: AlertSettings) -> DataFrame:
+    """From normalized events to alert rows; every event advances the flow clocks.
+
+    Best given a written table of normalized events: parsing is the costly part, and over a
+    plain view Catalyst would repeat it for each pushed filter and each side of a join.
+    """
+    timed = with_output_rate(with_flow_timings(events))
     return with_payload(emitted(graded(timed, settings), settings), settings).withColumn(
         "observed_time", F.current_timestamp()
     )

@@ -15,7 +15,7 @@ from curbline.operators.flow_timings import with_flow_timings, with_output_rate
 from curbline.operators.layout import write_clustered
 from curbline.operators import slicing
 from curbline.operators.slicing import Slice, widget_query
-from curbline.plans import alerts, marts, widgets
+from curbline.plans import alerts, marts, tables, widgets
 from curbline.plans.refresh import TRIP_KEYS
 from curbline.session import new_work_dir
 from curbline.sources import derived, landing, rescue
@@ -66,11 +66,11 @@ def query(function: Query) -> Query:
 
 
 def raw(spark: SparkSession, d: str) -> DataFrame:
-    return derived.trips(spark, d)
+    return tables.raw_trips(spark, d)
 
 
 def good(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.accepted_trips(raw(spark, d), RULES)
+    return tables.accepted_trips(spark, d)
 
 
 def zones(spark: SparkSession) -> DataFrame:
@@ -78,8 +78,7 @@ def zones(spark: SparkSession) -> DataFrame:
 
 
 def dataset(spark: SparkSession, d: str, name: str) -> DataFrame:
-    built = marts.MARTS[name](good(spark, d), zones(spark))
-    return built.select(*widgets.dataset_fields(name))
+    return tables.mart(spark, d, name).select(*widgets.dataset_fields(name))
 
 
 def widget(spark: SparkSession, d: str, name: str, where: Slice = Slice()) -> DataFrame:
@@ -298,7 +297,7 @@ def rejection_reasons(spark, d):
 
 @query
 def accepted_trips(spark, d):
-    return good(spark, d)
+    return enrich.accepted_trips(raw(spark, d), RULES)
 
 
 @query
@@ -378,7 +377,7 @@ def expectation_breaches(spark, d):
 
 @query
 def failure_drill(spark, d):
-    updates = alerts.normalized_events(derived.event_log(spark, d)).select("update_id").distinct()
+    updates = tables.events(spark, d).select("update_id").distinct()
     return quality.drill(updates).drop("evaluated_at")
 
 
@@ -523,7 +522,7 @@ def widget_all_aggs(spark, d):
 
 
 def all_datasets(spark, d):
-    return widgets.datasets(good(spark, d), zones(spark))
+    return {name: dataset(spark, d, name) for name in marts.MARTS}
 
 
 @query
@@ -679,7 +678,7 @@ def ternary_coordinates(spark, d):
 
 
 def events(spark, d):
-    return alerts.normalized_events(derived.event_log(spark, d))
+    return tables.events(spark, d)
 
 
 def timed(spark, d):
@@ -695,7 +694,7 @@ def event_parse(spark, d):
 
 @query
 def event_text_clean(spark, d):
-    return derived.event_log(spark, d).select(
+    return tables.event_log(spark, d).select(
         "id", text.squeezed(F.col("message"), 60).alias("message_60")
     )
 
@@ -742,7 +741,7 @@ def flow_timings(spark, d):
 def flow_timings_stream(spark, d):
     """The log lands in three parts, in order of time; each part triggers one stream run."""
     base = new_work_dir(spark, "clock")
-    log = derived.event_log(spark, d).withColumn(
+    log = tables.event_log(spark, d).withColumn(
         "__at", F.coalesce(alerts.ev.event_instant(F.col("timestamp")), F.lit(0).cast("timestamp"))
     )
     cuts = [F.lit(day).cast("timestamp") for day in ("2024-01-11", "2024-01-21")]
@@ -780,7 +779,7 @@ PAYLOAD = [
 
 @query
 def alert_payloads(spark, d):
-    return alerts.alerts(derived.event_log(spark, d), SETTINGS).select(*PAYLOAD)
+    return alerts.alerts(tables.events(spark, d), SETTINGS).select(*PAYLOAD)
 
 
 @query
@@ -796,7 +795,7 @@ def metric_formatting(spark, d):
 
 
 def _messages(spark, d):
-    return alerts.with_message_texts(alerts.alerts(derived.event_log(spark, d), SETTINGS), SETTINGS)
+    return alerts.with_message_texts(alerts.alerts(tables.events(spark, d), SETTINGS), SETTINGS)
 
 
 @query

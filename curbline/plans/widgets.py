@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from curbline.operators.slicing import Slice, widget_query
-from curbline.plans.marts import MARTS
 
 FILTER_FIELDS = ("pickup_hour", "trip_date", "pickup_borough", "airport_flag")
 
@@ -60,11 +59,6 @@ def dataset_fields(name: str) -> list[str]:
     return list(dict.fromkeys(fields))
 
 
-def datasets(trips: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
-    """The six dataset projections, each straight from its mart."""
-    return {name: build(trips, zones).select(*dataset_fields(name)) for name, build in MARTS.items()}
-
-
 def widget(dataset: DataFrame, name: str, where: Slice = Slice()) -> DataFrame:
     sums: Mapping[str, tuple[str, str]] = {c: ("sum", c) for c in WIDGET_SUMS[name]}
     return widget_query(dataset, WIDGET_DIMS[name], sums, where)

@@ -22,7 +22,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         F.expr(
             "l_orderkey * 7919 + l_partkey * 104729 + l_suppkey * 1299709"
-            " + l_linenumber * 15485863 + cast(l_quantity AS bigint) * 32452843"
+            " + cast(l_linenumber AS bigint) * 15485863 + cast(l_quantity AS bigint) * 32452843"
         ).alias("h"),
     )
     pickup = (
