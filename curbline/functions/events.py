@@ -44,29 +44,33 @@ def object_text(json: Column) -> Column:
     same for what was inside. The input is named once only, so that Catalyst can push
     filters through a chain of these without multiplying it.
     """
-    return F.regexp_extract(_as_value(_as_value(json)), r"^(\{[\s\S]*)$", 1)
+    return F.regexp_extract(value_text(value_text(json)), r"^(\{[\s\S]*)$", 1)
 
 
-def _as_value(json: Column) -> Column:
+def value_text(json: Column) -> Column:
+    """Any JSON value as text: strings are decoded, objects and arrays stay JSON."""
     return F.get_json_object(F.concat(F.lit('{"v":'), json, F.lit("}")), "$.v")
 
 
-def member(json_object: Column, name: str) -> Column:
-    """A member as text: strings lose their quotes, objects and arrays stay JSON."""
-    return F.get_json_object(json_object, f"$.{name}")
+NUMBER = r"(-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false)"
 
 
-def first_number(json_object: Column, key: str) -> Column:
-    """The first numeric value of ``key`` at any depth, in document order.
+def metric_matches(json_object: Column, group: int) -> Column:
+    """All numeric metrics of a document, at any depth and in document order: their keys
+    (group 1) or their values as text (group 2), found in one scan.
 
     Quotes inside encoded strings are preceded by a backslash, so nested text cannot match.
     """
-    found = F.regexp_extract(
-        json_object, rf'"{key}"\s*:\s*(-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false)', 1
-    )
+    pattern = rf'"({"|".join(METRIC_KEYS)})"\s*:\s*{NUMBER}'
+    return F.regexp_extract_all(json_object, F.lit(pattern), F.lit(group))
+
+
+def first_metric(keys: Column, values: Column, key: str) -> Column:
+    """The first value of ``key``, NULL when it is not there."""
+    text = F.get(values, (F.array_position(keys, F.lit(key)) - 1).cast("int"))
     for word, digit in (("true", "1"), ("false", "0")):
-        found = F.replace(found, F.lit(word), F.lit(digit))
-    return found.try_cast("double")
+        text = F.replace(text, F.lit(word), F.lit(digit))
+    return text.try_cast("double")
 
 
 def event_instant(text: Column) -> Column:

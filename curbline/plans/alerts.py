@@ -37,46 +37,66 @@ class AlertSettings:
         return url.rstrip("/")
 
 
+# Members read at each level. Text members come decoded when they were strings and as JSON
+# when they were objects, so a level that was encoded a second time reads like any other.
+ORIGIN = "pipeline_id string, pipeline_name string, update_id string, flow_name string, dataset_name string"
+DETAILS = "flow_progress string, update_progress string"
+PROGRESS = "name string, state string, status string, data_quality string"
+QUALITY = "expectations array<string>"
+ENTRY = "name string, dataset string, passed_records double, failed_records double"
+
+
 def normalized_events(log: DataFrame) -> DataFrame:
-    """Parsed and cleaned columns of the two event types that matter, one row per event."""
-    origin, progress = F.col("__origin"), F.col("__progress")
+    """Parsed and cleaned columns of the two event types that matter, one row per event.
+
+    Each JSON level is parsed once, in a projection of its own.
+    """
     parsed = (
         log.withColumn("event_type", text.squeezed(F.col("event_type"), 80))
         .where(F.col("event_type").isin(*EVENT_TYPES))
         .withColumns(
             {
-                "__origin": ev.object_text(F.col("origin")),
-                "__details": ev.object_text(F.col("details")),
+                "__origin": F.from_json(ev.value_text(F.col("origin")), ORIGIN),
+                "__text": ev.object_text(F.col("details")),
             }
         )
-        .withColumn("__flow", ev.object_text(ev.member(F.col("__details"), "flow_progress")))
-        .withColumn(
-            "__progress",
-            F.when(F.col("event_type") == "flow_progress", F.col("__flow")).otherwise(
-                ev.object_text(ev.member(F.col("__details"), "update_progress"))
-            ),
+        .withColumns(
+            {
+                "__details": F.from_json("__text", DETAILS),
+                "__metric_keys": ev.metric_matches(F.col("__text"), 1),
+                "__metric_values": ev.metric_matches(F.col("__text"), 2),
+            }
+        )
+        .withColumns(
+            {
+                "__flow": F.from_json("__details.flow_progress", PROGRESS),
+                "__update": F.from_json("__details.update_progress", PROGRESS),
+            }
         )
     )
     flow_name = _first_text(
-        ev.member(origin, "flow_name"),
-        ev.member(origin, "dataset_name"),
-        ev.member(F.col("__flow"), "name"),
+        F.col("__origin.flow_name"), F.col("__origin.dataset_name"), F.col("__flow.name")
     )
-    state = _first_text(ev.member(progress, "state"), ev.member(progress, "status"))
+    states = [
+        _first_text(F.col(f"{part}.state"), F.col(f"{part}.status"))
+        for part in ("__flow", "__update")
+    ]
+    state = F.when(F.col("event_type") == "flow_progress", states[0]).otherwise(states[1])
+    keys, values = F.col("__metric_keys"), F.col("__metric_values")
     return (
         parsed.select(
             text.squeezed(F.col("id"), 120).alias("event_id"),
             "event_type",
-            text.squeezed(ev.member(origin, "pipeline_id"), 100).alias("pipeline_id"),
-            text.squeezed(ev.member(origin, "pipeline_name"), 160).alias("pipeline_name"),
-            text.squeezed(ev.member(origin, "update_id"), 100).alias("update_id"),
+            text.squeezed(F.col("__origin.pipeline_id"), 100).alias("pipeline_id"),
+            text.squeezed(F.col("__origin.pipeline_name"), 160).alias("pipeline_name"),
+            text.squeezed(F.col("__origin.update_id"), 100).alias("update_id"),
             text.squeezed(flow_name, 160).alias("flow_name"),
             F.upper(text.squeezed(state, 50)).alias("state"),
             ev.event_instant(F.col("timestamp")).alias("event_time"),
             text.squeezed(F.col("timestamp"), 80).alias("event_time_text"),
             text.squeezed(F.col("message"), 500).alias("event_message"),
-            *[ev.first_number(F.col("__details"), key).alias(key) for key in ev.METRIC_KEYS],
-            _expectations(F.col("__flow")).alias("expectations"),
+            *[ev.first_metric(keys, values, key).alias(key) for key in ev.METRIC_KEYS],
+            _expectations(F.col("__flow.data_quality")).alias("expectations"),
         )
         .withColumn("flow_key", ev.short_flow_name(F.col("flow_name")))
         .withColumn("layer", ev.flow_layer(F.col("flow_key")))
@@ -87,23 +107,23 @@ def _first_text(*candidates: Column) -> Column:
     return F.coalesce(*[text.blank_to_null(c) for c in candidates])
 
 
-def _expectations(flow_progress: Column) -> Column:
+def _expectations(data_quality: Column) -> Column:
     """Expectation counts as an array of structs; entries without numbers are left out."""
-    quality = ev.object_text(ev.member(flow_progress, "data_quality"))
-    items = F.from_json(ev.member(quality, "expectations"), "array<string>")
-
-    def entry(item: Column) -> Column:
-        item = ev.object_text(item)
-        return F.struct(
-            text.squeezed(ev.member(item, "name"), 120).alias("name"),
-            text.squeezed(ev.member(item, "dataset"), 120).alias("dataset"),
-            ev.first_number(item, "passed_records").alias("passed_records"),
-            ev.first_number(item, "failed_records").alias("failed_records"),
-        )
-
-    counted = F.filter(
-        F.transform(F.coalesce(items, F.array().cast("array<string>")), entry),
-        lambda e: e.passed_records.isNotNull() & e.failed_records.isNotNull(),
+    items = F.from_json(data_quality, QUALITY)["expectations"]
+    entries = F.transform(
+        F.coalesce(items, F.array().cast("array<string>")), lambda item: F.from_json(item, ENTRY)
+    )
+    counted = F.transform(
+        F.filter(
+            entries,
+            lambda e: e["passed_records"].isNotNull() & e["failed_records"].isNotNull(),
+        ),
+        lambda e: F.struct(
+            text.squeezed(e["name"], 120).alias("name"),
+            text.squeezed(e["dataset"], 120).alias("dataset"),
+            e["passed_records"].alias("passed_records"),
+            e["failed_records"].alias("failed_records"),
+        ),
     )
     return F.transform(
         counted,

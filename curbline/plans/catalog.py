@@ -750,7 +750,12 @@ def flow_timings_stream(spark, d):
     for number, part in enumerate(parts):
         log.where(part).drop("__at").write.mode("overwrite").parquet(f"{base}/log/part={number}")
         flow_clock.time_flows(
-            spark, f"{base}/log", f"{base}/timings", f"{base}/clocks", f"{base}/checkpoint"
+            spark,
+            f"{base}/log",
+            f"{base}/parsed",
+            f"{base}/timings",
+            f"{base}/clocks",
+            f"{base}/checkpoint",
         )
     return with_output_rate(spark.read.parquet(f"{base}/timings")).select(*TIMING)
 

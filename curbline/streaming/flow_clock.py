@@ -17,9 +17,9 @@ LOG_DDL = (
 
 
 def time_flows(
-    spark: SparkSession, log_path: str, timings: str, clocks: str, checkpoint: str
+    spark: SparkSession, log_path: str, parsed: str, timings: str, clocks: str, checkpoint: str
 ) -> StreamingQuery:
-    """Append the timings of every terminal event.
+    """Append the timings of every terminal event, and the parsed events they came from.
 
     A keyed state function would hand all of a busy flow's events in a micro-batch to one
     task. Here a micro-batch goes through the same bucketed operator as a batch job, and
@@ -33,14 +33,16 @@ def time_flows(
         before = session.createDataFrame([], STATE_DDL)
         if batch_id > 0:
             before = session.read.schema(STATE_DDL).parquet(f"{clocks}/batch={batch_id - 1}")
-        events = normalized_events(batch)
+        here = f"batch={batch_id}"
+        normalized_events(batch).write.mode("overwrite").parquet(f"{parsed}/{here}")
+        events = session.read.parquet(f"{parsed}/{here}")
         (
             with_flow_timings(events, before)
             .where(F.col("state").isin(*TERMINAL_STATES))
             .write.mode("overwrite")
-            .parquet(f"{timings}/batch={batch_id}")
+            .parquet(f"{timings}/{here}")
         )
-        running_clocks(events, before).write.mode("overwrite").parquet(f"{clocks}/batch={batch_id}")
+        running_clocks(events, before).write.mode("overwrite").parquet(f"{clocks}/{here}")
 
     return finish(
         stream.writeStream.foreachBatch(advance)
