@@ -117,10 +117,14 @@ def _evolved(spark, d):
     return ingest.read_evolved(spark, f"{base}/bronze", f"{base}/schemas")
 
 
+def _evolved_table(spark, d):
+    return tables.stored(spark, d, "evolved_trips", lambda: _evolved(spark, d))
+
+
 @query
 def ingest_schema_evolution(spark, d):
     return (
-        _evolved(spark, d)
+        _evolved_table(spark, d)
         .groupBy(F.month("tpep_pickup_datetime").alias("pickup_month"))
         .agg(
             F.count(F.lit(1)).alias("row_count"),
@@ -132,7 +136,7 @@ def ingest_schema_evolution(spark, d):
 
 @query
 def rescue_misfit_columns(spark, d):
-    return _evolved(spark, d).select(
+    return _evolved_table(spark, d).select(
         "tpep_pickup_datetime", "PULocationID", "DOLocationID", "trip_distance", "surge_zone",
         rescue.RESCUED,
     )

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -46,3 +46,13 @@ def shared_dir(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, unused path below the shared folder."""
     return f"{shared_dir(spark)}/curbline/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def spread_if_narrow(scan: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that has fewer splits than there are cores.
+
+    A table in one small file is one split, so one task would do all work above it. Large
+    tables have many splits and are left alone: no shuffle is added to them.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -9,17 +9,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbline.session import spread_if_narrow
+
 ZONE_COUNT = 263
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw trip per ``lineitem`` row, some of them bad on purpose."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    hashed = lines.select(
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
+    )
+    hashed = spread_if_narrow(lines).select(
         "l_quantity",
+        "l_orderkey",
         "l_partkey",
         "l_suppkey",
-        "l_orderkey",
         F.expr(
             "l_orderkey * 7919 + l_partkey * 104729 + l_suppkey * 1299709"
             " + cast(l_linenumber AS bigint) * 15485863 + cast(l_quantity AS bigint) * 32452843"
@@ -122,7 +126,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Covers the odd cases: names under other keys or missing, state under another key or in
     lower case, text encoded twice, cut-off text, unreadable and zone-less times.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    events = spread_if_narrow(spark.read.parquet(f"{sf_dir}/events.parquet")).select(
         F.col("event_id").alias("n"),
         "ts",
         F.col("user_id").alias("u"),
