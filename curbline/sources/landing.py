@@ -14,14 +14,18 @@ PARQUET_MARK = b"PAR1"
 
 
 def landed_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """Path, size and time of each file. The content column is pruned, so nothing is read."""
-    return (
+    """The path of each file, empty ones included. No content is read.
+
+    A scan would leave empty files out, so the names come from the file listing, which the
+    driver makes for any scan; checking the files is left to the tasks.
+    """
+    listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(root)
-        .select("path", "length", "modificationTime")
     )
+    return spark.createDataFrame([(path,) for path in listing.inputFiles()], "path string")
 
 
 def audit_files(files: DataFrame, minimum_bytes: int = MINIMUM_BYTES) -> DataFrame:
@@ -35,27 +39,20 @@ def audit_files(files: DataFrame, minimum_bytes: int = MINIMUM_BYTES) -> DataFra
         from pyarrow import fs
 
         for batch in batches:
-            marked = []
+            sizes, marked = [], []
             for path in batch["path"]:
                 store, inner = fs.FileSystem.from_uri(path)
                 with store.open_input_file(inner) as handle:
                     size = handle.size()
-                    head = handle.read_at(4, 0) if size >= 8 else b""
-                    tail = handle.read_at(4, size - 4) if size >= 8 else b""
-                marked.append(head == PARQUET_MARK and tail == PARQUET_MARK)
-            yield batch[["path", "length"]].assign(has_marks=marked)
-
-    ends = files.select("path", "length").mapInPandas(
-        both_ends, "path string, length bigint, has_marks boolean"
-    )
-    return ends.select(
-        "path",
-        F.col("length").alias("bytes"),
-        "has_marks",
-        (F.col("length") >= minimum_bytes).alias("is_large_enough"),
-        F.when(F.col("has_marks") & (F.col("length") >= minimum_bytes), "valid")
-        .otherwise("invalid")
-        .alias("status"),
+                    ends = (handle.read_at(4, 0), handle.read_at(4, size - 4)) if size >= 8 else ()
+                sizes.append(size)
+                marked.append(ends == (PARQUET_MARK, PARQUET_MARK))
+            yield pd.DataFrame({"path": batch["path"], "bytes": sizes, "has_marks": marked})
+
+    ends = files.mapInPandas(both_ends, "path string, bytes bigint, has_marks boolean")
+    large = F.col("bytes") >= minimum_bytes
+    return ends.withColumn("is_large_enough", large).withColumn(
+        "status", F.when(F.col("has_marks") & large, "valid").otherwise("invalid")
     )
 
 
