@@ -23,3 +23,11 @@ def write_clustered(
     order = [*keys, *spread]
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     ranged.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
+def publish_table(df: DataFrame, name: str, path: str, layer: str, comment: str) -> None:
+    """Register ``df`` as a catalog table with its layer and purpose as metadata."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").option("path", path).saveAsTable(name)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = :layer)", {"layer": layer})
+    spark.sql(f"COMMENT ON TABLE {name} IS :comment", {"comment": comment})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from curbline.functions import events as ev
 from curbline.functions import text
-from curbline.operators.flow_timings import with_flow_timings, with_output_rate
+from curbline.operators.flow_timings import FLOW_KEY, with_flow_timings, with_output_rate
 
 EVENT_TYPES = ("update_progress", "flow_progress")
 OBSERVED = ("observed_duration_seconds", "observed_queue_seconds", "avg_output_rows_per_second")
@@ -195,7 +195,7 @@ def graded(events: DataFrame, settings: AlertSettings) -> DataFrame:
     ).drop("__failed", "__odd_end", "__breaches")
 
 
-def emitted(events: DataFrame, settings: AlertSettings) -> DataFrame:
+def is_emitted(settings: AlertSettings) -> Column:
     """Everything that is not ``info``, and the final metrics of monitored flows."""
     final_metrics = (
         F.lit(settings.emit_flow_metrics)
@@ -203,7 +203,7 @@ def emitted(events: DataFrame, settings: AlertSettings) -> DataFrame:
         & F.col("state").isin(*ev.TERMINAL_STATES)
         & F.col("is_monitored")
     )
-    return events.where((F.col("severity") != "info") | final_metrics)
+    return (F.col("severity") != "info") | final_metrics
 
 
 def with_payload(events: DataFrame, settings: AlertSettings) -> DataFrame:
@@ -235,14 +235,33 @@ def with_payload(events: DataFrame, settings: AlertSettings) -> DataFrame:
     )
 
 
-def alerts(events: DataFrame, settings: AlertSettings) -> DataFrame:
+# What an event needs to advance a clock.
+CLOCK_COLUMNS = (*FLOW_KEY, "state", "event_time", "event_id")
+CLOCK_STATES = (*ev.QUEUED_STATES, *ev.STARTED_STATES, *ev.TERMINAL_STATES)
+
+
+def alerts(
+    events: DataFrame, settings: AlertSettings, carried: DataFrame | None = None
+) -> DataFrame:
     """From normalized events to alert rows; every event advances the flow clocks.
 
+    Grading does not depend on the clocks, so it comes first: events that neither raise an
+    alert nor move a clock are gone before the timing shuffle, and those that only move a
+    clock go through it without their message, metrics and expectations.
+
     Best given a written table of normalized events: parsing is the costly part, and over a
     plain view Catalyst would repeat it for each pushed filter and each side of a join.
     """
-    timed = with_output_rate(with_flow_timings(events))
-    return with_payload(emitted(graded(timed, settings), settings), settings).withColumn(
+    judged = graded(events, settings).withColumn("__emit", is_emitted(settings))
+    emit = F.col("__emit")
+    slim = judged.where(emit | F.col("state").isin(*CLOCK_STATES)).select(
+        *[
+            F.col(c) if c in CLOCK_COLUMNS else F.when(emit, F.col(c)).alias(c)
+            for c in judged.columns
+        ]
+    )
+    timed = with_output_rate(with_flow_timings(slim, carried))
+    return with_payload(timed.where(emit).drop("__emit"), settings).withColumn(
         "observed_time", F.current_timestamp()
     )
 

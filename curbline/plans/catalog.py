@@ -741,10 +741,9 @@ def flow_timings(spark, d):
     return timed(spark, d).where(ended).select(*TIMING)
 
 
-@query
-def flow_timings_stream(spark, d):
+def _watched(spark, d):
     """The log lands in three parts, in order of time; each part triggers one stream run."""
-    base = new_work_dir(spark, "clock")
+    base = new_work_dir(spark, "watch")
     log = tables.event_log(spark, d).withColumn(
         "__at", F.coalesce(alerts.ev.event_instant(F.col("timestamp")), F.lit(0).cast("timestamp"))
     )
@@ -753,15 +752,20 @@ def flow_timings_stream(spark, d):
     parts = (at < cuts[0], (at >= cuts[0]) & (at < cuts[1]), at >= cuts[1])
     for number, part in enumerate(parts):
         log.where(part).drop("__at").write.mode("overwrite").parquet(f"{base}/log/part={number}")
-        flow_clock.time_flows(
-            spark,
-            f"{base}/log",
-            f"{base}/parsed",
-            f"{base}/timings",
-            f"{base}/clocks",
-            f"{base}/checkpoint",
+        flow_clock.watch_events(
+            spark, f"{base}/log", f"{base}/out", f"{base}/checkpoint", SETTINGS
         )
-    return with_output_rate(spark.read.parquet(f"{base}/timings")).select(*TIMING)
+    return f"{base}/out"
+
+
+@query
+def flow_timings_stream(spark, d):
+    return with_output_rate(spark.read.parquet(f"{_watched(spark, d)}/timings")).select(*TIMING)
+
+
+@query
+def alerts_stream(spark, d):
+    return flow_clock.read_alerts(spark, _watched(spark, d)).select(*PAYLOAD)
 
 
 @query

@@ -785,6 +785,7 @@ FINALS["alert_payloads"] = f"""
            'slack' AS destination_key, 'integration' AS environment, pipeline_id, pipeline_name, update_id,
            flow_name, flow_key, layer, event_type, state, severity, condition, event_time_text, message,
            monitor_key, diagnostic_url, num_output_rows, {OBSERVED} FROM payloads"""
+FINALS["alerts_stream"] = FINALS["alert_payloads"]
 FINALS["metric_formatting"] = f"""
     SELECT event_id, {number_text('num_output_rows')} AS rows_text,
            {number_text('processed_rows_per_second')} AS rate_text,

@@ -1,4 +1,4 @@
-"""Flow timings over an event stream, with the running clocks kept between micro-batches."""
+"""Alerts and flow timings over an event stream; running clocks pass between micro-batches."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from curbline.functions.events import TERMINAL_STATES
 from curbline.operators.flow_timings import STATE_DDL, running_clocks, with_flow_timings
-from curbline.plans.alerts import normalized_events
+from curbline.plans.alerts import AlertSettings, alerts, normalized_events
 from curbline.streaming.ingest import finish
 
 LOG_DDL = (
@@ -16,33 +16,34 @@ LOG_DDL = (
 )
 
 
-def time_flows(
-    spark: SparkSession, log_path: str, parsed: str, timings: str, clocks: str, checkpoint: str
+def watch_events(
+    spark: SparkSession, log_path: str, out: str, checkpoint: str, settings: AlertSettings
 ) -> StreamingQuery:
-    """Append the timings of every terminal event, and the parsed events they came from.
+    """Append parsed events, timings of terminal events and alerts below ``out``.
 
     A keyed state function would hand all of a busy flow's events in a micro-batch to one
     task. Here a micro-batch goes through the same bucketed operator as a batch job, and
     only the clocks still running, one row per unfinished flow, pass to the next one. They
-    are written under the batch number, so a batch run again reads what it read before.
+    are written under the batch number, so a batch run again reads what it read before and
+    replaces what it wrote.
     """
     stream = spark.readStream.schema(LOG_DDL).parquet(log_path)
 
     def advance(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
+        session, here = batch.sparkSession, f"batch={batch_id}"
+
+        def publish(df: DataFrame, table: str) -> None:
+            df.write.mode("overwrite").parquet(f"{out}/{table}/{here}")
+
         before = session.createDataFrame([], STATE_DDL)
         if batch_id > 0:
-            before = session.read.schema(STATE_DDL).parquet(f"{clocks}/batch={batch_id - 1}")
-        here = f"batch={batch_id}"
-        normalized_events(batch).write.mode("overwrite").parquet(f"{parsed}/{here}")
-        events = session.read.parquet(f"{parsed}/{here}")
-        (
-            with_flow_timings(events, before)
-            .where(F.col("state").isin(*TERMINAL_STATES))
-            .write.mode("overwrite")
-            .parquet(f"{timings}/{here}")
-        )
-        running_clocks(events, before).write.mode("overwrite").parquet(f"{clocks}/{here}")
+            before = session.read.schema(STATE_DDL).parquet(f"{out}/clocks/batch={batch_id - 1}")
+        publish(normalized_events(batch), "events")
+        events = session.read.parquet(f"{out}/events/{here}")
+        timed = with_flow_timings(events, before)
+        publish(timed.where(F.col("state").isin(*TERMINAL_STATES)), "timings")
+        publish(alerts(events, settings, before), "alerts")
+        publish(running_clocks(events, before), "clocks")
 
     return finish(
         stream.writeStream.foreachBatch(advance)
@@ -50,3 +51,8 @@ def time_flows(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_alerts(spark: SparkSession, out: str) -> DataFrame:
+    """One row per alert, also when an event was delivered more than once."""
+    return spark.read.parquet(f"{out}/alerts").drop("batch").dropDuplicates(["idempotency_key"])

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curbline.operators.layout import publish_table
 from curbline.plans import tables
 from curbline.session import new_work_dir, shared_dir
 from curbline.sources import landing, rescue
@@ -101,3 +102,13 @@ def test_work_dirs_are_new_and_shared(spark):
     one, two = new_work_dir(spark, "x"), new_work_dir(spark, "x")
     assert one != two and one.startswith(shared_dir(spark))
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_published_tables_carry_their_layer(spark, tmp_path):
+    frame = spark.createDataFrame([(1,)], "a int")
+    publish_table(frame, "curbline_fares", str(tmp_path / "t"), "gold", "Receipt parts")
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED curbline_fares").collect()}
+    assert "quality=gold" in described["Table Properties"]
+    assert described["Comment"] == "Receipt parts"
+    assert spark.table("curbline_fares").collect()[0].a == 1
+    spark.sql("DROP TABLE curbline_fares")

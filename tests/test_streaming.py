@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from curbline.operators import enrich, quality
 from curbline.plans import marts, tables
+from curbline.plans.alerts import AlertSettings
 from curbline.session import new_work_dir
 from curbline.sources import derived
 from curbline.sources import trips as trip_files
@@ -24,7 +25,6 @@ def raw(spark, sf_dir):
 def test_ingestion_resumes_and_reads_each_file_once(spark, raw, base):
     early = F.month("tpep_pickup_datetime") <= 5
     for part in (early, ~early):
-        trip_files.land_trips(raw.where(part).withColumn("x", F.lit(1)).drop("x"), f"{base}/landing-part")
         raw.where(part).write.mode("append").parquet(f"{base}/landing")
         ingest.ingest_trips(spark, f"{base}/landing", f"{base}/bronze", f"{base}/cp")
     ingest.ingest_trips(spark, f"{base}/landing", f"{base}/bronze", f"{base}/cp")
@@ -96,11 +96,22 @@ def test_clocks_survive_between_runs(spark, base):
     ]
     for rows in runs:
         spark.createDataFrame(rows, flow_clock.LOG_DDL).coalesce(1).write.mode("append").parquet(f"{base}/log")
-        flow_clock.time_flows(
-            spark, f"{base}/log", f"{base}/parsed", f"{base}/timings", f"{base}/clocks", f"{base}/cp"
+        flow_clock.watch_events(
+            spark, f"{base}/log", f"{base}/out", f"{base}/cp", AlertSettings(environment="test")
         )
     timed = {
         r.event_id: (r.observed_duration_seconds, r.observed_queue_seconds)
-        for r in spark.read.parquet(f"{base}/timings").collect()
+        for r in spark.read.parquet(f"{base}/out/timings").collect()
     }
     assert timed == {"3": (90.0, 30.0), "4": (None, None)}
+    found = flow_clock.read_alerts(spark, f"{base}/out").collect()
+    assert [(a.event_id, a.severity) for a in found] == [("4", "critical")]
+
+
+def test_an_event_delivered_twice_raises_one_alert(spark, base):
+    event = ("7", "flow_progress", "2026-01-01T00:00:00Z", "", '{"flow_name":"f"}',
+             '{"flow_progress":{"state":"FAILED"}}')
+    for _ in range(2):
+        spark.createDataFrame([event, event], flow_clock.LOG_DDL).write.mode("append").parquet(f"{base}/log")
+        flow_clock.watch_events(spark, f"{base}/log", f"{base}/out", f"{base}/cp", AlertSettings())
+    assert [a.idempotency_key for a in flow_clock.read_alerts(spark, f"{base}/out").collect()] == ["7:slack"]
