@@ -741,9 +741,8 @@ def flow_timings(spark, d):
     return timed(spark, d).where(ended).select(*TIMING)
 
 
-def _watched(spark, d):
+def _watch(spark, d, base):
     """The log lands in three parts, in order of time; each part triggers one stream run."""
-    base = new_work_dir(spark, "watch")
     log = tables.event_log(spark, d).withColumn(
         "__at", F.coalesce(alerts.ev.event_instant(F.col("timestamp")), F.lit(0).cast("timestamp"))
     )
@@ -755,17 +754,21 @@ def _watched(spark, d):
         flow_clock.watch_events(
             spark, f"{base}/log", f"{base}/out", f"{base}/checkpoint", SETTINGS
         )
-    return f"{base}/out"
+
+
+def _watched(spark, d, table):
+    base = tables.written(spark, d, "watched", lambda path: _watch(spark, d, path))
+    return f"{base}/out/{table}".rstrip("/")
 
 
 @query
 def flow_timings_stream(spark, d):
-    return with_output_rate(spark.read.parquet(f"{_watched(spark, d)}/timings")).select(*TIMING)
+    return with_output_rate(spark.read.parquet(_watched(spark, d, "timings"))).select(*TIMING)
 
 
 @query
 def alerts_stream(spark, d):
-    return flow_clock.read_alerts(spark, _watched(spark, d)).select(*PAYLOAD)
+    return flow_clock.read_alerts(spark, _watched(spark, d, "")).select(*PAYLOAD)
 
 
 @query

@@ -566,13 +566,10 @@ FINALS["join_od_zones"] = f"""
 FINALS["join_od_candidates"] = f"""
     SELECT {ENDS}, origin_zone, destination_zone, destination_rank
     FROM good JOIN pairs ON PULocationID = origin_id AND DOLocationID = destination_id"""
-FINALS["top_zones_by_borough"] = "SELECT * FROM flow_zones"
+FINALS["top_zones_by_borough"] = """
+    SELECT * REPLACE (round(longitude, 6) AS longitude, round(latitude, 6) AS latitude) FROM flow_zones"""
 FINALS["top5_zones"] = "SELECT * FROM city_ranks WHERE borough_rank <= 5"
 FINALS["top2_zones"] = "SELECT * FROM city_ranks WHERE borough_rank <= 2"
-FINALS["top3_or_pinned"] = "SELECT * FROM origins"
-FINALS["top12_destinations"] = "SELECT * FROM pairs"
-for _key in ("top_zones_by_borough",):
-    FINALS[_key] = "SELECT * REPLACE (round(longitude, 6) AS longitude, round(latitude, 6) AS latitude) FROM flow_zones"
 FINALS["top3_or_pinned"] = """
     SELECT * REPLACE (round(origin_longitude, 6) AS origin_longitude,
                       round(origin_latitude, 6) AS origin_latitude) FROM origins"""
@@ -792,8 +789,14 @@ FINALS["metric_formatting"] = f"""
            {bytes_text('num_output_bytes')} AS bytes_text,
            {duration_text('observed_duration_seconds')} AS duration_text
     FROM observed WHERE num_output_rows IS NOT NULL"""
-FINALS["throughput_text"] = f"""
-    SELECT event_id,
+CTES["quality_sums"] = """
+    SELECT event_id, sum(passed_records) AS passed, sum(failed_records) AS failed_sum,
+           string_agg(name, ', ' ORDER BY name) FILTER (failed_records > 0) AS failing
+    FROM expectation_items GROUP BY event_id"""
+CTES["messages"] = f"""
+    SELECT p.*, CASE severity WHEN 'critical' THEN '🚨' WHEN 'warning' THEN '⚠️' ELSE '✅' END AS mark,
+           coalesce(nullif(flow_key, ''), pipeline_name) AS shown_flow,
+           coalesce(nullif(state, ''), 'METRICS') AS shown_state,
            CASE WHEN processed_rows_per_second IS NOT NULL
                 THEN '`' || {number_text('processed_rows_per_second')} || ' rows/s` processed (native)'
                 WHEN input_rows_per_second IS NOT NULL
@@ -803,35 +806,71 @@ FINALS["throughput_text"] = f"""
                 ELSE 'Row rate unavailable; SDP emitted no row count' END
            || CASE WHEN observed_duration_seconds IS NOT NULL
                    THEN chr(10) || 'Observed runtime: `' || {duration_text('observed_duration_seconds')} || '`'
-                   ELSE '' END AS throughput_text
-    FROM payloads"""
-FINALS["backlog_text"] = f"""
-    SELECT event_id,
+                   ELSE '' END AS throughput_text,
            CASE WHEN backlog_records IS NOT NULL
                 THEN 'Records: `' || {number_text('backlog_records')} || '`' || chr(10)
                      || 'Files: `Not reported`' || chr(10) || 'Bytes: `Not reported` (native)'
                 WHEN flow_key IN {STREAMS} AND state = 'COMPLETED'
                 THEN '`Drained` for this triggered update; native pending count not emitted'
                 WHEN flow_key IN {STREAMS} THEN 'Streaming flow; native pending count not emitted'
-                ELSE '`N/A` — bounded refresh, not a streaming source' END AS backlog_text
-    FROM payloads"""
-FINALS["alert_message"] = f"""
-    SELECT p.event_id,
-           CASE severity WHEN 'critical' THEN '🚨' WHEN 'warning' THEN '⚠️' ELSE '✅' END
-           || ' [integration] ' || layer || ' / ' || coalesce(nullif(flow_key, ''), pipeline_name) || ': '
-           || coalesce(nullif(state, ''), 'METRICS')
-           || CASE WHEN num_output_rows IS NOT NULL
-                   THEN ' — ' || {number_text('num_output_rows')} || ' output rows' ELSE '' END AS summary,
+                ELSE '`N/A` — bounded refresh, not a streaming source' END AS backlog_text,
            CASE WHEN passed IS NULL THEN 'No expectations attached or reported for this flow event'
                 ELSE 'Passed: `' || {number_text('passed')} || '` • Failed: `' || {number_text('failed_sum')} || '`'
                      || CASE WHEN failing IS NOT NULL
                              THEN chr(10) || 'Failing rules: `' || {escaped('failing')} || '`' ELSE '' END
-                END AS quality_text,
-           {escaped('message')} AS message_escaped
-    FROM payloads p LEFT JOIN (
-        SELECT event_id, sum(passed_records) AS passed, sum(failed_records) AS failed_sum,
-               string_agg(name, ', ' ORDER BY name) FILTER (failed_records > 0) AS failing
-        FROM expectation_items GROUP BY event_id) q ON p.event_id = q.event_id"""
+                END AS quality_text
+    FROM payloads p LEFT JOIN quality_sums q ON p.event_id = q.event_id"""
+CTES["summed_up"] = f"""
+    SELECT *, mark || ' [integration] ' || layer || ' / ' || shown_flow || ': ' || shown_state
+           || CASE WHEN num_output_rows IS NOT NULL
+                   THEN ' — ' || {number_text('num_output_rows')} || ' output rows' ELSE '' END AS summary
+    FROM messages"""
+FINALS["throughput_text"] = "SELECT event_id, throughput_text FROM messages"
+FINALS["backlog_text"] = "SELECT event_id, backlog_text FROM messages"
+FINALS["alert_message"] = f"""
+    SELECT event_id, summary, quality_text, {escaped('message')} AS message_escaped FROM summed_up"""
+
+
+def _json_text(x: str) -> str:
+    """A JSON string literal; the texts hold quotes, backslashes and line breaks at most."""
+    quoted = f"replace(replace({x}, chr(92), chr(92) || chr(92)), chr(34), chr(92) || chr(34))"
+    return f"chr(34) || replace({quoted}, chr(10), chr(92) || 'n') || chr(34)"
+
+
+def _field(title: str, x: str, tick: str = "`") -> str:
+    shown = f"'*{title}*' || chr(10) || '{tick}' || {x} || '{tick}'"
+    return f"""'{{"type":"mrkdwn","text":' || {_json_text(shown)} || '}}'"""
+
+
+def _listed(*fields: str) -> str:
+    return " || ',' || ".join(fields)
+
+
+FINALS["alert_body_json"] = f"""
+    SELECT event_id, '{{"text":' || {_json_text('summary')} || ',"blocks":['
+        || '{{"type":"header","text":{{"type":"plain_text","text":'
+        || {_json_text("mark || ' ' || layer || ' flow ' || lower(shown_state)")} || ',"emoji":true}}}},'
+        || '{{"type":"section","fields":['
+        || {_listed(
+            _field("Flow", escaped("shown_flow")),
+            _field("Environment", "'integration'"),
+            _field("State", escaped("shown_state")),
+            _field("Severity", "upper(severity)"),
+        )} || ']}},{{"type":"section","fields":['
+        || {_listed(
+            _field("Input rows", f"({number_text('num_input_rows')})"),
+            _field("Output rows", f"({number_text('num_output_rows')})"),
+            _field("Output bytes", f"({bytes_text('num_output_bytes')})"),
+            _field("Throughput", "throughput_text", ""),
+            _field("Backlog status", "backlog_text", ""),
+            _field("Data quality", "quality_text", ""),
+        )} || ']}},{{"type":"context","elements":[{{"type":"mrkdwn","text":'
+        || {_json_text("'Update `' || update_id || '` • Event `' || event_time_text || '`'")} || '}}]}}'
+        || CASE WHEN diagnostic_url <> '' THEN ',{{"type":"actions","elements":[{{"type":"button",'
+             || '"text":{{"type":"plain_text","text":"Open pipeline update"}},"url":'
+             || {_json_text('diagnostic_url')} || '}}]}}' ELSE '' END
+        || '],"unfurl_links":false,"unfurl_media":false}}' AS body
+    FROM summed_up"""
 
 ORACLES: dict[str, str] = {}
 for _key, _final in FINALS.items():

@@ -22,17 +22,24 @@ _PATHS: dict[tuple[str, str, str], str] = {}
 _LOCK = threading.RLock()
 
 
-def stored(
-    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
-) -> DataFrame:
-    """The table ``name``, written by ``build`` when it is first asked for."""
+def written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
+    """The folder ``name``, filled by ``write`` when it is first asked for."""
     key = (spark.conf.get("spark.app.id"), sf_dir, name)
     with _LOCK:
         if key not in _PATHS:
             path = new_work_dir(spark, name)
-            build().write.parquet(path)
+            write(path)
             _PATHS[key] = path
-    return spark.read.parquet(_PATHS[key])
+    return _PATHS[key]
+
+
+def stored(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """The table ``name``, built when it is first asked for."""
+    return spark.read.parquet(
+        written(spark, sf_dir, name, lambda path: build().write.parquet(path))
+    )
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
