@@ -25,21 +25,22 @@ def watch_events(
     task. Here a micro-batch goes through the same bucketed operator as a batch job, and
     only the clocks still running, one row per unfinished flow, pass to the next one. They
     are written under the batch number, so a batch run again reads what it read before and
-    replaces what it wrote.
+    replaces what it wrote. Only the parsing runs in the stream's own session, which plans
+    without adaptive execution; everything after it reads the parsed table.
     """
     stream = spark.readStream.schema(LOG_DDL).parquet(log_path)
 
     def advance(batch: DataFrame, batch_id: int) -> None:
-        session, here = batch.sparkSession, f"batch={batch_id}"
+        here = f"batch={batch_id}"
 
         def publish(df: DataFrame, table: str) -> None:
             df.write.mode("overwrite").parquet(f"{out}/{table}/{here}")
 
-        before = session.createDataFrame([], STATE_DDL)
+        before = spark.createDataFrame([], STATE_DDL)
         if batch_id > 0:
-            before = session.read.schema(STATE_DDL).parquet(f"{out}/clocks/batch={batch_id - 1}")
+            before = spark.read.schema(STATE_DDL).parquet(f"{out}/clocks/batch={batch_id - 1}")
         publish(normalized_events(batch), "events")
-        events = session.read.parquet(f"{out}/events/{here}")
+        events = spark.read.parquet(f"{out}/events/{here}")
         timed = with_flow_timings(events, before)
         publish(timed.where(F.col("state").isin(*TERMINAL_STATES)), "timings")
         publish(alerts(events, settings, before), "alerts")
