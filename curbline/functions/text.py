@@ -66,10 +66,11 @@ def si_text(value: Column) -> Column:
     """A non-negative count in k, M, G or T with up to six significant digits."""
     unit = F.pow(F.lit(10.0), F.floor(F.log10(F.greatest(value, F.lit(1.0)))) - 5)
     kept = F.when(value < 1e6, value).otherwise(F.round(value / unit) * unit)
-    text = F
-    for floor_value, suffix in ((1e12, "T"), (1e9, "G"), (1e6, "M"), (1e3, "k")):
-        text = text.when(kept >= floor_value, _trimmed(kept / floor_value, suffix))
-    return text.otherwise(_trimmed(kept, ""))
+    scaled = [
+        F.when(kept >= floor_value, _trimmed(kept / floor_value, suffix))
+        for floor_value, suffix in ((1e12, "T"), (1e9, "G"), (1e6, "M"), (1e3, "k"))
+    ]
+    return F.coalesce(*scaled, _trimmed(kept, ""))
 
 
 def patterned(value: Column, pattern: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,11 +47,13 @@ def day_type(timestamp: Column) -> Column:
     return F.when(F.dayofweek(timestamp).isin(1, 7), "Weekend").otherwise("Weekday")
 
 
+def labelled(value: Column, labels: Mapping) -> Column:
+    """The label of a value; NULL for values without one."""
+    return F.coalesce(*[F.when(value == key, label) for key, label in labels.items()])
+
+
 def airport_code(zone_id: Column) -> Column:
-    code = F
-    for zone, label in AIRPORT_CODES.items():
-        code = code.when(zone_id == zone, label)
-    return code
+    return labelled(zone_id, AIRPORT_CODES)
 
 
 def lower_bin_edge(value: Column, width: int) -> Column:
@@ -57,10 +61,7 @@ def lower_bin_edge(value: Column, width: int) -> Column:
 
 
 def payment_category(payment_type: Column) -> Column:
-    label = F
-    for code, text in PAYMENT_LABELS.items():
-        label = label.when(payment_type == code, text)
-    return label.otherwise(PAYMENT_REST)
+    return F.coalesce(labelled(payment_type, PAYMENT_LABELS), F.lit(PAYMENT_REST))
 
 
 def at_least_zero(value: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from curbline.functions import events as ev
 from curbline.functions import text
+from curbline.functions.trip import labelled
 from curbline.operators.flow_timings import FLOW_KEY, with_flow_timings, with_output_rate
 
 EVENT_TYPES = ("update_progress", "flow_progress")
@@ -337,9 +338,7 @@ def quality_text() -> Column:
 
 
 def with_message_texts(payloads: DataFrame, settings: AlertSettings) -> DataFrame:
-    mark = F
-    for severity, sign in SEVERITY_MARKS.items():
-        mark = mark.when(F.col("severity") == severity, sign)
+    mark = labelled(F.col("severity"), SEVERITY_MARKS)
     shown_flow = F.coalesce(
         text.blank_to_null(F.col("flow_key")),
         text.blank_to_null(F.col("pipeline_name")),
