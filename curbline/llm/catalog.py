@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import bpe, tokenfile, unigram
+from curbline.llm import bpe, forest, impact, setsketch, tokenfile, unigram
 from curbline.llm.frames import table
 from curbline.session import new_work_dir
 
@@ -39,6 +39,21 @@ def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_ids(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents by word shingles."""
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors by cosine."""
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 20 rows for every twentieth vector."""
+    return impact.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op3_token_counts, op8_token_file)
+    f.__name__: f for f in (op1_bpe, op3_token_counts, op7_minhash, op8_token_file, op9_embeddings, op10_topk)
 }

@@ -2,4 +2,52 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+MINHASH = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END AS s
+  FROM words
+), sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+shingles AS (SELECT doc_id, unnest(s) AS g FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM sizes UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT s.doc_id, s.n AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept FROM sizes s JOIN least l USING (doc_id)
+"""
+
+EMBEDDINGS = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), counts AS (SELECT a, count(*) AS n FROM links GROUP BY 1),
+reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other
+), least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT m.vec_id, coalesce(n, 0) AS n_links, component_id, m.vec_id = component_id AS kept FROM least m LEFT JOIN counts ON a = m.vec_id
+"""
+
+TOPK = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLES: dict[str, str] = {"op7_minhash": MINHASH, "op9_embeddings": EMBEDDINGS, "op10_topk": TOPK}
