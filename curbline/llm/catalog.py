@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import bpe, forest, impact, setsketch, tokenfile, unigram
+from curbline.llm import bpe, forest, impact, labelled, quality, setsketch, tokenfile, toxicity, unigram
 from curbline.llm.frames import table
 from curbline.session import new_work_dir
 
@@ -39,6 +39,26 @@ def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_ids(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def scored(docs: DataFrame, score, held_out) -> DataFrame:
+    return docs.select("doc_id", held_out.alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.7).cast("int")
+    )
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by trees that are fitted on labels outside of the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return scored(docs, quality.score(F.col("text"), model), labelled.held_out("doc_id", quality.FOLDS, quality.TEST_FOLD))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a grammar that is fitted on labels outside of the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    grammar = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return scored(docs, toxicity.score(F.col("text"), grammar), labelled.held_out("doc_id", toxicity.FOLDS, toxicity.TEST_FOLD))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents by word shingles."""
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
@@ -55,5 +75,8 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op3_token_counts, op7_minhash, op8_token_file, op9_embeddings, op10_topk)
+    f.__name__: f
+    for f in (
+        op1_bpe, op3_token_counts, op4_quality, op5_toxicity, op7_minhash, op8_token_file, op9_embeddings, op10_topk,
+    )
 }
