@@ -65,6 +65,40 @@ def strings(data: np.ndarray, edges: np.ndarray) -> pa.Array:
     )
 
 
+WHITE = np.zeros(256, bool)
+WHITE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def words(data: np.ndarray, offsets: np.ndarray, also: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
+    """The runs without ASCII white space of all texts, and for each text the number of those before it.
+
+    ``also`` marks bytes at which another word begins.
+    """
+    solid = ~WHITE[data]
+    first = solid.copy()
+    first[1:] &= ~solid[:-1]
+    begins = offsets[:-1][np.diff(offsets) > 0]
+    first[begins] = solid[begins]
+    if also is not None:
+        first |= solid & also
+    starts = np.flatnonzero(first)
+    solids = np.concatenate(([0], np.cumsum(solid)))
+    return strings(data[solid], np.append(solids[starts], solids[-1])), np.searchsorted(starts, offsets)
+
+
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,!?;:")] = True
+
+
+def after_letters(data: np.ndarray) -> np.ndarray:
+    """Where an ASCII letter is followed by one of ``.,!?;:``."""
+    found = np.zeros(len(data), bool)
+    found[1:] = _MARK[data[1:]] & _LETTER[data[:-1]]
+    return found
+
+
 def coded(pieces: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """For each piece the number of its text, and the distinct texts in order of first use."""
     found = pieces.dictionary_encode()

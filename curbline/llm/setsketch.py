@@ -34,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.blocks import coded, strings, text_blocks, text_bytes
+from curbline.llm.blocks import coded, spread, text_blocks, text_bytes
+from curbline.llm.blocks import words as split_words
 from curbline.llm.frames import narrowed, stored
 from curbline.llm.graph import components, links_in_groups
 
@@ -47,8 +48,6 @@ DOUBT = 18.0
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_WHITE = np.zeros(256, bool)
-_WHITE[[9, 10, 11, 12, 13, 32]] = True
 _RANDOM = np.random.default_rng(20240501)
 _FLIP = _RANDOM.integers(0, 2**32, (REGISTERS, 1), dtype=np.uint32)
 _TIMES = _RANDOM.integers(0, 2**32, (REGISTERS, 1), dtype=np.uint32) | np.uint32(1)
@@ -66,22 +65,14 @@ def shingle_sets(texts: pa.Array, words: int = SHINGLE_WORDS) -> Iterator[np.nda
     from pandas.util import hash_array
 
     data, offsets = text_bytes(texts)
-    data = _LOWER[data]
-    solid = ~_WHITE[data]
-    first = solid.copy()
-    first[1:] &= ~solid[:-1]
-    begins = offsets[:-1][np.diff(offsets) > 0]
-    first[begins] = solid[begins]
-    starts = np.flatnonzero(first)
-    solids = np.concatenate(([0], np.cumsum(solid)))
-    at, distinct = coded(strings(data[solid], np.append(solids[starts], solids[-1])))
+    found, edges = split_words(_LOWER[data], offsets)
+    at, distinct = coded(found)
     known = hash_array(np.array(distinct.to_pylist(), dtype=object), categorize=False) if len(distinct) else np.empty(0, np.uint64)
     hashes = known[at]
     rolled = np.zeros(max(len(hashes) - words + 1, 0), np.uint64)
     for k in range(words):
         rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + len(rolled)]
     rolled = mixed(rolled)
-    edges = np.searchsorted(starts, offsets)
     for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
         if end - begin >= words:
             yield np.unique(rolled[begin : end - words + 1])
@@ -176,7 +167,6 @@ def by_sets(percent: int):
         places = np.concatenate(([0], np.cumsum(np.bincount(number))))
         edges = np.concatenate(([0], np.cumsum(sizes)))
         held = owners[order]
-        from curbline.llm.blocks import spread
 
         def near(row: int, others: np.ndarray) -> np.ndarray:
             own = number[edges[row] : edges[row + 1]]

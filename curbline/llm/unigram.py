@@ -32,7 +32,7 @@ from curbline.llm.frames import narrowed
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Words that a worker remembers with their counts before it starts anew.
+#: Words that a worker remembers with their counts; beyond, it forgets those that the present block doesn't have.
 REMEMBERED = 600_000
 
 
@@ -111,8 +111,9 @@ def count_task(path: str):
             words = words.to_pylist()
             new = [w for w in words if w not in known]
             if len(known) + len(new) > REMEMBERED:
+                kept = {w: known[w] for w in words if w in known}
                 known.clear()
-                new = words
+                known.update(kept)
             known.update((w, counting.word(MARK + w)) for w in new)
             found = [known[w] for w in words]
             sizes = pc.list_value_length(runs).to_numpy(zero_copy_only=False)
