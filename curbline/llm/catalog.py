@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import bpe, forest, impact, labelled, quality, setsketch, tokenfile, toxicity, unigram
+from curbline.llm import bpe, forest, impact, labelled, packing, quality, setsketch, tokenfile, toxicity, unigram, warc
 from curbline.llm.frames import table
 from curbline.session import new_work_dir
 
@@ -28,6 +28,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives of all pages hold, read back from them."""
+    files = warc.write_archives(warc.chunk_table(table(spark, sf_dir, "pages")), new_work_dir(spark, "warc"))
+    return warc.read_records(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces and score of the best unigram segmentation of every document."""
     return unigram.count_tokens(table(spark, sf_dir, "documents"), PIECES)
@@ -59,6 +65,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs, toxicity.score(F.col("text"), grammar), labelled.held_out("doc_id", toxicity.FOLDS, toxicity.TEST_FOLD))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of several lengths."""
+    return packing.pack(packing.lengths(table(spark, sf_dir, "documents"), BYTES))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents by word shingles."""
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
@@ -77,6 +88,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_bpe, op3_token_counts, op4_quality, op5_toxicity, op7_minhash, op8_token_file, op9_embeddings, op10_topk,
+        op1_bpe, op2_warc, op3_token_counts, op4_quality, op5_toxicity, op6_packing, op7_minhash, op8_token_file,
+        op9_embeddings, op10_topk,
     )
 }

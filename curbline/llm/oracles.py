@@ -2,6 +2,16 @@
 
 from __future__ import annotations
 
+WARC = r"""
+WITH pages_read AS (SELECT page_id, CAST(encode(coalesce(html, '')) AS BLOB) AS body FROM pages),
+known AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS payload_digest FROM pages_read),
+largest AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM known)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM largest
+"""
+
 MINHASH = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
@@ -50,4 +60,4 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLES: dict[str, str] = {"op7_minhash": MINHASH, "op9_embeddings": EMBEDDINGS, "op10_topk": TOPK}
+ORACLES: dict[str, str] = {"op2_warc": WARC, "op7_minhash": MINHASH, "op9_embeddings": EMBEDDINGS, "op10_topk": TOPK}
