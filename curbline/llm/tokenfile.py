@@ -34,15 +34,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curbline.llm.blocks import coded, spread, strings, text_blocks, text_bytes
+from curbline.llm.blocks import after_letters, coded, spread, strings, sums, text_blocks, text_bytes
 from curbline.llm.bpe import tokenizer
 from curbline.llm.frames import attempt_path, narrowed, open_fs, put_in_place, stored
 
 MAGIC, VERSION = b"CTOK", 1
 HEAD = struct.Struct("<4sHHQ")  # magic, version, bits of an id, ids in a block
 BLOCK_IDS = 1 << 16
-#: Words that a worker remembers with their ids before it starts anew.
-REMEMBERED = 600_000
+#: Words that a worker remembers with their ids; beyond, it forgets those that the present block doesn't have.
+REMEMBERED = 800_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -152,48 +152,66 @@ _DOUBT[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 def word_edges(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where words begin: at each text, and at a single blank between two characters that aren't white space.
+    """Where words begin: at each text, at a single blank between two characters that aren't white space, on
+    both sides of such a line break, and between an ASCII letter and one of ``.,!?;:``.
 
-    Where a neighbour might be white space outside ASCII there is no edge; the word is
-    longer then, and its ids are the same.
+    The byte-level pattern ends a word at all of these. Where a neighbour might be white
+    space outside ASCII there is no edge; the word is longer then, and its ids are the same.
     """
     if len(data) < 3:
         return np.unique(offsets)
-    at = np.flatnonzero(data[1:-1] == 32) + 1
+    at = np.flatnonzero((data[1:-1] == 32) | (data[1:-1] == 10)) + 1
     before, after = data[at - 1], data[at + 1]
     fine = ~(_BLANK[before] | _BLANK[after] | _DOUBT[after])
     tail = (before & 0xC0) == 0x80
-    fine &= ~(tail & (_DOUBT[data[at - 2]] | (_DOUBT[data[np.maximum(at - 3, 0)]])))
-    return np.union1d(at[fine], offsets)
+    fine &= ~(tail & (_DOUBT[data[at - 2]] | _DOUBT[data[np.maximum(at - 3, 0)]]))
+    at = at[fine]
+    edge = after_letters(data)
+    edge[at] = True
+    edge[at[data[at] == 10] + 1] = True
+    edge = np.append(edge, True)
+    edge[offsets] = True
+    return np.flatnonzero(edge)
 
 
 @cache
-def _memory(path: str) -> dict[str, tuple[int, ...]]:
+def _memory(path: str) -> dict[str, bytes]:
     return {}
 
 
-def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts, one after another, and the number of each text's."""
+def known_words(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """The word at each place, the first place of each text, the length of each word in ids, and the ids."""
     data, offsets = text_bytes(texts)
     edges = word_edges(data, offsets)
     at, words = coded(strings(data, edges))
     known, words = _memory(path), words.to_pylist()
     new = [w for w in words if w not in known]
     if len(known) + len(new) > REMEMBERED:
+        kept = {w: known[w] for w in words if w in known}
         known.clear()
-        new = words
+        known.update(kept)
     for begin in range(0, len(new), 50_000):
         part = new[begin : begin + 50_000]
         for word, encoded in zip(part, tokenizer(path).encode_batch_fast(part, add_special_tokens=False)):
             known[word] = np.array(encoded.ids, np.uint32).tobytes()
     bodies = [known[w] for w in words]
     each = np.fromiter(map(len, bodies), np.int64, len(bodies)) // 4
+    # A text may be empty, so edges are looked up, not counted.
+    return at, np.searchsorted(edges, offsets), each, bodies
+
+
+def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, one after another, and the number of each text's."""
+    at, places, each, bodies = known_words(texts, path)
     ids = np.frombuffer(b"".join(bodies), np.uint32)
     begins = np.cumsum(each) - each
-    total = np.concatenate(([0], np.cumsum(each[at])))
-    # A text may be empty, so edges are looked up, not counted.
-    places = total[np.searchsorted(edges, offsets)]
-    return ids[spread(begins[at], each[at])], np.diff(places)
+    return ids[spread(begins[at], each[at])], sums(each[at], places)
+
+
+def count_texts(texts: pa.Array, path: str) -> np.ndarray:
+    """The number of each text's ids."""
+    at, places, each, _ = known_words(texts, path)
+    return sums(each[at], places)
 
 
 def write_task(path: str, folder: str, end_id: int, width: int):
