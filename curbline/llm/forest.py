@@ -160,8 +160,8 @@ def route_task(forest: dict[int, list[Tree]]):
                     for row in at:
                         leaves[row].append(0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(lengths), pa.array([sorted(x) for x in leaves], pa.list_(pa.int32()))],
-                names=["node", "length", "leaves"],
+                [batch.column("class"), pa.array(lengths), pa.array([sorted(x) for x in leaves], pa.list_(pa.int32()))],
+                names=["class", "length", "leaves"],
             )
 
     return route
@@ -172,7 +172,7 @@ def compare_task(least: float):
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in grouped(batches, "cell"):
-            nodes = cell.column("node").to_numpy(zero_copy_only=False)
+            classes, nodes = (cell.column(c).to_numpy(zero_copy_only=False) for c in ("class", "node"))
             copies = cell.column("copies").to_numpy(zero_copy_only=False)
             part = cell.column("part").to_numpy(zero_copy_only=False)
             leaf = cell.column("leaf")[0].as_py()
@@ -198,8 +198,11 @@ def compare_task(least: float):
             ends[pairs[:, 0]] = pairs[:, 1]
             there = np.flatnonzero((sums > 0) | (ends >= 0))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes[there]), pa.array(sums[there]), pa.array(nodes[ends[there]], mask=ends[there] < 0)],
-                names=["node", "links", "other"],
+                [
+                    pa.array(classes[there]), pa.array(sums[there]), pa.array(nodes[there]),
+                    pa.array(nodes[ends[there]], mask=ends[there] < 0),
+                ],
+                names=["class", "links", "a", "b"],
             )
 
     return compare
@@ -228,16 +231,19 @@ def near_duplicates(
     rows = narrowed(vectors, vec_id=vec_id, vector=embedding).withColumn("vec_id", F.col("vec_id").cast("long"))
     known = stored(rows.mapInArrow(valid_task, "vec_id long, digest binary, body binary"), "vectors")
     real = known.where("vec_id is not null and digest is not null")
+    # A class has a number of its own for counts, and its smallest id, the node, for components.
     classes = stored(
-        real.groupBy("digest").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first("body").alias("body")), "classes"
+        real.groupBy("digest").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first("body").alias("body"))
+        .withColumn("class", F.monotonically_increasing_id()),
+        "classes",
     )
     forest = fit(classes, trees)
     routed = stored(
-        classes.select("node", "body").mapInArrow(route_task(forest), "node long, length long, leaves array<int>")
-        .withColumn("cut", F.pmod(F.xxhash64("node"), F.lit(1 << 20))),
+        classes.select("class", "body").mapInArrow(route_task(forest), "class long, length long, leaves array<int>")
+        .withColumn("cut", F.pmod(F.xxhash64("class"), F.lit(1 << 20))),
         "leaves",
     )
-    members = routed.select("node", "length", "leaves", "cut", F.explode("leaves").alias("leaf"))
+    members = routed.select("class", "length", "leaves", "cut", F.explode("leaves").alias("leaf"))
     sizes = members.groupBy("length", "leaf").agg(F.count("*").alias("size")).where("size > 1")
     cells = stored(sizes.select("length", "leaf", F.ceil(F.col("size") / CELL_ROWS).cast("int").alias("parts")), "leaf-sizes")
     part = F.pmod("cut", "parts").cast("int")
@@ -246,21 +252,20 @@ def near_duplicates(
         F.sequence(F.lit(0), F.col("parts") - 1), lambda other: F.struct(F.least("part", other).alias("i"), F.greatest("part", other).alias("j"))
     )
     dealt = placed.withColumn("pair", F.explode(pairs)).select(
-        "node", "leaf", "leaves", "part", F.xxhash64("length", "leaf", "pair.i", "pair.j").alias("cell")
+        "class", "leaf", "leaves", "part", F.xxhash64("length", "leaf", "pair.i", "pair.j").alias("cell")
     )
-    of_class = classes.select("node", "copies", "body")
+    of_class = classes.select("class", "node", "copies", "body")
     compared = stored(
-        dealt.join(of_class, "node").repartition("cell").sortWithinPartitions("cell")
-        .mapInArrow(compare_task(least), "node long, links long, other long"),
+        dealt.join(of_class, "class").repartition("cell").sortWithinPartitions("cell")
+        .mapInArrow(compare_task(least), "class long, links long, a long, b long"),
         "links",
     )
     several = real.groupBy("vec_id").agg(F.count_distinct("digest").alias("kinds")).where("kinds > 1")
     also = real.join(several, "vec_id").join(classes.select("digest", "node"), "digest").select(F.col("vec_id").alias("a"), F.col("node").alias("b"))
-    edges = compared.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
-    reached = components(edges.unionByName(also))
-    counts = compared.groupBy("node").agg(F.sum("links").alias("links"))
+    reached = components(compared.where("b is not null").select("a", "b").unionByName(also))
+    counts = compared.groupBy("class").agg(F.sum("links").alias("links"))
     about = stored(
-        classes.select("digest", "node", "copies").join(counts, "node", "left").join(reached, "node", "left")
+        classes.select("digest", "class", "node", "copies").join(counts, "class", "left").join(reached, "node", "left")
         .where("copies > 1 or links > 0 or component is not null")
         .select("digest", F.coalesce("component", "node").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")),
         "classes-linked",
