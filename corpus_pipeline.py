@@ -39,12 +39,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     again = stored(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     if again.isEmpty():
         return left
-    place = "__place"
-    first = Window.partitionBy("doc_id").orderBy("text")
-    one = left.join(again, "doc_id", "left_semi").withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
-    others = left.join(again, "doc_id", "left_anti")
     names = [*map(field, docs.columns)]
-    return others.select(*names).unionByName(one.select(*names))
+    # As a struct, so that no column of ``docs`` meets one of these names.
+    whole = left.join(again, "doc_id", "left_semi").select(
+        F.struct(*names).alias("row"), field("doc_id").alias("id"), field("text").alias("text")
+    )
+    first = F.row_number().over(Window.partitionBy("id").orderBy("text"))
+    one = whole.withColumn("place", first).where("place = 1").select("row.*")
+    return left.join(again, "doc_id", "left_anti").select(*names).unionByName(one)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
