@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbline.functions import events as ev
@@ -86,6 +86,7 @@ def normalized_events(log: DataFrame) -> DataFrame:
     keys, values = F.col("__metric_keys"), F.col("__metric_values")
     return (
         parsed.select(
+            delivery_key().alias("delivery_key"),
             text.squeezed(F.col("id"), 120).alias("event_id"),
             "event_type",
             text.squeezed(F.col("__origin.pipeline_id"), 100).alias("pipeline_id"),
@@ -104,6 +105,23 @@ def normalized_events(log: DataFrame) -> DataFrame:
     )
 
 
+def delivery_key() -> Column:
+    """What tells events apart: the whole id, or all of the event where the id is blank."""
+    whole = F.to_json(F.struct("event_type", "timestamp", "message", "origin", "details"))
+    own = text.blank_to_null(F.col("id"))
+    return F.when(own.isNull(), F.concat(F.lit("event:"), F.sha2(whole, 256))).otherwise(
+        F.concat(F.lit("id:"), F.sha2(own, 256))
+    )
+
+
+def one_per_event(found: DataFrame, *earliest: str) -> DataFrame:
+    """One row for each event: the first by ``earliest``, then one whose clock was still known."""
+    known = F.col("observed_duration_seconds").desc_nulls_last()
+    queued = F.col("observed_queue_seconds").desc_nulls_last()
+    place = Window.partitionBy("delivery_key").orderBy(*earliest, known, queued)
+    return found.withColumn("__place", F.row_number().over(place)).where("__place = 1").drop("__place")
+
+
 def _first_text(*candidates: Column) -> Column:
     return F.coalesce(*[text.blank_to_null(c) for c in candidates])
 
@@ -262,7 +280,7 @@ def alerts(
         ]
     )
     timed = with_output_rate(with_flow_timings(slim, carried))
-    return with_payload(timed.where(emit).drop("__emit"), settings).withColumn(
+    return with_payload(one_per_event(timed.where(emit).drop("__emit")), settings).withColumn(
         "observed_time", F.current_timestamp()
     )
 

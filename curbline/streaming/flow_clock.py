@@ -8,8 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from curbline.functions.events import TERMINAL_STATES
 from curbline.operators.flow_timings import STATE_DDL, running_clocks, with_flow_timings
-from curbline.plans.alerts import AlertSettings, alerts, normalized_events
-from curbline.streaming.ingest import finish
+from curbline.plans.alerts import AlertSettings, alerts, normalized_events, one_per_event
+from curbline.streaming.ingest import FILES_PER_BATCH, finish
 
 LOG_DDL = (
     "id string, event_type string, timestamp string, message string, origin string, details string"
@@ -17,7 +17,13 @@ LOG_DDL = (
 
 
 def watch_events(
-    spark: SparkSession, log_path: str, out: str, checkpoint: str, settings: AlertSettings
+    spark: SparkSession,
+    log_path: str,
+    out: str,
+    checkpoint: str,
+    settings: AlertSettings,
+    max_files_per_trigger: int = FILES_PER_BATCH,
+    seconds: float | None = None,
 ) -> StreamingQuery:
     """Append parsed events, timings of terminal events and alerts below ``out``.
 
@@ -26,9 +32,12 @@ def watch_events(
     only the clocks still running, one row per unfinished flow, pass to the next one. They
     are written under the batch number, so a batch run again reads what it read before and
     replaces what it wrote. Only the parsing runs in the stream's own session, which plans
-    without adaptive execution; everything after it reads the parsed table.
+    without adaptive execution; everything after it reads the parsed table. An event is
+    judged by the clocks of the batch in which it arrives: one that comes later than events
+    that followed it finds the clocks as those left them.
     """
-    stream = spark.readStream.schema(LOG_DDL).parquet(log_path)
+    reader = spark.readStream.schema(LOG_DDL).option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(log_path)
 
     def advance(batch: DataFrame, batch_id: int) -> None:
         here = f"batch={batch_id}"
@@ -46,14 +55,16 @@ def watch_events(
         publish(alerts(events, settings, before), "alerts")
         publish(running_clocks(events, before), "clocks")
 
-    return finish(
+    query = (
         stream.writeStream.foreachBatch(advance)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    finish(query, seconds=seconds)
+    return query
 
 
 def read_alerts(spark: SparkSession, out: str) -> DataFrame:
-    """One row per alert, also when an event was delivered more than once."""
-    return spark.read.parquet(f"{out}/alerts").drop("batch").dropDuplicates(["idempotency_key"])
+    """One row per alert, also when an event was delivered more than once: the earliest batch's."""
+    return one_per_event(spark.read.parquet(f"{out}/alerts"), "batch").drop("batch")

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from curbline.operators import enrich, quality
 from curbline.operators.additive import resum
-from curbline.streaming.ingest import finish
+from curbline.streaming.ingest import FILES_PER_BATCH, finish
 
 
 def split_stream(
@@ -21,15 +21,20 @@ def split_stream(
     quarantine_path: str,
     checkpoint: str,
     rules: Sequence[quality.Rule],
-) -> tuple[StreamingQuery, StreamingQuery]:
+    max_files_per_trigger: int = FILES_PER_BATCH,
+    seconds: float | None = None,
+) -> dict[str, int]:
     """Two append-only tables from one source; each row goes to exactly one of them.
 
     Both are stateless, so they are two independent exactly-once sinks. The quarantine run
-    also counts every rule over all rows as they pass (``observedMetrics``).
+    also counts every rule over all rows as they pass (``observedMetrics``); the sums over
+    this run's micro-batches are returned. A query remembers its latest batches only, so
+    they are taken while it runs, and a gap in their numbers is an error.
     """
 
     def source() -> DataFrame:
-        return spark.readStream.schema(schema).parquet(bronze)
+        reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+        return reader.parquet(bronze)
 
     def append(df: DataFrame, path: str, name: str) -> StreamingQuery:
         return (
@@ -43,16 +48,21 @@ def split_stream(
     watched = quality.observed(source(), rules, "trip_quality")
     kept = append(enrich.accepted_trips(source(), rules), accepted_path, "accepted")
     rejected = append(enrich.quarantined_trips(watched, rules), quarantine_path, "quarantine")
-    return finish(kept), finish(rejected)
+    counts: dict[int, dict[str, int]] = {}
 
+    def collect() -> None:
+        for progress in rejected.recentProgress:
+            row = progress["observedMetrics"].get("trip_quality")
+            if row is not None:
+                counts[progress["batchId"]] = {k: v or 0 for k, v in row.asDict().items()}
 
-def observed_counts(query: StreamingQuery, name: str = "trip_quality") -> dict[str, int]:
-    """Rule counters summed over the micro-batches of one run."""
+    finish(kept, rejected, seconds=seconds, seen=collect)
+    if counts and len(counts) != max(counts) - min(counts) + 1:
+        raise RuntimeError("micro-batches ended faster than their counters could be read")
     totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress["observedMetrics"].get(name)
-        for key, value in (row.asDict() if row is not None else {}).items():
-            totals[key] = totals.get(key, 0) + (value or 0)
+    for row in counts.values():
+        for key, value in row.items():
+            totals[key] = totals.get(key, 0) + value
     return totals
 
 
@@ -61,23 +71,27 @@ def keep_mart_current(
     build: Callable[[DataFrame], DataFrame],
     deltas: str,
     checkpoint: str,
+    seconds: float | None = None,
 ) -> StreamingQuery:
     """Store each micro-batch's share of an additive mart under its batch number.
 
     Old rows are never rewritten, and a batch run again replaces its own share. Readers sum
     the shares up (``read_mart``). Right for marts without a global choice of rows; the ones
-    that show only the busiest zones must be rebuilt.
+    that show only the busiest zones must be rebuilt. How large a micro-batch is, the
+    stream's reader says.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
         build(batch).write.mode("overwrite").parquet(f"{deltas}/share={batch_id}")
 
-    return finish(
+    query = (
         stream.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    finish(query, seconds=seconds)
+    return query
 
 
 def read_mart(spark: SparkSession, deltas: str, dims: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbline.operators import enrich, quality
-from curbline.plans import marts, tables
+from curbline.plans import alerts, marts, tables
 from curbline.plans.alerts import AlertSettings
 from curbline.session import new_work_dir
 from curbline.sources import derived
@@ -34,16 +34,17 @@ def test_ingestion_resumes_and_reads_each_file_once(spark, raw, base):
     assert bronze.where("_source_file IS NULL OR _ingested_at IS NULL").count() == 0
 
 
-def test_split_equals_batch_and_counts_rules(spark, raw, base):
-    raw.write.parquet(f"{base}/bronze")
+@pytest.mark.parametrize("files, files_per_batch", [(1, 1000), (104, 1)])
+def test_split_equals_batch_and_counts_rules(spark, raw, base, files, files_per_batch):
+    """Also over more micro-batches than a query remembers."""
+    raw.repartition(files).write.parquet(f"{base}/bronze")
     paths = (f"{base}/accepted", f"{base}/quarantine")
-    _, rejected = refine.split_stream(
-        spark, f"{base}/bronze", trip_files.TRIP_SCHEMA, *paths, f"{base}/cp", RULES
+    counted = refine.split_stream(
+        spark, f"{base}/bronze", trip_files.TRIP_SCHEMA, *paths, f"{base}/cp", RULES, files_per_batch
     )
     accepted = spark.read.parquet(paths[0])
     assert accepted.exceptAll(enrich.accepted_trips(raw, RULES)).count() == 0
     assert accepted.count() + spark.read.parquet(paths[1]).count() == raw.count()
-    counted = refine.observed_counts(rejected)
     report = {r.expectation: r.failed_records for r in quality.expectation_report(raw, RULES).collect()}
     assert counted.pop("records") == raw.count()
     assert counted == report
@@ -115,3 +116,72 @@ def test_an_event_delivered_twice_raises_one_alert(spark, base):
         spark.createDataFrame([event, event], flow_clock.LOG_DDL).write.mode("append").parquet(f"{base}/log")
         flow_clock.watch_events(spark, f"{base}/log", f"{base}/out", f"{base}/cp", AlertSettings())
     assert [a.idempotency_key for a in flow_clock.read_alerts(spark, f"{base}/out").collect()] == ["7:slack"]
+
+
+def failed(id, at="2026-01-01T00:00:00Z", flow="f"):
+    return (id, "flow_progress", at, "", f'{{"flow_name":"{flow}"}}', '{"flow_progress":{"state":"FAILED"}}')
+
+
+def test_distinct_events_keep_their_alerts(spark, base):
+    """Blank ids and ids that share their first letters are different events."""
+    long = "x" * 150
+    rows = [failed(i, flow=f"f{n}") for n, i in enumerate([None, "", "  ", f"{long}1", f"{long}2", f"{long}3"])]
+    spark.createDataFrame(rows + rows, flow_clock.LOG_DDL).coalesce(1).write.parquet(f"{base}/log")
+    flow_clock.watch_events(spark, f"{base}/log", f"{base}/out", f"{base}/cp", AlertSettings())
+    assert flow_clock.read_alerts(spark, f"{base}/out").count() == 6
+    events = alerts.normalized_events(spark.read.parquet(f"{base}/log"))
+    assert alerts.alerts(events, AlertSettings()).count() == 6
+
+
+def test_the_first_delivery_keeps_its_duration(spark, base):
+    def state(id, name, at):
+        origin = '{"pipeline_id":"p","update_id":"u","flow_name":"a.b.f"}'
+        return (id, "flow_progress", at, "", origin, f'{{"flow_progress":{{"state":"{name}"}}}}')
+
+    begun, ended = state("1", "RUNNING", "2026-01-01T00:00:00Z"), state("2", "FAILED", "2026-01-01T00:01:00Z")
+    for rows in ([begun], [ended], [ended]):
+        spark.createDataFrame(rows, flow_clock.LOG_DDL).coalesce(1).write.mode("append").parquet(f"{base}/log")
+        flow_clock.watch_events(spark, f"{base}/log", f"{base}/out", f"{base}/cp", AlertSettings())
+    found = flow_clock.read_alerts(spark, f"{base}/out").collect()
+    assert [(a.event_id, a.observed_duration_seconds) for a in found] == [("2", 60.0)]
+
+
+def test_a_failing_stream_stops_the_other(spark, raw, base):
+    raw.limit(10).write.parquet(f"{base}/in")
+    source = spark.readStream.schema(trip_files.TRIP_SCHEMA).parquet(f"{base}/in")
+
+    def fail(batch, number):
+        raise ValueError("broken on purpose")
+
+    steady = source.writeStream.format("noop").option("checkpointLocation", f"{base}/a").start()
+    broken = source.writeStream.foreachBatch(fail).option("checkpointLocation", f"{base}/b").trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="broken on purpose"):
+        ingest.finish(broken, steady)
+    assert not steady.isActive and not broken.isActive
+
+
+def test_a_time_limit_is_the_callers(spark, raw, base):
+    raw.limit(10).write.parquet(f"{base}/in")
+    query = spark.readStream.schema(trip_files.TRIP_SCHEMA).parquet(f"{base}/in").writeStream.format("noop").option(
+        "checkpointLocation", f"{base}/a"
+    ).start()
+    with pytest.raises(TimeoutError):
+        ingest.finish(query, seconds=1)
+    assert not query.isActive
+
+
+def test_evolving_files_that_differ_in_case_or_shape(spark, raw, base):
+    one = raw.limit(20).withColumnRenamed("Airport_fee", "airport_FEE") if "Airport_fee" in raw.columns else raw.limit(20).withColumnRenamed("total_amount", "TOTAL_amount")
+    nested = raw.limit(5).withColumn("passenger_count", F.struct(F.lit(1).alias("n")))
+    one.write.parquet(f"{base}/landing/one")
+    nested.write.parquet(f"{base}/landing/two")
+    ingest.ingest_evolving(spark, f"{base}/landing", f"{base}/bronze", f"{base}/schemas", f"{base}/cp")
+    table = ingest.read_evolved(spark, f"{base}/bronze", f"{base}/schemas")
+    assert table.count() == 25 and set(raw.columns) <= set(table.columns)
+    assert len({c.lower() for c in table.columns}) == len(table.columns)
+    rescued = table.where("_rescued_data IS NOT NULL").collect()
+    assert len(rescued) == 5 and all("passenger_count" in r._rescued_data for r in rescued)
+    before = spark.read.json(f"{base}/schemas").count()
+    raw.limit(3).write.parquet(f"{base}/landing/three")
+    ingest.ingest_evolving(spark, f"{base}/landing", f"{base}/bronze", f"{base}/schemas", f"{base}/cp")
+    assert spark.read.json(f"{base}/schemas").count() == before == 1
