@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbline.sources.files import open_fs
+
 # Smallest plausible trip file and the marker at both of its ends.
 MINIMUM_BYTES = 10_000_000
 PARQUET_MARK = b"PAR1"
@@ -36,12 +38,10 @@ def audit_files(files: DataFrame, minimum_bytes: int = MINIMUM_BYTES) -> DataFra
     """
 
     def both_ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         for batch in batches:
             sizes, marked = [], []
             for path in batch["path"]:
-                store, inner = fs.FileSystem.from_uri(path)
+                store, inner = open_fs(path)
                 with store.open_input_file(inner) as handle:
                     size = handle.size()
                     ends = (handle.read_at(4, 0), handle.read_at(4, size - 4)) if size >= 8 else ()

@@ -7,28 +7,34 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curbline.sources.files import open_fs
+
 RESCUED = "_rescued_data"
 
 
 def rescue(df: DataFrame, target: T.StructType, passthrough: Sequence[str] = ()) -> DataFrame:
     """Cast ``df`` to ``target``; what does not fit is kept as JSON in ``_rescued_data``.
 
-    Columns that ``df`` lacks become NULL. Columns that ``target`` lacks are rescued too.
+    Names are matched without case. Columns that ``df`` lacks become NULL. Columns that ``target`` lacks are rescued too.
     ``passthrough`` columns are neither cast nor rescued.
     """
-    present = set(df.columns)
-    known = {f.name for f in target}
-    misfits = [_misfit(f.name, f.dataType) for f in target if f.name in present]
-    misfits += [F.col(c) for c in df.columns if c not in known and c not in passthrough]
+    present = {c.lower(): c for c in reversed(df.columns)}
+    known = {f.name.lower() for f in target}
+    casts = {f.name: _cast(df, present[f.name.lower()], f.dataType) for f in target if f.name.lower() in present}
+    taken = {present[name] for name in known if name in present}
+    misfits = [
+        F.when(~fits, F.col(_quoted(present[name.lower()]))).alias(present[name.lower()])
+        for name, (_, fits) in casts.items()
+    ]
+    misfits += [F.col(_quoted(c)) for c in df.columns if c not in taken and c not in passthrough]
     return df.select(
         *[
-            F.col(f.name).try_cast(f.dataType).alias(f.name)
-            if f.name in present
-            else F.lit(None).cast(f.dataType).alias(f.name)
+            (casts[f.name][0] if f.name in casts else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in target
         ],
         _json_or_null(misfits).alias(RESCUED),
@@ -36,9 +42,33 @@ def rescue(df: DataFrame, target: T.StructType, passthrough: Sequence[str] = ())
     )
 
 
-def _misfit(name: str, wanted: T.DataType) -> Column:
-    fits = F.col(name).try_cast(wanted).isNotNull()
-    return F.when(~fits, F.col(name)).alias(name)
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _cast(df: DataFrame, name: str, wanted: T.DataType) -> tuple[Column, Column]:
+    """The value as ``wanted``, and whether nothing is lost by that.
+
+    A value fits if casting it back gives the same value; text fits if it can be read.
+    Types between which Spark knows no cast never fit.
+    """
+    own, kind = F.col(_quoted(name)), df.schema[name].dataType
+    if kind == wanted:
+        return own, F.lit(True)
+    cast = own.try_cast(wanted)
+    try:
+        df.select(cast)
+    except AnalysisException:
+        return F.lit(None).cast(wanted), own.isNull()
+    fits = own.isNull() | cast.isNotNull()
+    if not isinstance(kind, T.StringType):
+        back = cast.try_cast(kind)
+        try:
+            df.select(back.eqNullSafe(own))
+            fits = back.eqNullSafe(own)
+        except AnalysisException:
+            pass
+    return F.when(fits, cast), fits
 
 
 def _json_or_null(columns: list[Column]) -> Column:
@@ -52,12 +82,11 @@ def file_schemas(paths: DataFrame) -> DataFrame:
 
     def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow.parquet as pq
-        from pyarrow import fs
 
         for batch in batches:
             found = []
             for path in batch["path"]:
-                store, inner = fs.FileSystem.from_uri(path)
+                store, inner = open_fs(path)
                 with store.open_input_file(inner) as handle:
                     schema = pq.read_schema(handle)
                 found.append(json.dumps([[f.name, str(f.type)] for f in schema]))
@@ -84,17 +113,20 @@ def read_by_layout(spark: SparkSession, paths: DataFrame) -> list[DataFrame]:
 def evolve(known: T.StructType, frames: Sequence[DataFrame], ignore: Sequence[str] = ()) -> T.StructType:
     """``known`` plus the columns that are new in ``frames``, as nullable columns at the end.
 
-    A known column keeps its type. A new column that comes with several types becomes text.
+    A known column keeps its type, and names that differ in case only are one column. A new
+    column that comes with several types becomes text.
     """
-    fields = {f.name: f for f in known}
-    fresh: dict[str, set[str]] = {}
+    names = {name.lower() for name in [*known.names, *ignore]}
+    fresh: dict[str, tuple[set[str], set[str]]] = {}
     for df in frames:
         for f in df.schema:
-            if f.name not in fields and f.name not in ignore:
-                fresh.setdefault(f.name, set()).add(f.dataType.simpleString())
+            if f.name.lower() not in names:
+                spellings, kinds = fresh.setdefault(f.name.lower(), (set(), set()))
+                spellings.add(f.name)
+                kinds.add(f.dataType.simpleString())
     added = [
-        T.StructField(name, T.StringType() if len(kinds) > 1 else _parsed(kinds.pop()), True)
-        for name, kinds in sorted(fresh.items())
+        T.StructField(min(spellings), T.StringType() if len(kinds) > 1 else _parsed(kinds.pop()), True)
+        for _, (spellings, kinds) in sorted(fresh.items())
     ]
     return T.StructType([*known.fields, *added])
 
@@ -117,11 +149,11 @@ def save_schema(spark: SparkSession, location: str, version: int, schema: T.Stru
 
 def latest_schema(spark: SparkSession, location: str, before: int | None = None):
     """The newest saved schema below version ``before``, or NULL when there is none."""
-    from pyspark.errors import AnalysisException
-
     try:
         saved = spark.read.schema("version bigint, schema_json string").json(location)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     if before is not None:
         saved = saved.where(F.col("version") < before)

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -5,7 +7,7 @@ from pyspark.sql import types as T
 from curbline.operators.layout import publish_table
 from curbline.plans import tables
 from curbline.session import new_work_dir, shared_dir
-from curbline.sources import landing, rescue
+from curbline.sources import files, landing, rescue
 from curbline.sources import trips as trip_files
 
 
@@ -112,3 +114,20 @@ def test_published_tables_carry_their_layer(spark, tmp_path):
     assert described["Comment"] == "Receipt parts"
     assert spark.table("curbline_fares").collect()[0].a == 1
     spark.sql("DROP TABLE curbline_fares")
+
+
+def test_values_that_would_lose_something_are_rescued(spark):
+    frame = spark.sql(
+        "SELECT 2.7D AS a, timestamp'2025-01-02 03:04:05' AS b, 9007199254740993L AS c, '1.50' AS d, date'2025-01-02' AS E"
+        " UNION ALL SELECT 2D, timestamp'2025-01-02 00:00:00', 5L, 'x', date'2025-01-03'"
+    )
+    target = T.StructType.fromDDL("a int, b date, c double, d double, e timestamp")
+    rows = rescue.rescue(frame, target).orderBy("e").collect()
+    assert [rows[0][c] for c in "abc"] == [None] * 3 and rows[0].d == 1.5
+    assert set(json.loads(rows[0][rescue.RESCUED])) == {"a", "b", "c"}
+    assert rows[1].a == 2 and rows[1].c == 5.0 and json.loads(rows[1][rescue.RESCUED]) == {"d": "x"}
+
+
+def test_uris_are_named_as_arrow_knows_them():
+    known = {"s3a://b/k": "s3://b/k", "file:///a/b": "/a/b", "file:/a/b": "/a/b", "/a/b": "/a/b", "hdfs://n/a": "hdfs://n/a"}
+    assert {uri: files.arrow_uri(uri) for uri in known} == known
