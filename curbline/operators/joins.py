@@ -7,18 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is copied to every executor, so it needs a proof of its size.
-MAX_BROADCAST_ROWS = 100_000
 
-
-def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only for a frame that cannot exceed ``max_rows`` by construction.
+def broadcast_bounded(df: DataFrame) -> DataFrame:
+    """Hint a broadcast for a frame whose rows are bounded by construction.
 
     Such a bound comes from a rank limit times a fixed list of groups, which Spark's own
-    estimate cannot see. Without a small enough bound the frame is returned as it is and
-    Spark decides from its statistics, at planning time or adaptively at run time.
+    estimate cannot see. Callers state it; all other joins are left to Spark's size check.
     """
-    return F.broadcast(df) if max_rows <= MAX_BROADCAST_ROWS else df
+    return F.broadcast(df)
 
 
 def with_zone(
@@ -38,22 +34,28 @@ def with_zone(
 
 
 def in_selected_zones(
-    trips: DataFrame, selected: DataFrame, columns: Sequence[str], max_rows: int
+    trips: DataFrame, selected: DataFrame, columns: Sequence[str]
 ) -> DataFrame:
-    """Trips whose pickup zone is in a ranked subset, with the subset's labels."""
+    """Trips whose pickup zone is in a ranked subset, with the subset's labels.
+
+    The subset has at most its rank limit of zones for each borough of a fixed list.
+    """
     side = selected.select(F.col("location_id").alias("__selected"), *columns)
     return trips.join(
-        broadcast_bounded(side, max_rows), F.col("PULocationID") == F.col("__selected")
+        broadcast_bounded(side), F.col("PULocationID") == F.col("__selected")
     ).drop("__selected")
 
 
 def in_selected_pairs(
-    trips: DataFrame, pairs: DataFrame, columns: Sequence[str], max_rows: int
+    trips: DataFrame, pairs: DataFrame, columns: Sequence[str]
 ) -> DataFrame:
-    """Trips on a selected (origin, destination) pair, with the pair's labels."""
+    """Trips on a selected (origin, destination) pair, with the pair's labels.
+
+    The pairs are at most as many as their rank limit.
+    """
     side = pairs.select("origin_id", "destination_id", *columns)
     return trips.join(
-        broadcast_bounded(side, max_rows),
+        broadcast_bounded(side),
         (F.col("PULocationID") == F.col("origin_id"))
         & (F.col("DOLocationID") == F.col("destination_id")),
     ).drop("origin_id", "destination_id")

@@ -7,6 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
+def clustered(
+    df: DataFrame, keys: Sequence[str], spread: Sequence[str] = (), partitions: int | None = None
+) -> DataFrame:
+    """Ordered so that each written file covers a narrow range of ``keys``; readers that filter
+    on a leading key then skip most row groups by their statistics.
+
+    Ranges are cut by sampled volume. ``spread`` columns continue the sort order below the
+    keys, so one very frequent key combination can still be cut over several files.
+    """
+    order = [*keys, *spread]
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
+
+
 def write_clustered(
     df: DataFrame,
     path: str,
@@ -14,20 +28,13 @@ def write_clustered(
     spread: Sequence[str] = (),
     partitions: int | None = None,
 ) -> None:
-    """Write so that each file covers a narrow range of ``keys``; readers that filter on a
-    leading key then skip most row groups by their statistics.
-
-    Ranges are cut by sampled volume. ``spread`` columns continue the sort order below the
-    keys, so one very frequent key combination can still be cut over several files.
-    """
-    order = [*keys, *spread]
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    ranged.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    clustered(df, keys, spread, partitions).write.mode("overwrite").parquet(path)
 
 
 def publish_table(df: DataFrame, name: str, path: str, layer: str, comment: str) -> None:
     """Register ``df`` as a catalog table with its layer and purpose as metadata."""
     spark = df.sparkSession
     df.write.mode("overwrite").option("path", path).saveAsTable(name)
+    name = ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = :layer)", {"layer": layer})
     spark.sql(f"COMMENT ON TABLE {name} IS :comment", {"comment": comment})

@@ -44,7 +44,7 @@ def fold_axes(profiles: DataFrame, axes: Sequence[str] = AXES) -> DataFrame:
     return folded.withColumn("axis_order", position.cast("int"))
 
 
-def with_axis_range(folded: DataFrame, axis_count: int = len(AXES)) -> DataFrame:
+def with_axis_range(folded: DataFrame) -> DataFrame:
     """Smallest and largest value of each axis next to its rows.
 
     With so few axes a window would pull a large share of all rows into one task. The
@@ -53,7 +53,7 @@ def with_axis_range(folded: DataFrame, axis_count: int = len(AXES)) -> DataFrame
     ranges = folded.groupBy("key").agg(
         F.min("value").alias("axis_min"), F.max("value").alias("axis_max")
     )
-    return folded.join(broadcast_bounded(ranges, axis_count), "key")
+    return folded.join(broadcast_bounded(ranges), "key")
 
 
 def normalized(ranged: DataFrame) -> DataFrame:

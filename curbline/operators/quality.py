@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -199,6 +199,27 @@ def breaches(report: DataFrame, ratio: float = 0.01, minimum_records: int = 1000
     )
 
 
+def counted(df: DataFrame, rules: Sequence[Rule], into: Observation) -> DataFrame:
+    """Let Spark count rows, accepted rows and broken rules, by reason, while ``df`` is written."""
+    return df.observe(
+        into,
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(_all_hold(rules)).alias("accepted_rows"),
+        *[F.count_if(~rule.holds).alias(rule.reason) for rule in rules],
+    )
+
+
+def counted_metrics(spark: SparkSession, counts: dict[str, int], rules: Sequence[Rule]) -> DataFrame:
+    """The rows of ``rule_metrics`` from what ``counted`` has seen, with the time of counting."""
+    total, kept = counts["total_rows"], counts["accepted_rows"]
+    rows = [
+        (rule.reason, counts[rule.reason], counts[rule.reason] / total if total else None, total, kept, total - kept)
+        for rule in rules
+    ]
+    columns = "rule_name string, failed_rows bigint, failure_rate double, total_rows bigint, accepted_rows bigint, quarantined_rows bigint"
+    return spark.createDataFrame(rows, columns).withColumn("computed_at", F.current_timestamp())
+
+
 def observed(df: DataFrame, rules: Sequence[Rule], name: str) -> DataFrame:
     """Let Spark count broken rules while ``df`` flows past, in batch or in a stream."""
     return df.observe(

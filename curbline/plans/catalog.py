@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from curbline.operators.flow_timings import with_flow_timings, with_output_rate
 from curbline.operators.layout import write_clustered
 from curbline.operators import slicing
 from curbline.operators.slicing import Slice, widget_query
-from curbline.plans import alerts, marts, tables, widgets
+from curbline.plans import alerts, marts, refresh, tables, widgets
 from curbline.plans.refresh import TRIP_KEYS
 from curbline.session import new_work_dir
 from curbline.sources import derived, landing, rescue
@@ -238,6 +239,19 @@ def clustered_write(spark, d):
     )
 
 
+@query
+def refresh_tables(spark, d):
+    """Rows of each table that a full refresh publishes."""
+    written = refresh.refresh(spark, raw(spark, d), zones(spark), f"{new_work_dir(spark, 'lake')}/tables")
+    counted = [
+        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), F.lit(refresh.TABLES[name][0]).alias("layer"), "row_count"
+        )
+        for name, path in written.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query
 def incremental_mart_fare(spark, d):
     base = new_work_dir(spark, "incremental")

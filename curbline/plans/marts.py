@@ -117,7 +117,6 @@ def directional_flow(
         moving,
         chosen,
         ["pickup_zone", "pickup_borough", "longitude", "latitude"],
-        k * len(trip.ALL_BOROUGHS),
     )
     ends = {"longitude": "end_longitude", "latitude": "end_latitude"}
     return additive_mart(
@@ -185,7 +184,7 @@ def selected_pairs(
     pairs = pair_totals(trips)
     origins = selected_origins(pairs, zones)
     columns = ["origin_zone", "pickup_borough", "origin_longitude", "origin_latitude"]
-    from_origins = in_selected_zones(pairs, origins, columns, _max_origins())
+    from_origins = in_selected_zones(pairs, origins, columns)
     labelled = with_zone(
         from_origins,
         zones,
@@ -212,10 +211,6 @@ def selected_pairs(
     )
 
 
-def _max_origins(k: int = ORIGINS_PER_BOROUGH) -> int:
-    return k * len(trip.CITY_BOROUGHS) + 1
-
-
 PAIR_LABELS = [
     "pickup_borough",
     "origin_zone",
@@ -234,9 +229,7 @@ def od_connections(
     rides = trips.select(
         "trip_date", "pickup_hour", "PULocationID", "DOLocationID", "duration_min"
     )
-    on_pairs = in_selected_pairs(
-        rides, selected_pairs(trips, zones, k), PAIR_LABELS, _max_origins() * k
-    )
+    on_pairs = in_selected_pairs(rides, selected_pairs(trips, zones, k), PAIR_LABELS)
     return additive_mart(
         on_pairs.withColumn("airport_flag", _flag()),
         ["trip_date", "pickup_hour", "airport_flag", *PAIR_LABELS],
@@ -252,7 +245,7 @@ def operating_profile(
     long_enough = F.col("trip_distance") >= 0.5
     chosen = busiest_city_zones(trips, zones, k)
     rides = in_selected_zones(
-        trips, chosen, ["pickup_zone", "pickup_borough"], k * len(trip.CITY_BOROUGHS)
+        trips, chosen, ["pickup_zone", "pickup_borough"]
     )
     at_airport = trip.touches_airport(F.col("PULocationID"), F.col("DOLocationID"))
     return additive_mart(
@@ -279,7 +272,7 @@ def demand_horizon(
     """Daily rides of the busiest zones next to the mean of the same weekday and hour."""
     chosen = busiest_city_zones(trips, zones, k)
     rides = in_selected_zones(
-        trips, chosen, ["pickup_zone", "pickup_borough"], k * len(trip.CITY_BOROUGHS)
+        trips, chosen, ["pickup_zone", "pickup_borough"]
     )
     daily = additive_mart(
         rides.withColumn("airport_flag", _flag()),

@@ -879,3 +879,20 @@ for _key, _final in FINALS.items():
         ORACLES[_key] = f"WITH {_steps},\n" + _final.lstrip()[len("WITH ") :]
     else:
         ORACLES[_key] = _sql(_final)
+
+# The rows of every published table, from the statements of the tables themselves.
+_PUBLISHED = {
+    "accepted": ("silver", "accepted_trips"),
+    "quarantine": ("silver", "quarantined_trips"),
+    "quality_metrics": ("silver", "dq_metrics"),
+    "airport_quantile": ("gold", "mart_quantile_fan"),
+    "directional_flow": ("gold", "mart_directional_flow"),
+    "od_connection": ("gold", "mart_od_connections"),
+    "parallel_coordinates": ("gold", "mart_operating_profile"),
+    "horizon": ("gold", "mart_demand_horizon"),
+    "fare_ternary": ("gold", "mart_fare_composition"),
+}
+ORACLES["refresh_tables"] = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{layer}' AS layer, count(*) AS row_count FROM ({ORACLES[key]})"
+    for table, (layer, key) in _PUBLISHED.items()
+)

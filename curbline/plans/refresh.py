@@ -2,43 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from curbline.operators import contracts, enrich, quality
-from curbline.operators.layout import write_clustered
+from curbline.operators.layout import clustered, publish_table
 from curbline.plans.marts import MARTS
+from curbline.session import new_work_dir
 
 # Clustering keys of the published tables.
 TRIP_KEYS = ("trip_date", "PULocationID", "DOLocationID")
-REJECTED_KEYS = ("PULocationID", "DOLocationID")
+REJECTED_KEYS = ("_source_file", "PULocationID", "DOLocationID")
 MART_KEYS = {"airport_quantile": ("trip_date", "pickup_borough", "airport")}
 DEFAULT_MART_KEYS = ("trip_date", "pickup_borough", "airport_flag")
 
 
+# Purpose and layer of each published table.
+TABLES = {
+    "accepted": ("silver", "Trips that keep every rule"),
+    "quarantine": ("silver", "Trips that break a rule, with the reasons"),
+    "quality_metrics": ("silver", "Rows that break each rule"),
+    **{name: ("gold", f"Additive mart: {name.replace('_', ' ')}") for name in MARTS},
+}
+
+
 def refresh(
-    spark: SparkSession, raw: DataFrame, zones: DataFrame, out: str, expected_year: int = 2025
+    spark: SparkSession,
+    raw: DataFrame,
+    zones: DataFrame,
+    out: str,
+    expected_year: int = 2025,
+    database: str | None = None,
 ) -> dict[str, str]:
     """Write every table below ``out`` and return their paths.
 
-    The dimension is checked before anything is published. Accepted trips are written once
-    and all marts read that table, so the rules are evaluated once per raw row.
+    The dimension is checked before anything is published. Raw trips are read once: their
+    derived columns and broken rules are written with one pass, which also counts for the
+    metrics. Accepted and quarantined trips come from that table, and the marts from the
+    accepted ones. With ``database``, the tables are registered there, with layer and comment.
     """
     quality.require(contracts.zone_summary(zones), quality.ZONE_CONTRACT)
     rules = quality.trip_rules(expected_year)
-    tables = {"accepted": f"{out}/accepted", "quarantine": f"{out}/quarantine"}
-    write_clustered(
-        enrich.accepted_trips(raw, rules), tables["accepted"], TRIP_KEYS, ["tpep_pickup_datetime"]
-    )
-    write_clustered(
-        enrich.quarantined_trips(raw, rules),
-        tables["quarantine"],
-        REJECTED_KEYS,
-        ["tpep_pickup_datetime"],
-    )
-    tables["quality_metrics"] = f"{out}/quality_metrics"
-    quality.rule_metrics(raw, rules).write.mode("overwrite").parquet(tables["quality_metrics"])
-    trips = spark.read.parquet(tables["accepted"])
+    tables = {name: f"{out}/{'marts/' * (name in MARTS)}{name}" for name in TABLES}
+
+    def publish(df: DataFrame, name: str) -> None:
+        if database is None:
+            df.write.mode("overwrite").parquet(tables[name])
+        else:
+            publish_table(df, f"{database}.{name}", tables[name], *TABLES[name])
+
+    graded, counts = new_work_dir(spark, "graded-trips"), Observation("trip_quality")
+    watched = quality.counted(raw, rules, counts)
+    quality.with_rejections(enrich.with_trip_columns(watched), rules).write.parquet(graded)
+    trips = spark.read.parquet(graded)
+    kept = trips.where(F.size("rejection_reasons") == 0).select(*enrich.ACCEPTED_COLUMNS)
+    publish(clustered(kept, TRIP_KEYS, ["tpep_pickup_datetime"]), "accepted")
+    keys = [k for k in REJECTED_KEYS if k in trips.columns]
+    rejected = trips.where(F.size("rejection_reasons") > 0)
+    publish(clustered(rejected, keys, ["tpep_pickup_datetime"]), "quarantine")
+    publish(quality.counted_metrics(spark, counts.get, rules), "quality_metrics")
+    accepted = spark.read.parquet(tables["accepted"])
     for name, build in MARTS.items():
-        tables[name] = f"{out}/marts/{name}"
-        write_clustered(build(trips, zones), tables[name], MART_KEYS.get(name, DEFAULT_MART_KEYS))
+        publish(clustered(build(accepted, zones), MART_KEYS.get(name, DEFAULT_MART_KEYS)), name)
     return tables

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbline.functions import text, trip
-from curbline.operators import charts, histograms, profiles, slicing
+from curbline.operators import charts, histograms, profiles, quality, slicing
 from curbline.operators.additive import merge_additive
 from curbline.operators.ranking import top_k
 from curbline.plans import marts, refresh, tables, widgets
@@ -166,11 +166,39 @@ def test_refresh_publishes_all_tables(spark, sf_dir, tmp_path):
     counts = {name: spark.read.parquet(path).count() for name, path in written.items()}
     assert counts["accepted"] + counts["quarantine"] == raw.count()
     assert counts["quality_metrics"] == 6
+    metrics = spark.read.parquet(written["quality_metrics"])
+    assert metrics.where("computed_at IS NOT NULL").drop("computed_at").exceptAll(
+        quality.rule_metrics(raw, refresh.quality.trip_rules(2025))
+    ).isEmpty()
     assert same(
         spark.read.parquet(written["fare_ternary"]), tables.mart(spark, sf_dir, "fare_ternary")
     )
 
 
+def test_refresh_reads_raw_trips_once(spark, sf_dir, tmp_path):
+    raw, read = tables.raw_trips(spark, sf_dir), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    refresh.refresh(spark, raw.mapInArrow(count, raw.schema), derived.zones(spark), str(tmp_path / "lake"))
+    assert read.value == raw.count()
+
+
+def test_refresh_registers_its_tables(spark, sf_dir, tmp_path):
+    raw = tables.raw_trips(spark, sf_dir).limit(500)
+    spark.sql("CREATE DATABASE lake_test")
+    try:
+        refresh.refresh(spark, raw, derived.zones(spark), str(tmp_path / "lake"), database="lake_test")
+        for name, (layer, comment) in refresh.TABLES.items():
+            described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED lake_test.{name}").collect()}
+            assert f"quality={layer}" in described["Table Properties"] and described["Comment"] == comment
+    finally:
+        spark.sql("DROP DATABASE lake_test CASCADE")
+
+
 def test_refresh_publishes_nothing_with_a_broken_dimension(spark, sf_dir, tmp_path):
     raw = tables.raw_trips(spark, sf_dir)
     with pytest.raises(RuntimeError):
