@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.session import new_work_dir
+from curbline.sources.files import open_fs as open_fs
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,26 +32,10 @@ def narrowed(frame: DataFrame, **columns: str) -> DataFrame:
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame written below the shared folder and read again; later steps start there."""
     path = new_work_dir(frame.sparkSession, purpose)
-    frame.write.option("compression", "zstd").parquet(path)
+    frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-#: Names of one store in Spark and in Arrow.
-SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss"}
-
-
-def open_fs(uri: str):
-    """Arrow's file system and the path in it, for a URI as Spark writes it."""
-    from pyarrow import fs
-
-    scheme, colon, rest = uri.partition(":")
-    if not colon or "/" in scheme:
-        return fs.LocalFileSystem(), uri
-    if scheme == "file":
-        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
-
-
 def put_in_place(filesystem, written: str, path: str) -> None:
     """Name a finished file. An attempt that comes later puts the same bytes there."""
     filesystem.move(written, path)
