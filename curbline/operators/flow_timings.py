@@ -21,7 +21,6 @@ from curbline.functions.events import QUEUED_STATES, STARTED_STATES, TERMINAL_ST
 
 FLOW_KEY = ["pipeline_id", "update_id", "flow_name"]
 BUCKET_SECONDS = 3600
-UNKEYED_SALTS = 4096
 SHORTEST_RUN = 0.001
 STATE_DDL = (
     "pipeline_id string, update_id string, flow_name string,"
@@ -35,10 +34,18 @@ def with_flow_timings(
     """``events`` with ``observed_duration_seconds`` and ``observed_queue_seconds``.
 
     Needs FLOW_KEY, ``state``, ``event_time`` and ``event_id``; all other columns pass
-    through. ``carried`` holds the clocks that were running before these events.
+    through. ``carried`` holds the clocks that were running before these events. Events that
+    move no clock take no part in the shuffles and windows.
     """
     keys = [*FLOW_KEY, "__bucket"]
-    runs = _with_runs(events, bucket_seconds, keys)
+    moving = F.coalesce(
+        _is_keyed() & F.col("state").isin(*TERMINAL_STATES, *QUEUED_STATES, *STARTED_STATES), F.lit(False)
+    )
+    nothing = F.lit(None).cast("double")
+    others = events.where(~moving).withColumns(
+        {"observed_duration_seconds": nothing, "observed_queue_seconds": nothing}
+    )
+    runs = _with_runs(events.where(moving), bucket_seconds, keys)
     starts = _bucket_starts(_bucket_ends(events, bucket_seconds, keys), carried)
     joined = runs.join(starts, keys, "left")
     in_first_run = F.col("__run") == 0
@@ -46,7 +53,7 @@ def with_flow_timings(
     begun = F.least(F.when(in_first_run, F.col("__carried_started")), F.col("__started"))
     started = F.coalesce(begun, queued)
     stops = F.col("__terminal") == 1
-    return joined.withColumns(
+    timed = joined.withColumns(
         {
             "observed_duration_seconds": F.when(
                 stops & started.isNotNull(),
@@ -57,6 +64,7 @@ def with_flow_timings(
             ),
         }
     ).select(*events.columns, "observed_duration_seconds", "observed_queue_seconds")
+    return timed.unionByName(others)
 
 
 def running_clocks(
@@ -92,14 +100,13 @@ def _is_keyed() -> Column:
 
 
 def _bucketed(events: DataFrame, bucket_seconds: int) -> DataFrame:
-    """Events that keep no clock are spread over negative buckets to stay out of the way."""
+    """Events with the number of their bucket and what they do to a clock."""
     bucket = F.floor(F.unix_timestamp("event_time") / bucket_seconds)
-    spread = -1 - F.pmod(F.xxhash64("event_id"), F.lit(UNKEYED_SALTS))
     keyed = _is_keyed()
     terminal = keyed & F.col("state").isin(*TERMINAL_STATES)
     return events.withColumns(
         {
-            "__bucket": F.when(keyed, bucket).otherwise(spread),
+            "__bucket": bucket,
             "__terminal": F.when(terminal, 1).otherwise(0),
             "__queued_at": F.when(keyed & F.col("state").isin(*QUEUED_STATES), F.col("event_time")),
             "__started_at": F.when(keyed & F.col("state").isin(*STARTED_STATES), F.col("event_time")),

@@ -285,6 +285,12 @@ def alerts(
     )
 
 
+def timed_alerts(timed: DataFrame, settings: AlertSettings) -> DataFrame:
+    """As ``alerts``, from events that have their timings and output rate already."""
+    found = graded(timed, settings).where(is_emitted(settings))
+    return with_payload(one_per_event(found), settings).withColumn("observed_time", F.current_timestamp())
+
+
 def throughput_text() -> Column:
     """Native processed rate, else native input rate, else the derived output rate."""
 

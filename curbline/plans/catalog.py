@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from curbline.functions import text, trip
 from curbline.operators import charts, contracts, enrich, histograms, joins, profiles, quality
-from curbline.operators.flow_timings import with_flow_timings, with_output_rate
+from curbline.operators.flow_timings import with_output_rate
 from curbline.operators.layout import write_clustered
 from curbline.operators import slicing
 from curbline.operators.slicing import Slice, widget_query
@@ -426,7 +426,7 @@ def join_selected_zones(spark, d):
     trips = good(spark, d)
     chosen = marts.busiest_city_zones(trips, zones(spark), 5)
     columns = ["pickup_zone", "pickup_borough", "borough_rank"]
-    return joins.in_selected_zones(trips, chosen, columns, 25).select(*ENDS, *columns)
+    return joins.in_selected_zones(trips, chosen, columns).select(*ENDS, *columns)
 
 
 @query
@@ -442,7 +442,7 @@ def join_od_candidates(spark, d):
     trips = good(spark, d)
     pairs = marts.selected_pairs(trips, zones(spark))
     columns = ["origin_zone", "destination_zone", "destination_rank"]
-    return joins.in_selected_pairs(trips, pairs, columns, 16 * 12).select(*ENDS, *columns)
+    return joins.in_selected_pairs(trips, pairs, columns).select(*ENDS, *columns)
 
 
 @query
@@ -699,7 +699,7 @@ def events(spark, d):
 
 
 def timed(spark, d):
-    return with_output_rate(with_flow_timings(events(spark, d)))
+    return tables.timed_events(spark, d)
 
 
 @query
@@ -808,7 +808,7 @@ PAYLOAD = [
 
 @query
 def alert_payloads(spark, d):
-    return alerts.alerts(tables.events(spark, d), SETTINGS).select(*PAYLOAD)
+    return tables.found_alerts(spark, d, SETTINGS).select(*PAYLOAD)
 
 
 @query
@@ -824,7 +824,7 @@ def metric_formatting(spark, d):
 
 
 def _messages(spark, d):
-    return alerts.with_message_texts(alerts.alerts(tables.events(spark, d), SETTINGS), SETTINGS)
+    return alerts.with_message_texts(tables.found_alerts(spark, d, SETTINGS), SETTINGS)
 
 
 @query

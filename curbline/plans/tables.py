@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from curbline.operators import enrich, quality
+from curbline.operators.flow_timings import with_flow_timings, with_output_rate
 from curbline.plans import alerts, marts
 from curbline.session import new_work_dir
 from curbline.sources import derived
@@ -27,7 +28,7 @@ def written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str],
     key = (spark.conf.get("spark.app.id"), sf_dir, name)
     with _LOCK:
         if key not in _PATHS:
-            path = new_work_dir(spark, name)
+            path = new_work_dir(spark, "".join(c if c.isalnum() else "-" for c in name)[:40])
             write(path)
             _PATHS[key] = path
     return _PATHS[key]
@@ -72,3 +73,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(
         spark, sf_dir, "events", lambda: alerts.normalized_events(event_log(spark, sf_dir))
     )
+
+
+def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parsed events with the timings of their flows."""
+    return stored(spark, sf_dir, "timed_events", lambda: with_output_rate(with_flow_timings(events(spark, sf_dir))))
+
+
+def found_alerts(spark: SparkSession, sf_dir: str, settings: alerts.AlertSettings) -> DataFrame:
+    """The alerts under one set of settings, in rows that messages are made from."""
+    return stored(
+        spark, sf_dir, f"alerts-{settings}", lambda: alerts.timed_alerts(timed_events(spark, sf_dir), settings)
+    )

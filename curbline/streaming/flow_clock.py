@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from curbline.functions.events import TERMINAL_STATES
-from curbline.operators.flow_timings import STATE_DDL, running_clocks, with_flow_timings
-from curbline.plans.alerts import AlertSettings, alerts, normalized_events, one_per_event
+from curbline.operators.flow_timings import STATE_DDL, running_clocks, with_flow_timings, with_output_rate
+from curbline.plans.alerts import AlertSettings, normalized_events, one_per_event, timed_alerts
 from curbline.streaming.ingest import FILES_PER_BATCH, finish
 
 LOG_DDL = (
@@ -50,9 +50,12 @@ def watch_events(
             before = spark.read.schema(STATE_DDL).parquet(f"{out}/clocks/batch={batch_id - 1}")
         publish(normalized_events(batch), "events")
         events = spark.read.parquet(f"{out}/events/{here}")
-        timed = with_flow_timings(events, before)
-        publish(timed.where(F.col("state").isin(*TERMINAL_STATES)), "timings")
-        publish(alerts(events, settings, before), "alerts")
+        publish(with_output_rate(with_flow_timings(events, before)), "timed")
+        timed = spark.read.parquet(f"{out}/timed/{here}")
+        publish(
+            timed.where(F.col("state").isin(*TERMINAL_STATES)).drop("avg_output_rows_per_second"), "timings"
+        )
+        publish(timed_alerts(timed, settings), "alerts")
         publish(running_clocks(events, before), "clocks")
 
     query = (
