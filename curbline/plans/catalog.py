@@ -368,12 +368,12 @@ def failed_by_rule(spark, d):
 
 @query
 def zone_contract(spark, d):
-    return contracts.zone_summary(derived.zones_in_use(raw(spark, d)))
+    return contracts.zone_summary(derived.zones_mentioned(raw(spark, d)))
 
 
 @query
 def expectation_report(spark, d):
-    return quality.expectation_report(derived.zones_in_use(raw(spark, d)), quality.ZONE_RULES)
+    return quality.expectation_report(derived.zones_mentioned(raw(spark, d)), quality.ZONE_RULES)
 
 
 @query

@@ -97,6 +97,12 @@ CTES["used_zones"] = f"""
     SELECT {_zone_attributes('id')} FROM (
         SELECT PULocationID AS id FROM trips UNION SELECT DOLocationID FROM trips)
     WHERE id BETWEEN 1 AND 263"""
+CTES["mentioned_zones"] = f"""
+    SELECT * REPLACE (CASE WHEN location_id <= 263 THEN borough END AS borough,
+                      CASE WHEN location_id <= 263 THEN zone END AS zone,
+                      CASE WHEN location_id > 264 THEN 0::DOUBLE ELSE longitude END AS longitude)
+    FROM (SELECT {_zone_attributes('id')} FROM (
+        SELECT PULocationID AS id FROM trips UNION SELECT DOLocationID FROM trips) WHERE id IS NOT NULL)"""
 CTES["timed"] = f"""
     SELECT *, tpep_pickup_datetime::DATE AS trip_date,
            month(tpep_pickup_datetime)::INTEGER AS pickup_month,
@@ -519,11 +525,12 @@ FINALS["failed_by_rule"] = " UNION ALL ".join(
 FINALS["zone_contract"] = """
     SELECT count(*) AS row_count, count(DISTINCT location_id) AS distinct_location_ids,
            min(location_id) AS minimum_location_id, max(location_id) AS maximum_location_id,
-           0::BIGINT AS null_required_fields FROM used_zones"""
+           count(*) FILTER (borough IS NULL OR zone IS NULL OR longitude IS NULL OR latitude IS NULL) AS null_required_fields
+    FROM mentioned_zones"""
 FINALS["expectation_report"] = " UNION ALL ".join(
     f"SELECT '{name}' AS expectation, count(*) FILTER ({p}) AS passed_records,"
     f" count(*) FILTER (NOT ({p})) AS failed_records,"
-    f" {r(f'count(*) FILTER (NOT ({p}))::DOUBLE / count(*)')} AS failure_ratio FROM used_zones"
+    f" {r(f'count(*) FILTER (NOT ({p}))::DOUBLE / count(*)')} AS failure_ratio FROM mentioned_zones"
     for name, p in (
         ("valid_location_id", "location_id BETWEEN 1 AND 263"),
         ("non_null_labels", "borough IS NOT NULL AND zone IS NOT NULL"),

@@ -107,6 +107,20 @@ def zones_in_use(raw_trips: DataFrame) -> DataFrame:
     return with_zone_attributes(ids.where(F.col("id").between(1, ZONE_COUNT)).distinct(), "id")
 
 
+def zones_mentioned(raw_trips: DataFrame) -> DataFrame:
+    """A dimension row for every zone id that the trips mention, valid or not.
+
+    Ids beyond the dimension come without labels, and the last one off the map, so each
+    rule over the dimension meets rows that break it.
+    """
+    ids = raw_trips.select(F.explode(F.array("PULocationID", "DOLocationID")).alias("id"))
+    beyond = F.col("location_id") > ZONE_COUNT
+    named = {c: F.when(~beyond, F.col(c)) for c in ("borough", "zone")}
+    off = F.when(F.col("location_id") > ZONE_COUNT + 1, F.lit(0.0)).otherwise(F.col("longitude"))
+    known = ids.where("id IS NOT NULL").distinct()
+    return with_zone_attributes(known, "id").withColumns({**named, "longitude": off})
+
+
 # The seven flow names of the derived event log.
 FLOW_NAMES = (
     "trips_raw",
