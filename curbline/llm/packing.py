@@ -100,14 +100,14 @@ def pack(items: DataFrame, permitted: Sequence[int] = LENGTHS, overhead: int = O
     """
     permitted = sorted(permitted)
     most = permitted[-1]
-    total = items.agg(F.sum("length")).first()[0] or 0
-    groups = -(-total // group_tokens) or 1
     full = F.floor(F.col("length") / most)
+    total, pieces = items.agg(F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(F.max(full), F.lit(0))).first()
+    groups = -(-total // group_tokens) or 1
     whole = items.where(F.col("length") >= most).select("doc_id", "row", F.explode(F.sequence(F.lit(0), full - 1)).alias("piece"))
-    # Numbers below zero are apart from those of the groups.
+    # Numbers below zero are apart from those of the groups, and each piece of each row has its own.
     whole = whole.select(
         "doc_id", "piece", (F.col("piece") * most).alias("start"), F.lit(most).cast("long").alias("length"),
-        (-1 - F.xxhash64("row", "piece").bitwiseAND(F.lit(2**62 - 1))).alias("bin"), F.lit(0).cast("long").alias("place"),
+        (-1 - (F.col("row") * pieces + F.col("piece"))).alias("bin"), F.lit(0).cast("long").alias("place"),
         F.lit(most).cast("long").alias("capacity"),
     )
     rest = items.where(F.col("length") % most > 0).select(
