@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that a task holds as arrays at a time; a longer document is a block of its own.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -82,8 +82,10 @@ def words(data: np.ndarray, offsets: np.ndarray, also: np.ndarray | None = None)
     if also is not None:
         first |= solid & also
     starts = np.flatnonzero(first)
-    solids = np.concatenate(([0], np.cumsum(solid)))
-    return strings(data[solid], np.append(solids[starts], solids[-1])), np.searchsorted(starts, offsets)
+    # A start's place among the bytes that stay: its number less the white space before it.
+    blanks = np.flatnonzero(~solid)
+    places = starts - np.searchsorted(blanks, starts)
+    return strings(data[solid], np.append(places, len(data) - len(blanks))), np.searchsorted(starts, offsets)
 
 
 _LETTER = np.zeros(256, bool)
@@ -105,6 +107,13 @@ def coded(pieces: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return found.indices.to_numpy(zero_copy_only=False), found.dictionary
 
 
+def hashed(words: list[str]) -> np.ndarray:
+    """64-bit hash values of texts, the same in every process."""
+    from xxhash import xxh3_64_intdigest
+
+    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The positions of all runs ``starts[i] .. starts[i] + sizes[i]``, one run after another."""
     ends = np.cumsum(sizes)
@@ -114,6 +123,8 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """The sum of ``values`` between neighbouring ``edges``."""
+    if values.dtype == bool:
+        return np.diff(np.searchsorted(np.flatnonzero(values), edges))
     running = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
     return running[edges[1:]] - running[edges[:-1]]
 
@@ -124,12 +135,15 @@ def lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
 
 
 def packed(values: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(values).view(np.uint8).tobytes(), "zstd", asbytes=True)
+    """Numbers as one compressed column value: first all their lowest bytes, then the next ones, and so on."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
 
 
 def unpacked(data: bytes, kind, count: int) -> np.ndarray:
     kind = np.dtype(kind)
-    return np.frombuffer(pa.decompress(data, count * kind.itemsize, "zstd", asbytes=True), kind)
+    planes = np.frombuffer(pa.decompress(data, count * kind.itemsize, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(kind.itemsize, count).T).view(kind).ravel()
 
 
 def narrow_kind(largest: int) -> np.dtype:

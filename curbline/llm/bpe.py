@@ -1,13 +1,19 @@
 """BPE encoding and decoding of whole texts through one table of distinct words.
 
-Encoding. Tasks cut blocks of documents into runs without ASCII white space. A block
-keeps the number of the word at each position and hands its distinct words on, dealt by
-their hash, so a word that fills a third of a corpus is one row a block. A group of
-words (``parts`` of them) is encoded in one task, each distinct word once, and the ids
-go back to the blocks, where they are put at their positions.
+Encoding. Tasks cut blocks of documents into words, at ASCII white space and between a
+letter and a mark. A block keeps the number of the word at each position and hands its
+distinct words on, dealt by their hash, so a word that fills a third of a corpus occurs
+once a block. A group of words (``parts`` of them) is encoded in one task, each distinct
+word once, and the ids go back to the blocks, where they are put at their positions.
 
-This needs a tokenizer whose white space is dropped and separates words; the check in
-``white_space_separates`` refuses others.
+Texts are cut twice, once for the words and once for the positions, as that is cheaper
+than writing the positions and reading them again. A block is known by a digest of its
+distinct words, so blocks of the same words share their ids. A scan gives the same
+blocks both times; one that differs the second time is an error and never a wrong
+result. So ``docs`` should be a written table or a plain plan over one.
+
+This needs a tokenizer that drops white space, keeps letters and marks apart and lowers
+the case, but for its special tokens; the check in ``words_are_apart`` refuses others.
 
 Decoding. Ids meet the vocabulary, the id-to-piece relation, inside the tasks. Its size
 is that of the vocabulary file and doesn't grow with the data.
@@ -23,22 +29,37 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.blocks import coded, lists, narrow_kind, packed, spread, text_blocks, unpacked
-from curbline.llm.frames import narrowed, stored
+from curbline.llm.blocks import (
+    after_letters,
+    coded,
+    hashed,
+    lists,
+    narrow_kind,
+    packed,
+    spread,
+    sums,
+    text_blocks,
+    text_bytes,
+    unpacked,
+)
+from curbline.llm.blocks import words as words_of
+from curbline.llm.frames import narrowed
 
 #: Groups of words. A task encodes some whole groups and holds the words of one at a time;
 #: for a corpus of 100 TB raise it, so that a group's distinct words fit.
-PARTS = 1024
+PARTS = 512
 
-CUT = "block long, part int, start int, doc_ids array<long>, sizes array<int>, words array<string>, counts array<int>, body binary"
+WORDS = "block long, part int, start int, count int, body binary"
+TEXTS = "block long, start int, count int, doc_ids array<long>, sizes array<int>, groups binary, body binary"
 #: The row with a block's documents comes after all rows with its ids.
 LAST = 2**31 - 1
 
@@ -57,117 +78,162 @@ def tokenizer(path: str):
     return loaded
 
 
-def white_space_separates(path: str) -> bool:
-    """Whether texts can be cut at ASCII white space: their ids are then those of the words."""
+def words_are_apart(path: str) -> bool:
+    """Whether a text's ids are those of its words, as ``cut_words`` makes them."""
     known = tokenizer(path)
     parts = ["Ab", "c's", "<|endoftext|>", "é1", "..,", "<", "|", "9"]
     apart = [i for p in parts for i in known.encode(p, add_special_tokens=False).ids]
     together = [known.encode(s.join(parts), add_special_tokens=False).ids for s in " \n\t\r\v\f"]
-    return all(ids == apart for ids in [*together, known.encode(" \n".join(parts) + " ", add_special_tokens=False).ids])
+    ids = lambda *texts: [i for t in texts for i in known.encode(t, add_special_tokens=False).ids]
+    marked = all(ids(f"Ab{m}b") == ids("ab", f"{m}b") for m in (".", ",", "!", "?", ";", ":", ".)", "!!"))
+    return marked and all(found == apart for found in [*together, ids(" \n".join(parts) + " ")])
+
+
+def listed(words: list[str]) -> bytes:
+    """Words, which hold no white space, as one compressed column value."""
+    return zstandard.compress("\n".join(words).encode())
+
 
+def unlisted(body: bytes) -> list[str]:
+    return zstandard.decompress(body).decode().split("\n")
 
-def word_hash(words: list[str]) -> np.ndarray:
-    from pandas.util import hash_array
 
-    return hash_array(np.array(words, dtype=object), categorize=False)
+def cut_blocks(batches: Iterator[pa.RecordBatch], parts: int):
+    """For each block of a task: its digest, its rows, the number of words in each text, the place of the word
+    at each position, and the distinct words with their groups, in order of first use."""
+    for batch in text_blocks(batches, "text"):
+        data, offsets = text_bytes(batch.column("text"))
+        found, edges = words_of(data, offsets, after_letters(data))
+        at, words = coded(found)
+        # A word that may hold a special token stays as it is.
+        lower = pc.if_else(pc.match_substring(words, "<"), words, pc.ascii_lower(words))
+        same, words = coded(lower)
+        at, listed_words = same[at], words.to_pylist()
+        hashes = hashed(listed_words)
+        digest = int.from_bytes(blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
+        yield digest, batch, np.diff(edges), at, listed_words, (hashes % np.uint64(parts)).astype(np.int64)
 
 
 def cut_words(parts: int):
-    """A task's documents, as a row for each block and a row for each group of its words."""
+    """Rows of a block's words, one for each group."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId() << 32
-        for number, batch in enumerate(text_blocks(batches, "text")):
-            runs = pc.ascii_split_whitespace(pc.fill_null(batch.column("text"), ""))
-            at, words = coded(runs.flatten())
-            group = (word_hash(words.to_pylist()) % np.uint64(parts)).astype(np.int64)
+        for block, _, _, _, words, group in cut_blocks(batches, parts):
             order = np.argsort(group, kind="stable")
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
             edges = np.searchsorted(group[order], np.arange(parts + 1))
             there = np.flatnonzero(np.diff(edges))
-            words = words.take(pa.array(order))
-            kind = narrow_kind(max(len(order) - 1, 0))
+            words = [words[i] for i in order]
             rows = [
                 {
-                    "block": task + number, "part": -1, "start": LAST,
-                    "doc_ids": batch.column("doc_id").to_pylist(), "sizes": pc.list_value_length(runs).to_pylist(),
-                    "words": None, "counts": None, "body": packed(place[at].astype(kind)),
-                }
-            ] + [
-                {
-                    "block": task + number, "part": int(p), "start": int(edges[p]), "doc_ids": None, "sizes": None,
-                    "words": words.slice(edges[p], edges[p + 1] - edges[p]).to_pylist(), "counts": None, "body": None,
+                    "block": block, "part": int(p), "start": int(edges[p]), "count": int(edges[p + 1] - edges[p]),
+                    "body": listed(words[edges[p] : edges[p + 1]]),
                 }
                 for p in there
             ]
-            yield pa.RecordBatch.from_pylist(rows, schema=CUT_ARROW)
+            yield pa.RecordBatch.from_pylist(rows, schema=WORDS_ARROW)
 
     return cut
 
 
-CUT_ARROW = pa.schema(
+def cut_texts(parts: int):
+    """A row for each block: its documents, and the number of the word at each position."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, batch, sizes, at, words, group in cut_blocks(batches, parts):
+            row = {
+                "block": block, "start": LAST, "count": len(words), "doc_ids": batch.column("doc_id").to_pylist(),
+                "sizes": sizes.tolist(), "groups": packed(group.astype(narrow_kind(parts))),
+                "body": packed(at.astype(narrow_kind(max(len(words) - 1, 0)))),
+            }
+            yield pa.RecordBatch.from_pylist([row], schema=TEXTS_ARROW)
+
+    return cut
+
+
+WORDS_ARROW = pa.schema(
     [
-        ("block", pa.int64()), ("part", pa.int32()), ("start", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
-        ("sizes", pa.list_(pa.int32())), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())),
+        ("block", pa.int64()), ("part", pa.int32()), ("start", pa.int32()), ("count", pa.int32()),
         ("body", pa.binary()),
     ]
 )
-IDS = "block long, start int, counts array<int>, body binary"
-IDS_ARROW = pa.schema([("block", pa.int64()), ("start", pa.int32()), ("counts", pa.list_(pa.int32())), ("body", pa.binary())])
+TEXTS_ARROW = pa.schema(
+    [
+        ("block", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
+        ("sizes", pa.list_(pa.int32())), ("groups", pa.binary()), ("body", pa.binary()),
+    ]
+)
+#: ``counts``: ids of each word, packed to as many bytes as the largest needs.
+IDS = "block long, start int, count int, counts binary, body binary"
+IDS_ARROW = pa.schema([("block", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("counts", pa.binary()), ("body", pa.binary())])
+
 
+def packed_counts(sizes: list[int]) -> bytes:
+    kind = narrow_kind(max(sizes))
+    return bytes([kind.itemsize]) + packed(np.array(sizes, kind))
 
-def encode_words(path: str):
+
+def unpacked_counts(data: bytes, count: int) -> np.ndarray:
+    return unpacked(data[1:], f"<u{data[0]}", count).astype(np.int64)
+
+
+def encode_words(path: str, kind: np.dtype):
     """Rows in order of ``part``: the ids of their words. A word is encoded where it is met first."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, part, kind = {}, None, None
+        known, part = {}, None
         for batch in batches:
-            if kind is None:
-                kind = narrow_kind(tokenizer(path).get_vocab_size(with_added_tokens=True))
             rows = []
             columns = [batch.column(c).to_pylist() for c in ("block", "part", "start")]
-            for block, own, start, words in zip(*columns, batch.column("words")):
-                words = words.values.to_pylist()
+            for block, own, start, words in zip(*columns, batch.column("body")):
+                words = unlisted(words.as_py())
                 if own != part:
                     known, part = {}, own
                 new = [w for w in words if w not in known]
                 for word, encoded in zip(new, tokenizer(path).encode_batch_fast(new, add_special_tokens=False)):
                     known[word] = np.array(encoded.ids, kind).tobytes()
                 bodies = [known[w] for w in words]
-                sizes = [len(b) // kind.itemsize for b in bodies]
-                rows.append({"block": block, "start": start, "counts": sizes, "body": packed(np.frombuffer(b"".join(bodies), kind))})
+                rows.append(
+                    {
+                        "block": block, "start": start, "count": len(words),
+                        "counts": packed_counts([len(b) // kind.itemsize for b in bodies]),
+                        "body": packed(np.frombuffer(b"".join(bodies), kind)),
+                    }
+                )
             yield pa.RecordBatch.from_pylist(rows, schema=IDS_ARROW)
 
     return encode
 
 
-def put_back(path: str):
+def put_back(parts: int, kind: np.dtype):
     """The rows of a block in order of ``start``, its documents last: the ids of each document."""
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, bodies, kind = [], [], None
+        block, held = None, {}
         for batch in batches:
-            if kind is None:
-                kind = narrow_kind(tokenizer(path).get_vocab_size(with_added_tokens=True))
-            columns = [batch.column(c) for c in ("start", "counts", "body", "doc_ids", "sizes")]
-            for start, own, body, doc_ids, sizes in zip(*columns):
-                if start.as_py() != LAST:
-                    counts.append(own.values.to_numpy())
-                    bodies.append(unpacked(body.as_py(), kind, int(counts[-1].sum())))
+            for at in range(batch.num_rows):
+                row = {c: batch.column(c)[at].as_py() for c in ("block", "start", "count", "counts", "groups", "body")}
+                if row["block"] != block:
+                    block, held = row["block"], {}
+                if row["start"] != LAST:
+                    counts = unpacked_counts(row["counts"], row["count"])
+                    held[row["start"]] = counts, unpacked(row["body"], kind, int(counts.sum()))
                     continue
-                each = np.concatenate(counts) if counts else np.empty(0, np.int32)
-                ids = np.concatenate(bodies) if bodies else np.empty(0, kind)
-                sizes = np.asarray(sizes.as_py(), np.int64)
-                at = unpacked(body.as_py(), narrow_kind(max(len(each) - 1, 0)), int(sizes.sum()))
-                yield from documents(doc_ids.values, sizes, at, each.astype(np.int64), ids)
-                counts, bodies = [], []
+                if sum(len(counts) for counts, _ in held.values()) != row["count"]:
+                    raise ValueError("the documents came in another order the second time; write them first")
+                each = np.concatenate([np.empty(0, np.int64), *(counts for counts, _ in held.values())])
+                ids = np.concatenate([np.empty(0, kind), *(body for _, body in held.values())])
+                # From the order of groups to that of first use, in which positions count.
+                place = np.empty(len(each), np.int64)
+                place[np.argsort(unpacked(row["groups"], narrow_kind(parts), row["count"]), kind="stable")] = np.arange(len(each))
+                sizes = batch.column("sizes")[at].values.to_numpy().astype(np.int64)
+                used = unpacked(row["body"], narrow_kind(max(row["count"] - 1, 0)), int(sizes.sum()))
+                yield from documents(batch.column("doc_ids")[at].values, sizes, place[used], each, ids)
 
     return put
 
 
-def documents(doc_ids, sizes, at, each, ids, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Rows with the ids of the words at ``at``, some million ids at a time."""
+def documents(doc_ids, sizes, at, each, ids, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows with the ids of the words at ``at``, about a million ids at a time."""
     begins = np.cumsum(each) - each
     edges = np.concatenate(([0], np.cumsum(sizes)))
     lengths = np.concatenate(([0], np.cumsum(each[at])))[edges]
@@ -183,21 +249,30 @@ def documents(doc_ids, sizes, at, each, ids, most: int = 4 << 20) -> Iterator[pa
         row = end
 
 
-def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", parts: int = PARTS) -> DataFrame:
-    """``doc_id`` and ``ids`` (array<int>) of each document, as the tokenizer file at ``path`` has them."""
-    if not white_space_separates(path):
-        raise ValueError(f"{path} doesn't drop white space between words")
+def with_ids(docs: DataFrame, path: str, doc_id: str, text: str, parts: int, finish, schema: str) -> DataFrame:
+    """What ``finish`` makes of the batches of ``doc_id`` and ``ids``, in the tasks that put them together."""
+    if not words_are_apart(path):
+        raise ValueError(f"the ids of {path} aren't those of words")
+    kind = narrow_kind(tokenizer(path).get_vocab_size(with_added_tokens=True))
     rows = narrowed(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    # Written, since the numbers of the blocks differ from one run of a plan to the next.
-    cut = stored(rows.mapInArrow(cut_words(parts), CUT), "bpe-words")
-    words = cut.where("part >= 0").select("block", "part", "start", "words")
-    ids = words.repartition("part").sortWithinPartitions("part").mapInArrow(encode_words(path), IDS)
-    texts = cut.where("part < 0").select("block", "start", "doc_ids", "sizes", "body")
+    words = rows.mapInArrow(cut_words(parts), WORDS).repartition("part").sortWithinPartitions("part")
+    ids = words.mapInArrow(encode_words(path, kind), IDS)
+    texts = rows.mapInArrow(cut_texts(parts), TEXTS)
     both = ids.unionByName(texts, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "start")
-    return both.mapInArrow(put_back(path), "doc_id long, ids array<int>")
+    put = put_back(parts, kind)
+    return both.mapInArrow(lambda batches: finish(put(batches)), schema)
+
+
+def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", parts: int = PARTS) -> DataFrame:
+    """``doc_id`` and ``ids`` (array<int>) of each document, as the tokenizer file at ``path`` has them."""
+    return with_ids(docs, path, doc_id, text, parts, lambda batches: batches, "doc_id long, ids array<int>")
+
+
+def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", parts: int = PARTS) -> DataFrame:
+    """``decode`` of ``encode``, joined in the same tasks: ``doc_id``, ``ids`` and the ``text`` that they decode to."""
+    return with_ids(docs, path, doc_id, text, parts, join_pieces(*pieces(path)), "doc_id long, ids array<int>, text string")
 
 
-@cache
 def pieces(path: str) -> tuple[pa.Array, bool]:
     """The piece of each id, and whether decoding joins them by blanks (no decoder is set)."""
     vocabulary = tokenizer(path).get_vocab(with_added_tokens=True)
@@ -209,32 +284,34 @@ def pieces(path: str) -> tuple[pa.Array, bool]:
     return pa.array(by_id, pa.string()), plain
 
 
-def join_pieces(path: str):
+def join_pieces(table: pa.Array, plain: bool):
+    if not plain:
+        raise ValueError("the tokenizer has a decoder of its own; its pieces aren't joined by blanks")
+
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, plain = pieces(path)
-        if not plain:
-            raise ValueError(f"{path} has a decoder of its own; its pieces aren't joined by blanks")
         for batch in batches:
-            ids = pc.fill_null(batch.column("ids").flatten(), -1).to_numpy(zero_copy_only=False)
-            sizes = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False)
-            known = (ids >= 0) & (ids < len(table))
-            found = table.take(pa.array(np.where(known, ids, 0), mask=~known))
-            # Ids without a piece are left out, as the library does.
-            held = found.is_valid().to_numpy(zero_copy_only=False)
-            rows = np.repeat(np.arange(len(sizes)), sizes)
-            left = np.bincount(rows[held], minlength=len(sizes))
-            grouped = pa.ListArray.from_arrays(
-                pa.array(np.concatenate(([0], np.cumsum(left))).astype(np.int32)), found.drop_null()
-            )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pc.cast(batch.column("ids"), pa.list_(pa.int32())), pc.binary_join(grouped, " ")],
-                names=["doc_id", "ids", "text"],
-            )
+            for begin in range(0, batch.num_rows, 1000):
+                yield joined_pieces(batch.slice(begin, 1000), table)
 
     return join
 
 
+def joined_pieces(batch: pa.RecordBatch, table: pa.Array) -> pa.RecordBatch:
+    ids = pc.fill_null(batch.column("ids").flatten(), -1).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False)
+    edges = np.concatenate(([0], np.cumsum(sizes)))
+    known = (ids >= 0) & (ids < len(table))
+    found = table.take(pa.array(np.where(known, ids, 0), mask=~known))
+    # Ids without a piece are left out, as the library does.
+    left = sums(found.is_valid().to_numpy(zero_copy_only=False), edges)
+    grouped = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(left))).astype(np.int32)), found.drop_null())
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc_id"), pc.cast(batch.column("ids"), pa.list_(pa.int32())), pc.binary_join(grouped, " ")],
+        names=["doc_id", "ids", "text"],
+    )
+
+
 def decode(encoded: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``doc_id``, ``ids`` and their ``text``, special tokens included; no ids give the empty text."""
     rows = narrowed(encoded, doc_id=doc_id, ids=ids).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return rows.mapInArrow(join_pieces(path), "doc_id long, ids array<int>, text string")
+    return rows.mapInArrow(join_pieces(*pieces(path)), "doc_id long, ids array<int>, text string")

@@ -19,8 +19,7 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document and of the text that they decode to."""
-    ids = bpe.encode(table(spark, sf_dir, "documents"), WORDS)
-    return bpe.decode(ids, WORDS).select(
+    return bpe.round_trip(table(spark, sf_dir, "documents"), WORDS).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
