@@ -11,7 +11,7 @@ Vectors of equal components are one class from the start, with the number of its
 rows, so copies are never compared with one another. A leaf of more than ``CELL_ROWS``
 vectors is compared in blocks of that many, all of them. A pair that meets in several
 leaves is counted in the one of the smallest number; so link counts are sums, and pairs
-are never written. For components a spanning forest of each block is enough.
+are never written. For components each vector names the smallest one that its block connects it with.
 
 Null vectors, those with a null or non-finite component, empty ones and those of zeros
 link with nothing. Vectors of different lengths are never linked. A row without
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbline.llm.frames import narrowed, stored
-from curbline.llm.graph import components, grouped, walk
+from curbline.llm.graph import components, grouped, to_smallest, walk
 
 TREES = 4
 SPILL = 0.2
@@ -193,14 +193,12 @@ def compare_task(least: float):
                 own = first_common(theirs[x], theirs[y]) == leaf
                 np.add.at(sums, x[own], copies[y[own]])
                 np.add.at(sums, y[own], copies[x[own]])
-            pairs = np.array(list(walk(len(nodes), lambda row, others: linked[row, others])), np.int64).reshape(-1, 2)
-            ends = np.full(len(nodes), -1)
-            ends[pairs[:, 0]] = pairs[:, 1]
-            there = np.flatnonzero((sums > 0) | (ends >= 0))
+            least_node = to_smallest(nodes, walk(len(nodes), lambda row, others: linked[row, others]))
+            there = np.flatnonzero((sums > 0) | (least_node != nodes))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(classes[there]), pa.array(sums[there]), pa.array(nodes[there]),
-                    pa.array(nodes[ends[there]], mask=ends[there] < 0),
+                    pa.array(least_node[there]),
                 ],
                 names=["class", "links", "a", "b"],
             )
@@ -260,9 +258,10 @@ def near_duplicates(
         .mapInArrow(compare_task(least), "class long, links long, a long, b long"),
         "links",
     )
-    several = real.groupBy("vec_id").agg(F.count_distinct("digest").alias("kinds")).where("kinds > 1")
+    kind = F.xxhash64("digest")
+    several = real.groupBy("vec_id").agg(F.min(kind).alias("x"), F.max(kind).alias("y")).where("x <> y").select("vec_id")
     also = real.join(several, "vec_id").join(classes.select("digest", "node"), "digest").select(F.col("vec_id").alias("a"), F.col("node").alias("b"))
-    reached = components(compared.where("b is not null").select("a", "b").unionByName(also))
+    reached = components(compared.where("a <> b").select("a", "b").unionByName(also))
     counts = compared.groupBy("class").agg(F.sum("links").alias("links"))
     about = stored(
         classes.select("digest", "class", "node", "copies").join(counts, "class", "left").join(reached, "node", "left")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from curbline.llm.frames import stored
 
 #: What a task holds of a group at a time; larger groups are cut into cells.
-CELL_ROWS = 512
+CELL_ROWS = 2048
 CELL_WEIGHT = 400_000
 
 
@@ -43,8 +43,8 @@ def components(edges: DataFrame) -> DataFrame:
         links = links.select("hi", "lo")
 
 
-def walk(size: int, near: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
-    """A spanning forest of the rows 0 to ``size``: pairs of a row and one that it was reached from.
+def walk(size: int, near: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[list[int]]:
+    """The components of the rows 0 to ``size``.
 
     ``near(row, others)`` tells which of ``others`` it is linked with. A row that has
     been reached is compared with those only that haven't, so no pair of rows in
@@ -53,14 +53,22 @@ def walk(size: int, near: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[t
     left = np.arange(size)
     while len(left):
         front, left = [int(left[0])], left[1:]
+        reached = front.copy()
         while front and len(left):
-            row = front.pop()
-            hit = near(row, left)
-            found = left[hit]
+            hit = near(front.pop(), left)
+            found = left[hit].tolist()
             left = left[~hit]
-            for other in found.tolist():
-                yield other, row
-            front += found.tolist()
+            front += found
+            reached += found
+        yield reached
+
+
+def to_smallest(nodes: np.ndarray, found: Iterator[list[int]]) -> np.ndarray:
+    """For each row the smallest node of its component."""
+    least = nodes.copy()
+    for rows in found:
+        least[rows] = nodes[rows].min()
+    return least
 
 
 #: Given the rows of one cell: the function for ``walk``.
@@ -94,10 +102,10 @@ def cell_task(nearness: Nearness):
             if cell.num_rows < 2:
                 continue
             nodes = cell.column("node").to_numpy(zero_copy_only=False)
-            pairs = list(walk(cell.num_rows, nearness(cell)))
-            if pairs:
-                ends = nodes[np.array(pairs)]
-                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+            least = to_smallest(nodes, walk(cell.num_rows, nearness(cell)))
+            there = np.flatnonzero(least != nodes)
+            if len(there):
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[there]), pa.array(least[there])], names=["a", "b"])
 
     return link
 
@@ -112,8 +120,8 @@ def links_in_groups(
     """Edges ``a``, ``b`` that connect what ``nearness`` links within groups.
 
     ``members`` has ``key`` (long), ``node`` (long) and ``weight``, and ``payload`` adds
-    the columns that ``nearness`` reads. It should be a written table. The edges form a
-    spanning forest of each group's links and not all of them.
+    the columns that ``nearness`` reads. It should be a written table. An edge leads from a
+    node to the smallest one that its cell connects it with; links themselves aren't listed.
 
     A group of over ``rows`` rows or ``weight`` in all is dealt into cells, and its
     smallest node, the pivot, goes into each cell: what is linked with the pivot in any

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.blocks import coded, spread, text_blocks, text_bytes
+from curbline.llm.blocks import coded, hashed, spread, text_blocks, text_bytes
 from curbline.llm.blocks import words as split_words
 from curbline.llm.frames import narrowed, stored
 from curbline.llm.graph import components, links_in_groups
@@ -62,13 +62,10 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array, words: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
     """For each text the ascending hash values of its distinct shingles."""
-    from pandas.util import hash_array
-
     data, offsets = text_bytes(texts)
     found, edges = split_words(_LOWER[data], offsets)
     at, distinct = coded(found)
-    known = hash_array(np.array(distinct.to_pylist(), dtype=object), categorize=False) if len(distinct) else np.empty(0, np.uint64)
-    hashes = known[at]
+    hashes = hashed(distinct.to_pylist())[at]
     rolled = np.zeros(max(len(hashes) - words + 1, 0), np.uint64)
     for k in range(words):
         rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + len(rolled)]
@@ -232,7 +229,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
         by_sets(percent),
         lambda cells: cells.join(sets, "node"),
     )
-    several = real.groupBy("doc_id").agg(F.count_distinct("digest").alias("texts")).where("texts > 1")
+    kind = F.xxhash64("digest")
+    several = real.groupBy("doc_id").agg(F.min(kind).alias("x"), F.max(kind).alias("y")).where("x <> y").select("doc_id")
     also = real.join(several, "doc_id").join(classes.select("digest", "rep"), "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     reached = stored(components(found.unionByName(also)), "components")
 
