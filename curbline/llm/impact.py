@@ -4,10 +4,11 @@ A component's impact is ``floor(scale * x)``. Candidates are cut into blocks by
 and a block's index has, for each dimension and impact, the segment of rows with
 that impact. For a query the segments come in descending order of what they add to a
 score, counted from the least that their dimension can add. Sums grow segment by
-segment, and no unseen segment adds more than the next one; so a row's score is at
-most its sum plus that much for each dimension in which it hasn't been met. When only
-few rows can still be among the best k, they are scored exactly. Else all segments
-are processed, and the sums are the scores. Nothing stops on a guess.
+segment, and no unseen segment adds more than the next one of its dimension; so a row's
+score is at most its sum plus the largest of those, one for each dimension in which it
+hasn't been met. The best k are no worse than the exact scores of the rows that lead. What can
+still be among the best k by that is scored exactly: at once when few rows are left,
+else after the last share of ``TRIES``. Nothing is left out without that proof.
 
 Queries are a stated set; they meet all blocks, in groups of ``QUERY_ROWS``, and a
 cell is one group and one block. The best k of each cell are merged by a window.
@@ -29,7 +30,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curbline.llm.blocks import spread
 from curbline.llm.forest import rows_of
 from curbline.llm.frames import narrowed, stored
 from curbline.llm.graph import grouped
@@ -37,8 +37,10 @@ from curbline.llm.graph import grouped
 BLOCK_ROWS = 8192
 QUERY_ROWS = 512
 LIMIT = 1 << 24
+#: Rows that are scored exactly for a bound, as a multiple of k.
+LEADERS = 4
 #: Shares of a block's postings after which the proof is tried.
-TRIES = (0.3, 0.45, 0.6, 0.75, 0.9)
+TRIES = (0.65, 0.8)
 
 
 def impact_task(scale: float):
@@ -56,63 +58,80 @@ def impact_task(scale: float):
 
 
 class Index:
-    """The segments of one block: rows in order of dimension and impact."""
+    """The segments of one block: the rows of each dimension in order of impact."""
 
     def __init__(self, matrix: np.ndarray):
         self.matrix = matrix
-        rows, self.dimensions = matrix.shape
-        self.posted = np.argsort(matrix, axis=0, kind="stable").T.astype(np.int32).ravel()
-        ordered = np.sort(matrix, axis=0).T
-        new = np.ones(ordered.shape, bool)
-        new[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
-        self.starts = np.flatnonzero(new)
-        self.sizes = np.diff(np.append(self.starts, ordered.size))
-        self.dimension = self.starts // rows
-        self.impact = ordered.ravel()[self.starts].astype(np.int64)
-        self.low, self.high = ordered[:, 0].astype(np.int64), ordered[:, -1].astype(np.int64)
+        self.rows, self.dimensions = matrix.shape
+        self.posted = np.ascontiguousarray(np.argsort(matrix, axis=0, kind="stable").T.astype(np.intp))
+        self.impacts = np.ascontiguousarray(np.sort(matrix, axis=0).T.astype(np.float64))
+        new = np.ones(self.impacts.shape, bool)
+        new[:, 1:] = self.impacts[:, 1:] != self.impacts[:, :-1]
+        starts = np.flatnonzero(new)
+        self.sizes = np.diff(np.append(starts, new.size))
+        self.dimension = starts // self.rows
+        self.firsts = np.searchsorted(self.dimension, np.arange(self.dimensions))
+        self.impact = self.impacts.ravel()[starts].astype(np.int64)
+        self.low, self.high = self.impacts[:, 0].astype(np.int64), self.impacts[:, -1].astype(np.int64)
 
     def top(self, query: np.ndarray, k: int, own: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows and scores of the best ``k``, without row ``own`` (-1: none); equal scores by id, then row."""
-        rows = len(self.matrix)
-        k = min(k, rows - (own >= 0))
+        k = min(k, self.rows - (own >= 0))
         if k < 1:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         query = query.astype(np.int64)
         floor = np.minimum(query * self.low, query * self.high)
+        most = np.maximum(query * self.low, query * self.high) - floor
         gain = query[self.dimension] * self.impact - floor[self.dimension]
-        order = np.argsort(-gain, kind="stable")
-        gains, sizes = gain[order], self.sizes[order]
-        filled = np.cumsum(sizes)
-        # float64 counts hold these sums exactly: they are below 2**53.
-        reached, met = np.zeros(rows), np.zeros(rows, np.int64)
-        begin, possible = 0, None
+        order = np.argsort(-gain)
+        filled = np.cumsum(self.sizes[order])
+        # A row's sum and the number of its segments are one number each, told apart by
+        # their size; float64 holds both exactly as long as they are small enough.
+        unit = float(1 << int(most.sum()).bit_length())
+        both = unit * (self.dimensions + 1) < 2.0**53
+        reached, met = np.zeros(self.rows), np.zeros(self.rows, np.int64)
+        base = int(floor.sum())
+        done, possible = np.zeros(self.dimensions, np.int64), np.arange(self.rows)
         for share in TRIES:
-            end = int(np.searchsorted(filled, share * filled[-1]))
-            if end <= begin or end >= len(order):
-                continue
-            self._process(order[begin:end], gains[begin:end], sizes[begin:end], reached, met)
-            begin = end
-            at_most = reached + (self.dimensions - met) * float(gains[end])
-            sure = reached if own < 0 else np.delete(reached, own)
-            bound = np.partition(sure, len(sure) - k)[len(sure) - k]
-            possible = np.flatnonzero(at_most >= bound)
-            if len(possible) <= rows // 8:
+            at = min(int(np.searchsorted(filled, share * filled[-1])), len(order) - 1)
+            least = int(gain[order[at]])
+            # All segments of more than ``least`` have been processed after this.
+            there = np.add.reduceat(self.sizes * (gain > least), self.firsts)
+            self._process(query, floor, done, there, reached, met, unit if both else None)
+            done = there
+            # What each dimension can still add, the largest first: a row lacks as many as it hasn't met.
+            rest = np.concatenate(([0], np.cumsum(-np.sort(-np.minimum(most, least)))))
+            # The rows that lead are scored exactly: the best k of all are no worse than theirs.
+            lead = np.argpartition(-reached, min(LEADERS * k, self.rows - 1))[: LEADERS * k + 1]
+            exact = np.sort(self.matrix[lead[lead != own]].astype(np.int64) @ query)
+            bound = exact[-k] - base if len(exact) >= k else -np.inf
+            possible = np.flatnonzero(reached + rest[self.dimensions - met] >= bound)
+            if len(possible) <= self.rows // 3:
                 break
-        else:
-            possible = None
-        if possible is None:
-            self._process(order[begin:], gains[begin:], sizes[begin:], reached, met)
-            sure = reached if own < 0 else np.delete(reached, own)
-            possible = np.flatnonzero(reached >= np.partition(sure, len(sure) - k)[len(sure) - k])
+        # If the proof excludes few rows only, scoring them exactly is all that is left to do.
         possible = possible[possible != own]
         scores = self.matrix[possible].astype(np.int64) @ query
         best = np.lexsort((possible, ids[possible], -scores))[:k]
         return possible[best], scores[best]
 
-    def _process(self, order, gains, sizes, reached, met) -> None:
-        rows = self.posted[spread(self.starts[order], sizes)]
-        reached += np.bincount(rows, weights=np.repeat(gains.astype(np.float64), sizes), minlength=len(reached))
-        met += np.bincount(rows, minlength=len(met))
+    def _process(self, query, floor, done, there, reached, met, unit) -> None:
+        """Add the segments of each dimension from ``done`` rows on to ``there`` rows, counted from its best end."""
+        pieces = [
+            (slice(d, t) if q < 0 else slice(self.rows - t, self.rows - d)) for q, d, t in zip(query.tolist(), done.tolist(), there.tolist())
+        ]
+        counts = there - done
+        rows = np.concatenate([row[own] for row, own in zip(self.posted, pieces)])
+        gains = np.concatenate([row[own] for row, own in zip(self.impacts, pieces)])
+        gains *= np.repeat(query.astype(np.float64), counts)
+        gains -= np.repeat(floor - (unit or 0.0), counts)
+        if unit is None:
+            reached += np.bincount(rows, weights=gains, minlength=self.rows)
+            met += np.bincount(rows, minlength=self.rows)
+            return
+        found = np.bincount(rows, weights=gains, minlength=self.rows)
+        number = np.floor(found / unit)
+        reached += found - number * unit
+        met += number.astype(np.int64)
 
 
 def search_task(k: int):
