@@ -29,13 +29,18 @@ def narrowed(frame: DataFrame, **columns: str) -> DataFrame:
     return frame.select(*[field(theirs).alias(ours) for ours, theirs in columns.items()])
 
 
-def stored(frame: DataFrame, purpose: str) -> DataFrame:
+def stored(frame: DataFrame, purpose: str, **options: str) -> DataFrame:
     """The frame written below the shared folder and read again; later steps start there."""
     path = new_work_dir(frame.sparkSession, purpose)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def a_task_each(files: DataFrame) -> DataFrame:
+    """A table of files, dealt so that each is a task's own; left alone, so few rows would be one task's."""
+    return files.repartitionByRange(max(1, files.count()), "file")
+
+
 def put_in_place(filesystem, written: str, path: str) -> None:
     """Name a finished file. An attempt that comes later puts the same bytes there."""
     filesystem.move(written, path)

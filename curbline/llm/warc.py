@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm.frames import attempt_path, narrowed, open_fs, put_in_place, stored
+from curbline.llm.frames import a_task_each, attempt_path, narrowed, open_fs, put_in_place, stored
 
 CHUNK_BYTES = 1 << 18
 REVISIT_BYTES = 1000
@@ -96,7 +96,7 @@ def chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 def chunk_table(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """The written table of all chunks. Strings are chunks of their UTF-8 bytes."""
     rows = narrowed(pages, page_id=page_id, url=url, payload=payload).withColumn("page_id", F.col("page_id").cast("long"))
-    return stored(rows.mapInArrow(lambda batches: batched(chunk_rows(batches), CHUNKS_ARROW), CHUNKS), "chunks")
+    return stored(rows.mapInArrow(lambda batches: batched(chunk_rows(batches), CHUNKS_ARROW), CHUNKS), "chunks", compression="zstd")
 
 
 def decisions(chunks: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
@@ -296,7 +296,7 @@ def read_records(files: DataFrame) -> DataFrame:
         for batch in batches:
             yield from batched(record_rows(batch.column("file").to_pylist()), RECORDS_ARROW)
 
-    return files.select("file").repartition("file").mapInArrow(read, RECORDS)
+    return a_task_each(files.select("file")).mapInArrow(read, RECORDS)
 
 
 def read_chunks(files: DataFrame) -> DataFrame:
@@ -315,4 +315,4 @@ def read_chunks(files: DataFrame) -> DataFrame:
         for batch in batches:
             yield from batched(rows(batch.column("file").to_pylist()), schema)
 
-    return files.select("file").repartition("file").mapInArrow(read, "page_id long, file string, place long, chunk int, data binary")
+    return a_task_each(files.select("file")).mapInArrow(read, "page_id long, file string, place long, chunk int, data binary")
