@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from curbline.llm.blocks import after_letters, coded, spread, strings, sums, text_blocks, text_bytes
 from curbline.llm.bpe import tokenizer
-from curbline.llm.frames import attempt_path, narrowed, open_fs, put_in_place, stored
+from curbline.llm.frames import a_task_each, attempt_path, narrowed, open_fs, put_in_place, stored
 
 MAGIC, VERSION = b"CTOK", 1
 HEAD = struct.Struct("<4sHHQ")  # magic, version, bits of an id, ids in a block
@@ -278,4 +278,4 @@ def read_ids(spark: SparkSession, files: DataFrame) -> DataFrame:
     """
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.select("file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    return placed.repartition("file").mapInArrow(read_task, "doc_id long, start long, n_tokens long, ids binary")
+    return a_task_each(placed).mapInArrow(read_task, "doc_id long, start long, n_tokens long, ids binary")
