@@ -1,7 +1,11 @@
 """Near-duplicate vectors by a forest of random-projection trees with overlapping leaves.
 
 Each tree splits the unit vectors again and again by a random direction, near the
-median; vectors within ``SPILL`` standard deviations of the split go to both sides.
+median; vectors within ``SPILL`` standard deviations of the split go to both sides, and
+those within ``NARROW`` of the width of a link, whatever the deviation. Of ``TRIES``
+directions the first good one or else the best is taken, and a node that no direction
+makes cheaper to compare stays whole: so a group about as narrow as a link is never
+parted, and its pairs are all compared, which is quadratic work in its distinct vectors.
 The trees are fitted on ``SAMPLE`` vectors (those of the smallest hash values), every
 vector is sent through all of them, and vectors that share a leaf in any tree are
 compared by cosine in double precision. A pair at the threshold of 0.95 is kept apart
@@ -35,6 +39,10 @@ from curbline.llm.graph import components, grouped, to_smallest, walk
 
 TREES = 4
 SPILL = 0.2
+#: Least margin, as a part of the standard deviation that a link at the threshold has along a direction.
+NARROW = 0.65
+#: Directions that are tried for a split; the share of a node's pairs that a good one leaves, and that any may leave.
+TRIES, GOOD, WHOLE = 8, 0.8, 0.95
 LEAF_ROWS = 512
 CELL_ROWS = 1024
 #: Vectors that the trees are fitted on, at most; and the fewest of them in a node that is split.
@@ -92,7 +100,8 @@ def unit(matrix: np.ndarray) -> np.ndarray:
 class Tree:
     """Splits as (direction, place, margin), or a leaf where there is none; nodes are named by their path."""
 
-    def __init__(self, sample: np.ndarray, rows: float, seed: int):
+    def __init__(self, sample: np.ndarray, rows: float, seed: int, least: float):
+        self.narrow = NARROW * max(2 - 2 * least, 0.0) ** 0.5
         self.splits: dict[int, tuple[np.ndarray, float, float]] = {}
         self.leaves: dict[int, int] = {}
         self.random = np.random.default_rng(seed)
@@ -100,16 +109,26 @@ class Tree:
 
     def _fit(self, sample: np.ndarray, share: float, node: int) -> None:
         if len(sample) * share > LEAF_ROWS and len(sample) >= 2 * SAMPLE_LEAF:
+            left, split, low, high = min(self._tries(sample), key=lambda found: found[0])
+            if left < WHOLE:
+                self.splits[node] = split
+                self._fit(sample[low], share, 2 * node)
+                self._fit(sample[high], share, 2 * node + 1)
+                return
+        self.leaves[node] = len(self.leaves)
+
+    def _tries(self, sample: np.ndarray) -> Iterator[tuple[float, tuple[np.ndarray, float, float], np.ndarray, np.ndarray]]:
+        """Splits with the share of pairs that they leave to compare and their two sides, as far as the first good one."""
+        for _ in range(TRIES):
             direction = self.random.standard_normal(sample.shape[1]).astype(np.float32)
             along = sample @ direction
-            place, margin = float(np.quantile(along, self.random.uniform(0.45, 0.55))), SPILL * float(along.std())
-            low, high = sample[along < place + margin], sample[along >= place - margin]
-            if margin > 0 and max(len(low), len(high)) < 0.9 * len(sample):
-                self.splits[node] = direction, place, margin
-                self._fit(low, share, 2 * node)
-                self._fit(high, share, 2 * node + 1)
+            place = float(np.quantile(along, self.random.uniform(0.45, 0.55)))
+            margin = max(SPILL * float(along.std()), self.narrow * float(np.linalg.norm(direction)) / sample.shape[1] ** 0.5)
+            low, high = along < place + margin, along >= place - margin
+            left = (float(low.sum()) ** 2 + float(high.sum()) ** 2) / len(sample) ** 2
+            yield left, (direction, place, margin), low, high
+            if left < GOOD:
                 return
-        self.leaves[node] = len(self.leaves)
 
     def route(self, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows and the leaves that they go to."""
@@ -126,8 +145,8 @@ class Tree:
         return np.concatenate(rows), np.concatenate(leaves)
 
 
-def fit(classes: DataFrame, trees: int = TREES) -> dict[int, list[Tree]]:
-    """The trees for each length of vector that the sample has."""
+def fit(classes: DataFrame, least: float, trees: int = TREES) -> dict[int, list[Tree]]:
+    """The trees for each length of vector that the sample has; where one is a single leaf, it alone."""
     total = classes.count()
     taken = classes.orderBy(F.xxhash64("digest"), "digest").limit(SAMPLE).select("body").collect()
     by_length: dict[int, list[np.ndarray]] = {}
@@ -137,7 +156,8 @@ def fit(classes: DataFrame, trees: int = TREES) -> dict[int, list[Tree]]:
     found = {}
     for length, vectors in by_length.items():
         sample = unit(np.stack(vectors)).astype(np.float32)
-        found[length] = [Tree(sample, total * len(vectors) / len(taken), 1000 * length + t) for t in range(trees)]
+        grown = [Tree(sample, total * len(vectors) / len(taken), 1000 * length + t, least) for t in range(trees)]
+        found[length] = [t for t in grown if not t.splits][:1] or grown
     return found
 
 
@@ -235,7 +255,7 @@ def near_duplicates(
         .withColumn("class", F.monotonically_increasing_id()),
         "classes",
     )
-    forest = fit(classes, trees)
+    forest = fit(classes, least, trees)
     routed = stored(
         classes.select("class", "body").mapInArrow(route_task(forest), "class long, length long, leaves array<int>")
         .withColumn("cut", F.pmod(F.xxhash64("class"), F.lit(1 << 20))),

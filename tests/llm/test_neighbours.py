@@ -140,6 +140,39 @@ def test_near_vectors_match_brute_force(spark, with_clashes, monkeypatch):
     assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got), key=str) == sorted(expected, key=str)
 
 
+def hot_vectors(members, others, cosine, dimension=64):
+    """One wide group of distinct near-copies, their cosines about ``cosine``, among isotropic vectors."""
+    pick = np.random.default_rng(21)
+    centre = pick.standard_normal(dimension)
+    noise = pick.standard_normal((members, dimension)) * np.linalg.norm(centre) / dimension**0.5 * (1 / cosine - 1) ** 0.5
+    return np.concatenate((centre + noise, pick.standard_normal((others, dimension))))
+
+
+def test_a_wide_hot_group_loses_no_links_with_production_parameters(spark):
+    matrix = hot_vectors(4000, 6000, 0.96)
+    rows = [(i, v) for i, v in enumerate(matrix.tolist())]
+    got = forest.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(8)).collect()
+    norms = np.sqrt((matrix * matrix).sum(axis=1))
+    counts = [int(((matrix @ v) / (norms * n) >= 0.95).sum()) - 1 for v, n in zip(matrix, norms)]
+    assert 0.9 * 4000**2 < sum(counts) < 4000**2  # the group lies about the threshold
+    assert [r.n_links for r in sorted(got)] == counts
+
+
+@pytest.mark.parametrize("members, cosine", [(17_000, 0.95), (17_000, 0.97), (17_000, 0.9), (40_000, 0.96)])
+def test_split_nodes_keep_links_of_hot_groups_together(members, cosine):
+    matrix = forest.unit(hot_vectors(members, 51_000 - members, cosine)).astype(np.float32)
+    sample = matrix[np.random.default_rng(22).permutation(len(matrix))[: forest.SAMPLE]]
+    a, b = np.nonzero(np.triu(matrix[:1500] @ matrix[:1500].T >= 0.95, 1))
+    met = np.zeros(len(a), bool)
+    for seed in range(forest.TREES):
+        rows, leaves = (tree := forest.Tree(sample, len(matrix), seed, 0.95)).route(matrix[:1500])
+        there = np.zeros((1500, len(tree.leaves)), bool)
+        there[rows, leaves] = True
+        for begin in range(0, len(a), 20_000):
+            met[begin : begin + 20_000] |= (there[a[begin : begin + 20_000]] & there[b[begin : begin + 20_000]]).any(axis=1)
+    assert len(a) > 100 and met.mean() > 0.999
+
+
 def test_no_vectors(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert forest.near_duplicates(frame).count() == 0
