@@ -4,7 +4,9 @@ A stage takes (spark, docs, sf_dir) and works on all rows that the one before it
 Its result is written as Parquet and read again as the next one's ``docs``. All but the
 last return the columns of ``docs`` as they are. Columns other than ``doc_id`` and
 ``text`` may have any names. Documents without ``doc_id`` are judged by their text
-like others, but are no one's duplicate. An empty table stays empty.
+like others, but are no one's duplicate. An empty table stays empty. Where the labels
+tell no document from another (none of ``docs``, one kind only, too few), all rows
+stay in the quality stage; the toxicity stage then drops what its fixed lists alone find.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    if not model.tells:
+        return docs
     return docs.where(quality.score(field("text"), model) >= GOOD)
 
 

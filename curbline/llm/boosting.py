@@ -15,6 +15,11 @@ class Boosted:
     def __init__(self, prior: float, features: np.ndarray, thresholds: np.ndarray, values: np.ndarray):
         self.prior, self.features, self.thresholds, self.values = prior, features, thresholds, values
 
+    @property
+    def tells(self) -> bool:
+        """Whether any node was split; else all rows score alike."""
+        return bool(np.isfinite(self.thresholds).any())
+
     def score(self, rows: np.ndarray) -> np.ndarray:
         """Probabilities of label 1."""
         total = np.full(len(rows), self.prior)

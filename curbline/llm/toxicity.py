@@ -14,7 +14,7 @@ at fixed values and are moved by the labelled sample.
 
 Scoring is one pass without a shuffle: a block's distinct words are looked up, and only
 texts with a match go through the grammar. Null and empty texts, and those without a match, have the score of no match.
-Without labels the lexicon is empty and only threats count. Rows are scored one by one.
+Without labels, or with toxic rows alone, the lexicon is empty, the weights are the fixed ones and only threats count. Rows are scored one by one.
 An empty table gives an empty table. A text of any length is one row.
 """
 
@@ -230,7 +230,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int | None = None) -> Grammar:
             yield pa.RecordBatch.from_arrays([batch.column("label"), flat.cast(pa.list_(pa.float64()))], names=["label", "x"])
 
     found = sample.mapInArrow(summed, "label int, x array<double>").collect()
-    if found:
+    # Toxic rows alone would only move the bias, until every text is toxic.
+    if any(r.label == 0 for r in found):
         matrix = np.array([r.x for r in found]).reshape(len(found), len(KINDS))
         order = np.lexsort(np.column_stack([matrix, [r.label for r in found]]).T)
         grammar.weights = calibrated(matrix[order], np.array([r.label for r in found], np.float64)[order])

@@ -1,9 +1,10 @@
 """The stages one by one, each against what its operator decides, and as a whole."""
 
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 
-from curbline.llm import packing, quality, setsketch, toxicity
+from curbline.llm import labelled, packing, quality, setsketch, toxicity
 from curbline.llm.frames import stored, table
 
 SF = "/root/testdata/sf0.001"
@@ -42,6 +43,26 @@ def test_one_row_of_each_group_stays(spark, odd_docs, odd_texts):
     assert ids.count(None) == sum(i is None for i, _ in odd_texts)
 
 
+@pytest.mark.parametrize("labels", [[], [(i, 0, 0) for i in range(30)], [(i, i % 2, 0) for i in range(4)], [(10_000 + i, i % 2, 0) for i in range(60)]])
+def test_quality_without_evidence_keeps_all_rows(spark, tmp_path, labels):
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(i, f"text {i}. " * (i + 1)) for i in range(30)], "doc_id long, text string")
+    assert sorted(corpus_pipeline.drop_poor(spark, docs, str(tmp_path)).collect()) == sorted(docs.collect())
+
+
+def test_toxic_labels_alone_drop_no_clean_rows(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"plain text {i}") for i in range(60)], "doc_id long, text string")
+    docs.selectExpr("doc_id", "1 quality", "1 toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == 60
+
+
+def test_the_sample_is_chosen_among_labels_of_the_documents(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, quality int")
+    got = labelled.fit_sample(docs, labels, "quality", 4, 2, rows=20).collect()
+    assert len(got) == 20 and all(r.text == f"text {r.doc_id}" and r.label == r.doc_id % 2 for r in got)
+
+
 def test_an_empty_table_stays_empty(spark, no_docs):
     docs = no_docs
     for _, stage in corpus_pipeline.STAGES:
