@@ -1,6 +1,6 @@
 """Near-duplicates by word shingles: SetSketch registers, banded; then full sets.
 
-Registers. A shingle has one exponential value for each of ``REGISTERS`` registers, and a
+Registers. A shingle has one exponential value for each register, and a
 register keeps the least one of a set, as its exponent to the base ``BASE``, cut to 16
 bits. So registers of a union are the larger ones of its parts, and equal registers
 are about as likely as two sets are similar.
@@ -10,8 +10,9 @@ alone. Classes that agree in all registers of a band meet in a bucket. There, pa
 whose sizes allow the similarity are compared by registers: the likelihood of the
 numbers of larger, smaller and equal registers, given both set sizes, is taken over all
 similarities, and a pair goes on unless those of at least the threshold fall behind the
-best one by ``DOUBT``. With 25 bands of 5 registers a pair at the threshold of 0.85
-meets no bucket once in two million times.
+best one by ``DOUBT``. The number of bands follows from the threshold, so that a pair
+at it meets no bucket at most ``MISSED`` of the times, once in two million: 25 bands of 5
+registers for 0.85, 37 for 0.80. For lower thresholds bands have fewer registers.
 
 Verification. What is connected by such pairs is a group, so a set travels once to
 its group and not to each bucket. There, links are decided on full sets, by 64-bit hash
@@ -27,7 +28,9 @@ empty table gives an empty table. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,17 +43,37 @@ from curbline.llm.frames import narrowed, stored
 from curbline.llm.graph import components, links_in_groups
 
 SHINGLE_WORDS = 5
-BANDS, BAND_REGISTERS = 25, 5
-REGISTERS = BANDS * BAND_REGISTERS
+#: Share of the pairs at the threshold that may meet no bucket.
+MISSED = 5e-7
+#: Bands, at least: registers also tell similarity.
+LEAST_BANDS = 25
+#: Registers of a band, at most; fewer where a sketch would have more than ``MOST`` registers.
+BAND_REGISTERS, MOST = 5, 256
 BASE, RATE, LIMIT = 1.001, 20.0, 2**16 - 1
 #: Natural logarithm of how many times less likely the threshold may be than the best similarity.
 DOUBT = 18.0
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_RANDOM = np.random.default_rng(20240501)
-_FLIP = _RANDOM.integers(0, 2**32, (REGISTERS, 1), dtype=np.uint32)
-_TIMES = _RANDOM.integers(0, 2**32, (REGISTERS, 1), dtype=np.uint32) | np.uint32(1)
+
+
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and registers of each, so that a pair of this similarity misses all with probability ``MISSED`` at most."""
+    if not 1 <= percent <= 100:
+        raise ValueError(f"not a similarity in hundredths: {percent}")
+    for width in range(BAND_REGISTERS, 0, -1):
+        same = (percent / 100) ** width
+        bands = max(LEAST_BANDS, math.ceil(math.log(MISSED) / math.log1p(-same)) if same < 1 else 1)
+        if bands * width <= MOST:
+            break
+    return bands, width
+
+
+@cache
+def scrambles(count: int) -> tuple[np.ndarray, np.ndarray]:
+    pick = np.random.default_rng(20240501)
+    flip, times = (pick.integers(0, 2**32, (count, 1), dtype=np.uint32) for _ in range(2))
+    return flip, times | np.uint32(1)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -83,12 +106,13 @@ def shingle_sets(texts: pa.Array, words: int = SHINGLE_WORDS) -> Iterator[np.nda
             yield np.empty(0, np.uint64)
 
 
-def registers(shingles: np.ndarray, step: int = 4096) -> np.ndarray:
+def registers(shingles: np.ndarray, count: int = 125, step: int = 4096) -> np.ndarray:
     """The registers of a set that isn't empty."""
+    flip, times = scrambles(count)
     low = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
-    least = np.full(REGISTERS, 2**32 - 1, np.uint32)
+    least = np.full(count, 2**32 - 1, np.uint32)
     for begin in range(0, len(low), step):
-        values = (low[begin : begin + step] ^ _FLIP) * _TIMES
+        values = (low[begin : begin + step] ^ flip) * times
         values ^= values >> np.uint32(15)
         values *= np.uint32(0x2C1B3C6D)
         np.minimum(least, values.min(axis=1), out=least)
@@ -96,19 +120,22 @@ def registers(shingles: np.ndarray, step: int = 4096) -> np.ndarray:
     return np.clip(np.floor(1 - np.log(spent) / np.log(BASE)), 0, LIMIT).astype(np.uint16)
 
 
-def sketch_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from hashlib import blake2b
+def sketch_task(count: int):
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from hashlib import blake2b
 
-    for batch in text_blocks(batches, "text"):
-        sizes, digests, sketches = [], [], []
-        for shingles in shingle_sets(batch.column("text")):
-            sizes.append(len(shingles))
-            digests.append(blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
-            sketches.append(registers(shingles).tobytes() if len(shingles) else None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary())],
-            names=["doc_id", "n", "digest", "sketch"],
-        )
+        for batch in text_blocks(batches, "text"):
+            sizes, digests, sketches = [], [], []
+            for shingles in shingle_sets(batch.column("text")):
+                sizes.append(len(shingles))
+                digests.append(blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
+                sketches.append(registers(shingles, count).tobytes() if len(shingles) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary())],
+                names=["doc_id", "n", "digest", "sketch"],
+            )
+
+    return sketch
 
 
 def likely(threshold: float):
@@ -129,7 +156,7 @@ def likely(threshold: float):
         v = 1 - u
         with np.errstate(divide="ignore", invalid="ignore"):
             p, q = part(np.clip(u - v * grid, 0, 1)), part(np.clip(v - u * grid, 0, 1))
-            logs = [np.where(n > 0, n * np.log(np.maximum(x, 1e-300)), 0) for n, x in ((more, p), (less, q), (REGISTERS - more - less, 1 - p - q))]
+            logs = [np.where(n > 0, n * np.log(np.maximum(x, 1e-300)), 0) for n, x in ((more, p), (less, q), (len(own) - more - less, 1 - p - q))]
         total = sum(logs)
         total[(u - v * grid < -1e-12) | (v - u * grid < -1e-12)] = -np.inf
         best = total.max(axis=0)
@@ -141,11 +168,11 @@ def likely(threshold: float):
     return may
 
 
-def by_registers(threshold: float):
+def by_registers(threshold: float, count: int):
     may = likely(threshold)
 
     def nearness(cell: pa.RecordBatch):
-        sketches = np.frombuffer(b"".join(cell.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        sketches = np.frombuffer(b"".join(cell.column("sketch").to_pylist()), np.uint16).reshape(-1, count)
         sizes = cell.column("n").to_numpy(zero_copy_only=False)
         return lambda row, others: may(sketches[row], sketches[others], sizes[row], sizes[others])
 
@@ -198,14 +225,16 @@ def set_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for each row."""
     texts = narrowed(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    sketches = stored(texts.mapInArrow(sketch_task, "doc_id long, n long, digest binary, sketch binary"), "sketches")
+    n_bands, band_registers = banding(percent)
+    count = n_bands * band_registers
+    sketches = stored(texts.mapInArrow(sketch_task(count), "doc_id long, n long, digest binary, sketch binary"), "sketches")
     real = sketches.where("doc_id is not null and n > 0")
     # One class for each set, named by its smallest document.
     classes = stored(real.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
 
-    width = 2 * BAND_REGISTERS
+    width = 2 * band_registers
     bands = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
+        F.sequence(F.lit(0), F.lit(n_bands - 1)),
         lambda band: F.xxhash64(band, F.substring(F.col("sketch"), band * width + 1, F.lit(width))),
     )
     banded = classes.select(F.col("rep").alias("node"), F.explode(bands).alias("key"))
@@ -216,7 +245,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     apart = stored(buckets.where("size > 1").groupBy("size", "pivot", "sum").agg(F.min("key").alias("key")).select("key"), "buckets")
     members = stored(banded.join(apart, "key").withColumn("weight", F.lit(1)), "members")
     of_class = classes.select(F.col("rep").alias("node"), "digest", "n", "sketch")
-    candidates = links_in_groups(members, by_registers(percent / 100), lambda cells: cells.join(of_class, "node"))
+    candidates = links_in_groups(members, by_registers(percent / 100, count), lambda cells: cells.join(of_class, "node"))
     groups = stored(components(candidates), "candidates")
 
     wanted = stored(groups.join(of_class.drop("sketch"), "node"), "wanted")

@@ -94,6 +94,21 @@ def test_registers_merge_by_maximum_and_tell_similarity():
     assert may(r, np.stack([s, r, far]), len(x), np.array([len(y), len(x), 950])).tolist() == [True, True, False]
 
 
+def test_bands_follow_the_threshold(spark):
+    assert setsketch.banding(85) == (25, 5)
+    for percent in range(6, 101):
+        bands, width = setsketch.banding(percent)
+        assert (1 - (percent / 100) ** width) ** bands <= setsketch.MISSED and bands * width <= setsketch.MOST
+    with pytest.raises(ValueError):
+        setsketch.banding(0)
+    rows = []
+    for k in range(60):  # pairs that share half of their shingles
+        common, own = [f"c{k}x{i}" for i in range(34)], [[f"{side}{k}x{i}" for i in range(15)] for side in "ab"]
+        rows += [(2 * k + i, " ".join(common + o)) for i, o in enumerate(own)]
+    got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 50).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_components_of_long_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, k) for k in range(1000, 1200)] + [(7, 7), (None, 3), (1199, 501), (501, 1199)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
