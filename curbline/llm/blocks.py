@@ -74,7 +74,11 @@ def words(data: np.ndarray, offsets: np.ndarray, also: np.ndarray | None = None)
 
     ``also`` marks bytes at which another word begins.
     """
-    solid = ~WHITE[data]
+    return runs(data, offsets, ~WHITE[data], also)
+
+
+def runs(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray, also: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
+    """The runs of ``solid`` bytes of all texts, and for each text the number of those before it."""
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     begins = offsets[:-1][np.diff(offsets) > 0]
@@ -82,7 +86,7 @@ def words(data: np.ndarray, offsets: np.ndarray, also: np.ndarray | None = None)
     if also is not None:
         first |= solid & also
     starts = np.flatnonzero(first)
-    # A start's place among the bytes that stay: its number less the white space before it.
+    # A start's place among the bytes that stay: its number less those that go before it.
     blanks = np.flatnonzero(~solid)
     places = starts - np.searchsorted(blanks, starts)
     return strings(data[solid], np.append(places, len(data) - len(blanks))), np.searchsorted(starts, offsets)

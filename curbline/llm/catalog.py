@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import bpe, forest, impact, labelled, packing, quality, setsketch, tokenfile, toxicity, unigram, warc
+from curbline.llm import (
+    alignment, bpe, divergence, forest, impact, labelled, packing, quality, setsketch, substrings, tokenfile, toxicity, unigram, warc,
+)
 from curbline.llm.frames import table
 from curbline.session import new_work_dir
 
@@ -84,10 +86,30 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impact.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language differ, and by which terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that stand earlier."""
+    return substrings.dedup(table(spark, sf_dir, "documents"), size=20).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers lie over each other in every document."""
+    return alignment.align(table(spark, sf_dir, "documents"), BYTES, PIECES).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bpe, op2_warc, op3_token_counts, op4_quality, op5_toxicity, op6_packing, op7_minhash, op8_token_file,
-        op9_embeddings, op10_topk,
+        op9_embeddings, op10_topk, op11_divergence, op12_substrings, op13_alignment,
     )
 }

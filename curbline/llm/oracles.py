@@ -60,4 +60,52 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLES: dict[str, str] = {"op2_warc": WARC, "op7_minhash": MINHASH, "op9_embeddings": EMBEDDINGS, "op10_topk": TOPK}
+DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), words AS (
+  SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS total FROM words GROUP BY 1, 2 HAVING count(DISTINCT row) >= 3
+), sources AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (
+  SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY 1, 2, 3
+), vocabulary AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY 1),
+sizes AS (SELECT lang, source, coalesce(sum(n), 0) AS n FROM sources LEFT JOIN counts USING (lang, source) GROUP BY 1, 2),
+chances AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1)) // (s.n + v.v) AS p,
+    1 + (CAST(1000000000 AS HUGEINT) * (k.total + 1)) // (v.n + v.v) AS whole
+  FROM sizes s JOIN vocabulary v USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM chances a JOIN chances b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - whole) * (p - whole) // whole FROM chances WHERE n > 0 AND p > whole
+), ranked AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+    CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+SUBSTRINGS = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS seq FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)
+), least AS (SELECT *, min({'d': doc_id, 'i': i}) OVER (PARTITION BY seq) AS first FROM windows),
+late AS (SELECT doc_id, i FROM least WHERE first.d < doc_id OR first.i < i),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM late),
+each AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+left_over AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN left_over USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_warc": WARC, "op7_minhash": MINHASH, "op9_embeddings": EMBEDDINGS, "op10_topk": TOPK, "op11_divergence": DIVERGENCE,
+    "op12_substrings": SUBSTRINGS,
+}
