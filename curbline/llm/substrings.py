@@ -55,7 +55,7 @@ HOT_SHARE = 1 << 18
 #: Hot anchors have at least so many segments in the sample.
 HOT_LEAST = 64
 #: Blocks that the sample has at least, and one of how many beyond.
-SAMPLE_BLOCKS, SAMPLE_OF = 64, 64
+SAMPLE_BLOCKS, SAMPLE_OF = 16, 64
 #: Bytes of segments in a shard.
 SHARD_BYTES = 8 << 20
 
