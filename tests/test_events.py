@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curbline.functions import events as ev
 from curbline.functions import text
-from curbline.operators.flow_timings import STATE_DDL, running_clocks, with_flow_timings
+from curbline.operators.flow_timings import STATE_DDL, fold, running_clocks, with_flow_timings
 from curbline.plans import alerts
 
 LOG = "id string, event_type string, timestamp string, message string, origin string, details string"
@@ -220,11 +220,11 @@ def folded(rows):
     return result, clocks
 
 
-@pytest.mark.parametrize("bucket_seconds", [60, 3600, 86400 * 40])
-def test_timings_equal_a_plain_fold(spark, bucket_seconds):
-    rows = random_events(600, bucket_seconds)
+@pytest.mark.parametrize("ranges", [1, 7, 60, None])
+def test_timings_equal_a_plain_fold(spark, ranges):
+    rows = random_events(600, ranges or 0)
     expected, _ = folded(rows)
-    timed = with_flow_timings(spark.createDataFrame(rows, EVENTS), bucket_seconds=bucket_seconds)
+    timed = with_flow_timings(spark.createDataFrame(rows, EVENTS), ranges=ranges)
     got = timed.collect()
     assert len(got) == len(rows)
     for row in got:
@@ -247,3 +247,29 @@ def test_clocks_carry_over(spark):
     assert {k: pytest.approx(v) for k, v in expected.items()} == got
     still_open = {(c.pipeline_id, c.update_id, c.flow_name) for c in carried.collect()}
     assert still_open == {key for key, clock in open_clocks.items() if clock}
+
+
+def test_small_arrow_batches_give_the_same_runs(spark):
+    rows = random_events(500, 11)
+    expected, _ = folded(rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = with_flow_timings(spark.createDataFrame(rows, EVENTS), ranges=4).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for row in got:
+        assert (row.observed_duration_seconds, row.observed_queue_seconds) == pytest.approx(expected.get(row.event_id, (None, None)))
+
+
+def test_one_hot_hour_of_one_flow_is_spread(spark):
+    """All events of one flow lie in one hour; no range has more than twice the median of the rows."""
+    at = datetime(2026, 1, 1, tzinfo=timezone.utc)
+    states = ["QUEUED", "RUNNING", "RUNNING", "COMPLETED", "RUNNING", "FAILED", "QUEUED"]
+    rows = [("p", "u", "hot", states[i % 7], at + timedelta(milliseconds=i * 150), f"{i:06d}") for i in range(20_000)]
+    rows += [("p", "u", f"f{i % 50}", "RUNNING", at + timedelta(seconds=i), f"x{i}") for i in range(500)]
+    frame = spark.createDataFrame(rows, EVENTS)
+    sizes = sorted(r["count"] for r in fold(frame, ranges=8).ranges.groupBy("__range").count().collect())
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+    expected, _ = folded(rows)
+    got = {r.event_id: r.observed_duration_seconds for r in with_flow_timings(frame, ranges=8).collect() if r.observed_duration_seconds}
+    assert got == pytest.approx({k: d for k, (d, _) in expected.items() if d})

@@ -50,11 +50,12 @@ def test_rule_bounds_reach_the_scan(spark, sf_dir):
         assert bound in pushed
 
 
-def test_flow_events_are_shuffled_once_by_flow_and_bucket(spark, sf_dir):
+def test_flow_events_are_finished_without_a_shuffle_of_their_own(spark, sf_dir):
+    """Only first runs meet the carried clocks; the rest of a folded range is read as it is."""
     shown = plan(with_flow_timings(tables.events(spark, sf_dir)).select("event_id", "observed_duration_seconds"))
     by_flow_only = re.findall(r"hashpartitioning\(pipeline_id#\d+, update_id#\d+, flow_name#\d+, \d+\)", shown)
-    by_bucket = re.findall(r"hashpartitioning\([^)]*__bucket#\d+L?, \d+\)", shown)
-    assert by_bucket and len(by_flow_only) <= 1
+    assert len(by_flow_only) <= 1 and "rangepartitioning" not in shown
+    assert re.search(r"Filter .*NOT .*__run#\d+", shown)
 
 
 @pytest.mark.parametrize("key", ["dq_metrics", "expect_all_report", "quality_totals"])
