@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from curbline.operators.slicing import Slice
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
 def zone_summary(zones: DataFrame) -> DataFrame:

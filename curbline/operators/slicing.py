@@ -38,6 +38,14 @@ class Slice:
             parts.append(F.col("trip_date") <= F.lit(self.last_date).cast("date"))
         return reduce(lambda a, b: a & b, parts, F.lit(True))
 
+    def fields(self) -> tuple[str, ...]:
+        """The columns that the slice looks at."""
+        used = {
+            "pickup_hour": self.hours, "pickup_borough": self.boroughs, "airport_flag": self.airport_flags,
+            "trip_date": (self.first_date, self.last_date) != (None, None),
+        }
+        return tuple(name for name, chosen in used.items() if chosen)
+
     def of(self, df: DataFrame) -> DataFrame:
         return df.where(self.condition())
 

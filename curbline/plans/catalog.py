@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbline.functions import text, trip
-from curbline.operators import charts, contracts, enrich, histograms, joins, profiles, quality
+from curbline.operators import charts, contracts, cuboids, enrich, histograms, joins, profiles, quality
 from curbline.operators.flow_timings import with_output_rate
-from curbline.operators.layout import write_clustered
+from curbline.operators.layout import write_z_ordered
 from curbline.operators import slicing
 from curbline.operators.slicing import Slice, widget_query
-from curbline.plans import alerts, marts, refresh, tables, widgets
+from curbline.plans import alerts, marts, refresh, tables, upkeep, widgets
 from curbline.plans.refresh import TRIP_KEYS
 from curbline.session import new_work_dir
-from curbline.sources import derived, landing, rescue
+from curbline.sources import derived, landing, rescue, storage
+from curbline.sources.lake import Lake
+from curbline.sources.lake import named as lake_tables
 from curbline.sources import trips as trip_files
 from curbline.streaming import flow_clock, ingest, refine
 
@@ -162,35 +164,60 @@ def ingest_lineage(spark, d):
 
 @query
 def source_year_expectation(spark, d):
-    read = trip_files.read_trips(spark, _landed(spark, d))
-    rules = quality.raw_trip_rules(2025)
-    return quality.expectation_report(
-        read.select("_source_file", F.lit(None).cast("string").alias("_rescued_data")), rules
+    """Both rules over all files, some of which hold text that was rescued or trips of another year."""
+    return quality.expectation_report(_evolved_table(spark, d), quality.raw_trip_rules(2025))
+
+
+#: Files below this are short; sources differ in size by the given tables.
+SHORT = 24 * 20
+
+
+def _landing_zone(spark, d):
+    root = tables.written(spark, d, "landing-zone", lambda path: derived.land_files(derived.landing_zone(raw(spark, d)), path))
+    source = F.regexp_extract("path", "source=([0-9]+)", 1).cast("int")
+    return tables.stored(spark, d, "landing_listing", lambda: landing.landed_files(spark, root)).withColumn("source", source)
+
+
+def _audited(spark, d):
+    files = _landing_zone(spark, d)
+    audit = tables.stored(spark, d, "landing_audit", lambda: landing.audit_files(files, minimum_bytes=SHORT))
+    return audit.withColumns(
+        {"source": F.regexp_extract("path", "source=([0-9]+)", 1).cast("int"), "file_month": landing.file_month(F.col("path"))}
     )
 
 
 @query
 def landing_file_audit(spark, d):
-    audit = landing.audit_files(landing.landed_files(spark, _landed(spark, d)), minimum_bytes=1000)
-    return audit.groupBy(
-        F.regexp_extract("path", "yellow_tripdata_([0-9]{4}-[0-9]{2})", 1).alias("file_month")
-    ).agg(
-        F.min("has_marks").alias("all_have_marks"),
-        F.min("is_large_enough").alias("all_large_enough"),
-        F.count_if(F.col("status") != "valid").alias("invalid_files"),
-    )
+    return _audited(spark, d).select("source", "file_month", "bytes", "has_marks", "is_large_enough", "status")
 
 
 @query
 def landing_summary(spark, d):
-    files = landing.landed_files(spark, _landed(spark, d))
-    return landing.landing_summary(landing.audit_files(files, minimum_bytes=1000))
+    return landing.landing_summary(_audited(spark, d), ["source"])
 
 
 @query
 def landing_missing_months(spark, d):
-    rejected = enrich.quarantined_trips(raw(spark, d), RULES)
-    return landing.missing_months(rejected, "pickup_month", 12, by=["PULocationID"])
+    """Months of the year without a file, by the names of the landed files."""
+    return landing.missing_files(_landing_zone(spark, d), 2025, 12, by=["source"])
+
+
+@query
+def landing_changes(spark, d):
+    """What a second look at the landing zone finds: files that are new, changed, gone and the same."""
+    base = new_work_dir(spark, "landing-changes")
+    lake, zone = Lake(spark, f"{base}/lake"), derived.landing_zone(raw(spark, d))
+    # Faulty files come again, files of the last months come later, and one source is taken back.
+    derived.land_files(zone.where("file_month < '2025-10'"), f"{base}/zone")
+    landing.take_listing(lake, f"{base}/zone")
+    again = zone.where("file_month >= '2025-10' OR fault <> 'none'")
+    derived.land_files(again.withColumn("fault", F.lit("none")).withColumn("trips", F.col("trips") + 1), f"{base}/zone")
+    storage.remove(spark, f"{base}/zone/source=5")
+    found = landing.take_listing(lake, f"{base}/zone")
+    return found.select(
+        F.regexp_extract("path", "source=([0-9]+)", 1).cast("int").alias("source"),
+        landing.file_month(F.col("path")).alias("file_month"), "bytes", "change",
+    )
 
 
 @query
@@ -206,20 +233,11 @@ def zones_dimension(spark, d):
 def stream_accept_quarantine_split(spark, d):
     base = new_work_dir(spark, "split")
     trip_files.land_trips(raw(spark, d), f"{base}/landing")
-    refine.split_stream(
-        spark,
-        f"{base}/landing",
-        trip_files.TRIP_SCHEMA,
-        f"{base}/accepted",
-        f"{base}/quarantine",
-        f"{base}/checkpoint",
-        RULES,
-    )
+    lake = Lake(spark, f"{base}/lake")
+    refine.split_stream(spark, f"{base}/landing", trip_files.TRIP_SCHEMA, lake, f"{base}/checkpoint", RULES)
     columns = ["tpep_pickup_datetime", "PULocationID", "DOLocationID", "duration_min"]
-    kept = spark.read.parquet(f"{base}/accepted").select(
-        F.lit("accepted").alias("verdict"), *columns, F.lit("").alias("rejection_reasons")
-    )
-    rejected = spark.read.parquet(f"{base}/quarantine").select(
+    kept = refine.read_accepted(lake).select(F.lit("accepted").alias("verdict"), *columns, F.lit("").alias("rejection_reasons"))
+    rejected = refine.read_quarantined(lake).select(
         F.lit("quarantined").alias("verdict"),
         *columns,
         F.array_join("rejection_reasons", "|").alias("rejection_reasons"),
@@ -227,50 +245,85 @@ def stream_accept_quarantine_split(spark, d):
     return kept.unionByName(rejected)
 
 
+@query
+def stream_expectation_ledger(spark, d):
+    """What each expectation failed over several runs of the stream, from its ledger."""
+    base = new_work_dir(spark, "ledger")
+    lake, trips = Lake(spark, f"{base}/lake"), raw(spark, d)
+    for number in range(3):
+        part = trips.where(F.month("tpep_pickup_datetime") % 3 == number)
+        trip_files.land_trips(part, f"{base}/landing/part_{number}")
+        refine.split_stream(spark, f"{base}/landing", trip_files.TRIP_SCHEMA, lake, f"{base}/checkpoint", RULES, 8)
+    return refine.read_expectations(lake)
+
+
 @query
 def clustered_write(spark, d):
+    """Trips and amounts of each day and destination, from a table that is ordered by date, origin and destination at once."""
     path = f"{new_work_dir(spark, 'clustered')}/accepted"
-    write_clustered(good(spark, d), path, TRIP_KEYS, ["tpep_pickup_datetime"])
+    write_z_ordered(good(spark, d), path, TRIP_KEYS, spread=["tpep_pickup_datetime"])
     return (
         spark.read.parquet(path)
-        .where(F.col("trip_date") >= F.lit("2025-07-01").cast("date"))
-        .groupBy("trip_date")
+        .groupBy("trip_date", "DOLocationID")
         .agg(F.count(F.lit(1)).alias("trip_count"), F.sum("total_amount").alias("amount"))
     )
 
 
 @query
 def refresh_tables(spark, d):
-    """Rows of each table that a full refresh publishes."""
-    written = refresh.refresh(spark, raw(spark, d), zones(spark), f"{new_work_dir(spark, 'lake')}/tables")
+    """Rows of each table that a full refresh publishes, as the published version describes them."""
+    lake = refresh.refresh(spark, raw(spark, d), zones(spark), f"{new_work_dir(spark, 'lake')}/tables")
+    published = lake.tables()
     counted = [
-        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), F.lit(refresh.TABLES[name][0]).alias("layer"), "row_count"
-        )
-        for name, path in written.items()
+        lake.frame(table).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, table in published.items()
     ]
-    return reduce(DataFrame.unionByName, counted)
+    told = lake_tables(sorted(published.items()), spark).drop("shares")
+    return told.join(reduce(DataFrame.unionByName, counted), "table_name")
+
+
+def _in_parts(spark, d, base, parts, bring):
+    """Raw trips land in parts, month by month in turn; ``bring`` is called after each."""
+    trips = raw(spark, d)
+    turn = F.pmod(F.month("tpep_pickup_datetime") * 7 + F.hour("tpep_pickup_datetime"), F.lit(parts))
+    for number in range(parts):
+        trip_files.land_trips(trips.where(turn == number), f"{base}/landing/part_{number}")
+        bring(number)
 
 
 @query
 def incremental_mart_fare(spark, d):
-    base = new_work_dir(spark, "incremental")
-    land, dims = f"{base}/landing", marts.FARE_DIMS
-    trips = raw(spark, d)
-    early = F.month("tpep_pickup_datetime") <= 6
-    for number, part in enumerate((early, ~early)):
-        trip_files.land_trips(trips.where(part), f"{land}/half_{number}")
+    """The fare mart after twelve micro-batches, whose shares have grown into generations."""
+    base, dims = new_work_dir(spark, "incremental"), marts.FARE_DIMS
+    lake = Lake(spark, f"{base}/lake")
+
+    def bring(number):
         reader = spark.readStream.schema(trip_files.TRIP_SCHEMA)
-        stream = reader.option("recursiveFileLookup", "true").parquet(land)
+        stream = reader.option("recursiveFileLookup", "true").parquet(f"{base}/landing")
         refine.keep_mart_current(
             stream,
             lambda batch: marts.fare_composition(
                 enrich.accepted_trips(batch, RULES), zones(batch.sparkSession)
             ),
-            f"{base}/shares",
-            f"{base}/checkpoint",
+            lake, "fare_ternary", dims, f"{base}/checkpoint",
         )
-    return refine.read_mart(spark, f"{base}/shares", dims)
+
+    _in_parts(spark, d, base, 12, bring)
+    return refine.read_mart(lake, "fare_ternary", dims)
+
+
+@query
+def incremental_mart_od(spark, d):
+    """The connection mart after ten micro-batches, each of which may change the chosen pairs."""
+    base, which = new_work_dir(spark, "chosen"), {"od_connection": marts.CHOSEN_MARTS["od_connection"]}
+    lake = Lake(spark, f"{base}/lake")
+
+    def bring(number):
+        read = trip_files.read_trips(spark, f"{base}/landing/part_{number}")
+        upkeep.add_trips(lake, enrich.accepted_trips(read, RULES), zones(spark), "landing", number, which)
+
+    _in_parts(spark, d, base, 10, bring)
+    return upkeep.read_mart(lake, "od_connection", zones(spark))
 
 
 # --- scalar columns and predicates -------------------------------------------------------
@@ -508,6 +561,15 @@ SLICES = {
 }
 
 
+def slices(spark: SparkSession, d: str, where: Slice) -> DataFrame:
+    """What all six charts show under a slice, each from the smallest cuboid that can tell."""
+    found = {
+        name: cuboids.sliced(spark, tables.cube(spark, d, name), widgets.WIDGET_DIMS[name], widgets.WIDGET_SUMS[name], where)
+        for name in marts.MARTS
+    }
+    return cuboids.stacked_measures(found, widgets.WIDGET_DIMS, widgets.WIDGET_SUMS)
+
+
 def _register_mart_queries() -> None:
     def keyed(key: str, build: Query) -> None:
         build.__name__ = key
@@ -518,7 +580,7 @@ def _register_mart_queries() -> None:
     for key, name in WIDGET_KEYS.items():
         keyed(key, lambda s, d, name=name: widget(s, d, name))
     for key, where in SLICES.items():
-        keyed(key, lambda s, d, where=where: where.of(dataset(s, d, "fare_ternary")))
+        keyed(key, lambda s, d, where=where: slices(s, d, where))
 
 
 _register_mart_queries()
@@ -549,8 +611,12 @@ def filter_options(spark, d):
 
 @query
 def field_contract(spark, d):
+    """Each mart's own columns against those that its dataset promises, and a mart that deviates."""
+    own = {name: tables.mart(spark, d, name) for name in marts.MARTS}
+    own["deviating"] = own["fare_ternary"].drop("tip_total").withColumn("surcharge", F.lit(0.0))
     expected = {name: widgets.dataset_fields(name) for name in marts.MARTS}
-    return contracts.field_contract(all_datasets(spark, d), expected)
+    expected["deviating"] = expected["fare_ternary"]
+    return contracts.field_contract(own, expected)
 
 
 @query
@@ -776,7 +842,7 @@ def _watched(spark, d, table):
 
 @query
 def flow_timings_stream(spark, d):
-    return with_output_rate(spark.read.parquet(_watched(spark, d, "timings"))).select(*TIMING)
+    return with_output_rate(flow_clock.read_timings(spark, _watched(spark, d, ""))).select(*TIMING)
 
 
 @query

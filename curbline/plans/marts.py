@@ -9,7 +9,10 @@ trips before anything is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbline.functions import trip
@@ -69,11 +72,17 @@ def airport_histogram(trips: DataFrame, zones: DataFrame) -> DataFrame:
     )
 
 
+def weight_of(rides: DataFrame) -> Column:
+    """How many rides a row stands for: itself, or the rides of its pair."""
+    return F.col("pair_trips") if "pair_trips" in rides.columns else F.lit(1)
+
+
 def zone_totals(
     trips: DataFrame, zones: DataFrame, columns: dict[str, str], total: str
 ) -> DataFrame:
-    """Trips per pickup zone; labels join after the count, on at most one row per zone."""
-    counted = trips.groupBy("PULocationID").agg(F.count(F.lit(1)).alias(total))
+    """Trips per pickup zone, from trips or from ``all_pair_totals``; labels join after the
+    count, on at most one row per zone."""
+    counted = trips.groupBy("PULocationID").agg(F.sum(weight_of(trips)).alias(total))
     return with_zone(
         counted, zones, "PULocationID", {"location_id": "location_id", **columns}
     ).drop("PULocationID")
@@ -142,11 +151,12 @@ def directional_flow(
 def pair_totals(trips: DataFrame) -> DataFrame:
     """Trips per (origin, destination) between different zones: the only full pass that
     the choice of origins and of destinations needs."""
-    return (
-        trips.where(~is_round_trip())
-        .groupBy("PULocationID", "DOLocationID")
-        .agg(F.count(F.lit(1)).alias("pair_trips"))
-    )
+    return all_pair_totals(trips.where(~is_round_trip()))
+
+
+def all_pair_totals(trips: DataFrame) -> DataFrame:
+    """Trips per (origin, destination), round trips included."""
+    return trips.groupBy("PULocationID", "DOLocationID").agg(F.sum(weight_of(trips)).alias("pair_trips"))
 
 
 def selected_origins(
@@ -298,6 +308,105 @@ def with_seasonal_baseline(daily: DataFrame) -> DataFrame:
     return daily.withColumn("expected_trip_count", F.avg("trip_count").over(season))
 
 
+# One row for each pair of zones, date and hour: four of the marts follow from it.
+PAIR_DIMS = ["trip_date", "pickup_hour", "PULocationID", "DOLocationID"]
+
+
+def pair_hours(trips: DataFrame) -> DataFrame:
+    """Additive measures of each pair of zones, date and hour."""
+    card, long_enough = F.col("payment_type") == 1, F.col("trip_distance") >= 0.5
+    return additive_mart(
+        trips,
+        PAIR_DIMS,
+        {
+            "pair_trips": F.lit(1),
+            "duration_total": F.col("duration_min"),
+            "distance_total": F.col("trip_distance"),
+            "fare_per_mile_total": F.when(long_enough, F.col("fare_amount") / F.col("trip_distance")).otherwise(0.0),
+            "fare_per_mile_count": F.when(long_enough, 1).otherwise(0),
+            "card_trip_count": F.when(card, 1).otherwise(0),
+            "tipped_card_count": F.when(card & (F.col("tip_amount") > 0), 1).otherwise(0),
+        },
+    )
+
+
+def flow_of_pairs(rows: DataFrame, chosen: DataFrame, zones: DataFrame) -> DataFrame:
+    """``directional_flow`` from pair hours and its chosen zones."""
+    labels = ["pickup_zone", "pickup_borough", "longitude", "latitude"]
+    leaving = in_selected_zones(rows.where(~is_round_trip()), chosen, labels)
+    ends = {"longitude": "end_longitude", "latitude": "end_latitude"}
+    trips = F.col("pair_trips")
+    return additive_mart(
+        with_zone(leaving, zones, "DOLocationID", ends).withColumn("airport_flag", _flag()),
+        ["trip_date", "pickup_hour", "pickup_zone", "pickup_borough", "airport_flag", "longitude", "latitude"],
+        {
+            "trip_count": trips,
+            "distance_total": F.col("distance_total"),
+            "dx_total": trips * (F.col("end_longitude") - F.col("longitude")),
+            "dy_total": trips * (F.col("end_latitude") - F.col("latitude")),
+        },
+    )
+
+
+def od_of_pairs(rows: DataFrame, chosen: DataFrame, zones: DataFrame) -> DataFrame:
+    """``od_connections`` from pair hours and its chosen pairs."""
+    on_pairs = in_selected_pairs(rows, chosen, PAIR_LABELS)
+    return additive_mart(
+        on_pairs.withColumn("airport_flag", _flag()),
+        ["trip_date", "pickup_hour", "airport_flag", *PAIR_LABELS],
+        {"trip_count": F.col("pair_trips"), "duration_total": F.col("duration_total")},
+    )
+
+
+def profile_of_pairs(rows: DataFrame, chosen: DataFrame, zones: DataFrame) -> DataFrame:
+    """``operating_profile`` from pair hours and its chosen zones."""
+    rides = in_selected_zones(rows, chosen, ["pickup_zone", "pickup_borough"])
+    at_airport = trip.touches_airport(F.col("PULocationID"), F.col("DOLocationID"))
+    sums = ("duration_total", "fare_per_mile_total", "fare_per_mile_count", "card_trip_count", "tipped_card_count")
+    return additive_mart(
+        rides.withColumn("airport_flag", _flag()),
+        ["trip_date", "pickup_hour", "pickup_zone", "pickup_borough", "airport_flag"],
+        {
+            "trip_count": F.col("pair_trips"),
+            **{name: F.col(name) for name in sums},
+            "airport_trip_count": F.when(at_airport, F.col("pair_trips")).otherwise(0),
+        },
+    )
+
+
+def horizon_of_pairs(rows: DataFrame, chosen: DataFrame, zones: DataFrame) -> DataFrame:
+    """``demand_horizon`` from pair hours and its chosen zones."""
+    rides = in_selected_zones(rows, chosen, ["pickup_zone", "pickup_borough"]).withColumns(
+        {"airport_flag": _flag(), "pickup_day_of_week": F.dayofweek("trip_date")}
+    )
+    dims = ["trip_date", "pickup_day_of_week", "pickup_hour", "pickup_zone", "pickup_borough", "airport_flag"]
+    daily = additive_mart(rides, dims, {"trip_count": F.col("pair_trips")})
+    return with_seasonal_baseline(daily).drop("pickup_day_of_week")
+
+
+@dataclass(frozen=True)
+class ChosenMart:
+    """A mart over the pairs, or over all pairs of the origins, that are chosen by totals over the whole period."""
+
+    keys: tuple[str, ...]
+    choose: Callable[[DataFrame, DataFrame], DataFrame]
+    build: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
+
+
+#: Columns of the chosen rows, by the columns of the pair hours that they select.
+CHOSEN_KEYS = {"PULocationID": ("location_id", "origin_id"), "DOLocationID": ("destination_id",)}
+
+CHOSEN_MARTS = {
+    "directional_flow": ChosenMart(("PULocationID",), lambda pairs, zones: busiest_flow_zones(pairs, zones), flow_of_pairs),
+    "od_connection": ChosenMart(("PULocationID", "DOLocationID"), lambda pairs, zones: selected_pairs(pairs, zones), od_of_pairs),
+    "parallel_coordinates": ChosenMart(
+        ("PULocationID",), lambda pairs, zones: busiest_city_zones(pairs, zones, PROFILE_ZONES_PER_BOROUGH), profile_of_pairs
+    ),
+    "horizon": ChosenMart(
+        ("PULocationID",), lambda pairs, zones: busiest_city_zones(pairs, zones, DEMAND_ZONES_PER_BOROUGH), horizon_of_pairs
+    ),
+}
+
 FARE_DIMS = ["trip_date", "pickup_hour", "pickup_borough", "payment_category", "airport_flag"]
 
 

@@ -474,24 +474,39 @@ FINALS["ingest_lineage"] = f"""
     SELECT {MONTH} AS file_month, count(*) AS row_count, count(*) AS rows_with_file_time,
            count(*) AS rows_with_ingestion_time FROM trips GROUP BY ALL"""
 FINALS["source_year_expectation"] = """
-    WITH counted AS (SELECT count(*) AS n, count(*) FILTER (year(tpep_pickup_datetime) <> 2025) AS bad FROM trips)
-    SELECT 'no_rescued_data' AS expectation, n AS passed_records, 0::BIGINT AS failed_records,
-           0::DOUBLE AS failure_ratio FROM counted
+    WITH counted AS (
+        SELECT count(*) AS n, count(*) FILTER (pickup_month % 3 = 2 AND trip_distance = 0) AS rescued,
+               count(*) FILTER (year(tpep_pickup_datetime) <> 2025) AS bad FROM timed)
+    SELECT 'no_rescued_data' AS expectation, n - rescued AS passed_records, rescued AS failed_records,
+           round(rescued::DOUBLE / n, 6) + 0.0 AS failure_ratio FROM counted
     UNION ALL SELECT 'expected_source_year', n - bad, bad, round(bad::DOUBLE / n, 6) FROM counted"""
-FINALS["landing_file_audit"] = f"""
-    SELECT DISTINCT {MONTH} AS file_month, true AS all_have_marks, true AS all_large_enough,
-           0::BIGINT AS invalid_files FROM trips"""
+CTES["landing"] = f"""
+    SELECT source, file_month, trips, fault, CASE WHEN fault = 'empty' THEN 0 ELSE 8 + 24 * trips END AS bytes
+    FROM (SELECT *, CASE WHEN trips % 11 = 0 THEN 'empty' WHEN trips % 5 = 0 THEN 'head' WHEN trips % 7 = 0 THEN 'tail' ELSE 'none' END AS fault
+          FROM (SELECT (PULocationID % 16)::INTEGER AS source, {MONTH} AS file_month, count(*) AS trips
+                FROM timed WHERE PULocationID % 3 <> pickup_month % 3 GROUP BY ALL)
+          WHERE source % 4 <> 3 OR right(file_month, 2) NOT IN ('02', '09'))"""
+CTES["audited"] = """
+    SELECT source, file_month, bytes, fault = 'none' AS has_marks, bytes >= 480 AS is_large_enough,
+           CASE WHEN fault = 'none' AND bytes >= 480 THEN 'valid' ELSE 'invalid' END AS status FROM landing"""
+FINALS["landing_file_audit"] = "SELECT * FROM audited"
+FINALS["landing_summary"] = """
+    SELECT source, status, count(*) AS file_count, sum(bytes)::BIGINT AS total_bytes FROM audited GROUP BY ALL"""
 FINALS["landing_missing_months"] = """
-    SELECT PULocationID, m::INTEGER AS month
-    FROM (SELECT DISTINCT PULocationID FROM judged WHERE NOT ok), range(1, 13) AS t(m)
-    WHERE (PULocationID, m) NOT IN (SELECT (PULocationID, pickup_month) FROM judged WHERE NOT ok)"""
+    SELECT source, m::INTEGER AS month FROM (SELECT DISTINCT source FROM landing), range(1, 13) AS t(m)
+    WHERE (source, '2025-' || lpad(m::VARCHAR, 2, '0')) NOT IN (SELECT (source, file_month) FROM landing)"""
+FINALS["landing_changes"] = """
+    SELECT source, file_month, CASE WHEN NOT later OR source = 5 THEN bytes ELSE 8 + 24 * (trips + 1) END AS bytes,
+           CASE WHEN source = 5 THEN 'gone' WHEN file_month >= '2025-10' THEN 'new' WHEN later THEN 'changed' ELSE 'same' END AS change
+    FROM (SELECT *, file_month >= '2025-10' OR fault <> 'none' AS later FROM landing)
+    WHERE source <> 5 OR file_month < '2025-10'"""
 FINALS["zones_dimension"] = "SELECT * REPLACE (round(longitude, 6) AS longitude, round(latitude, 6) AS latitude) FROM used_zones"
 FINALS["stream_accept_quarantine_split"] = f"""
     SELECT CASE WHEN ok THEN 'accepted' ELSE 'quarantined' END AS verdict, {ENDS},
            {r('duration_min')} AS duration_min, reasons AS rejection_reasons FROM judged"""
 FINALS["clustered_write"] = f"""
-    SELECT trip_date::VARCHAR AS trip_date, count(*) AS trip_count, {r('sum(total_amount)')} AS amount
-    FROM good WHERE trip_date >= DATE '2025-07-01' GROUP BY trip_date"""
+    SELECT trip_date::VARCHAR AS trip_date, DOLocationID, count(*) AS trip_count, {r('sum(total_amount)')} AS amount
+    FROM good GROUP BY trip_date, DOLocationID"""
 FINALS["airport_flag"] = f"SELECT {ENDS}, airport_flag FROM timed"
 FINALS["trip_durations"] = f"""
     SELECT {ENDS}, seconds AS duration_seconds, {r('seconds::DOUBLE / 60')} AS duration_min FROM timed"""
@@ -547,6 +562,7 @@ _EXPECT_ALL = " UNION ALL ".join(
     for i, name in enumerate(EXPECTATIONS, 1)
 )
 FINALS["expect_all_report"] = f"SELECT * REPLACE ({r('failure_ratio')} AS failure_ratio) FROM ({_EXPECT_ALL})"
+FINALS["stream_expectation_ledger"] = FINALS["expect_all_report"]
 FINALS["expect_or_fail_pass"] = "SELECT pickup_month, count(*) AS guarded_rows FROM good GROUP BY ALL"
 FINALS["expectation_breaches"] = (
     f"SELECT * REPLACE ({r('failure_ratio')} AS failure_ratio) FROM ({_EXPECT_ALL})"
@@ -613,6 +629,7 @@ FINALS["mart_demand_horizon"] = f"SELECT * REPLACE ({_DATE}, {HORIZON_DOUBLES})
 FARE_DOUBLES = _rounded("fare_total", "tip_total", "extras_total")
 FINALS["mart_fare_composition"] = f"SELECT * REPLACE ({_DATE}, {FARE_DOUBLES}) FROM m_fare"
 FINALS["incremental_mart_fare"] = FINALS["mart_fare_composition"]
+FINALS["incremental_mart_od"] = FINALS["mart_od_connections"]
 FINALS["widget_fan"] = "SELECT * FROM w_fan"
 FINALS["widget_flow"] = f"SELECT * REPLACE ({FLOW_DOUBLES}) FROM w_flow"
 FINALS["widget_od"] = f"SELECT * REPLACE ({OD_DOUBLES}) FROM w_od"
@@ -623,6 +640,7 @@ SCENARIO = (
     "pickup_hour IN (8, 9) AND trip_date BETWEEN DATE '2025-10-01' AND DATE '2025-12-31'"
     " AND pickup_borough = 'Queens' AND airport_flag = 'Airport'"
 )
+SLICES: dict[str, str] = {}
 for _key, _where in (
     ("slice_hours", "pickup_hour IN (8, 9)"),
     ("slice_dates", "trip_date BETWEEN DATE '2025-10-01' AND DATE '2025-12-31'"),
@@ -630,9 +648,7 @@ for _key, _where in (
     ("slice_airport", "airport_flag = 'Airport'"),
     ("slice_combined", SCENARIO),
 ):
-    FINALS[_key] = (
-        f"SELECT * REPLACE ({_DATE}, {FARE_DOUBLES}) FROM (SELECT * FROM m_fare WHERE {_where})"
-    )
+    SLICES[_key] = _where
 FINALS["widget_all_aggs"] = f"""
     SELECT pickup_borough, airport_flag, sum(trip_count)::BIGINT AS trip_sum, {r('avg(trip_count)')} AS trip_avg,
            count(trip_count) AS row_count, {r('min(fare_total)')} AS fare_min, {r('max(fare_total)')} AS fare_max
@@ -653,12 +669,26 @@ FINALS["filter_options"] = " UNION ALL ".join(
     for name, mart, _, _ in DATASETS
     for field in FILTERS.split(",")
 )
+def _listed(names: str) -> list[str]:
+    return [n.strip() for n in names.split(",")]
+
+
+for _key, _where in SLICES.items():
+    FINALS[_key] = " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, concat_ws('|', {', '.join(f'{d}::VARCHAR' for d in _listed(dims))}) AS dimensions,"
+        f" '{measure}' AS measure, {r(f'sum({measure})::DOUBLE')} AS value FROM {mart} WHERE {_where} GROUP BY {dims}"
+        for name, mart, fields, dims in DATASETS
+        for measure in _listed(fields)
+        if measure not in _listed(dims) and measure not in _listed(FILTERS)
+    )
 FINALS["field_contract"] = " UNION ALL ".join(
     f"SELECT '{name}' AS dataset, '{','.join(sorted(f'{FILTERS}, {fields}'.replace(' ', '').split(',')))}' AS fields,"
     " '' AS missing_fields, '' AS unexpected_fields, true AS fields_match,"
     f" count(*) AS row_count FROM {mart}"
     for name, mart, fields, _ in DATASETS
-)
+) + """
+    UNION ALL SELECT 'deviating', 'airport_flag,extras_total,fare_total,payment_category,pickup_borough,pickup_hour,surcharge,trip_count,trip_date',
+        'tip_total', 'surcharge', false, count(*) FROM m_fare"""
 FINALS["type_contract"] = " UNION ALL ".join(
     f"SELECT '{name}' AS dataset, true AS trip_date_is_date, true AS pickup_hour_is_integral,"
     " min(trip_date)::VARCHAR AS first_date, max(trip_date)::VARCHAR AS last_date,"
@@ -889,17 +919,17 @@ for _key, _final in FINALS.items():
 
 # The rows of every published table, from the statements of the tables themselves.
 _PUBLISHED = {
-    "accepted": ("silver", "accepted_trips"),
-    "quarantine": ("silver", "quarantined_trips"),
-    "quality_metrics": ("silver", "dq_metrics"),
-    "airport_quantile": ("gold", "mart_quantile_fan"),
-    "directional_flow": ("gold", "mart_directional_flow"),
-    "od_connection": ("gold", "mart_od_connections"),
-    "parallel_coordinates": ("gold", "mart_operating_profile"),
-    "horizon": ("gold", "mart_demand_horizon"),
-    "fare_ternary": ("gold", "mart_fare_composition"),
+    "accepted": ("silver", "accepted_trips", "Trips that keep every rule"),
+    "quarantine": ("silver", "quarantined_trips", "Trips that break a rule, with the reasons"),
+    "quality_metrics": ("silver", "dq_metrics", "Rows that break each rule"),
+    "airport_quantile": ("gold", "mart_quantile_fan", "Additive mart: airport quantile"),
+    "directional_flow": ("gold", "mart_directional_flow", "Additive mart: directional flow"),
+    "od_connection": ("gold", "mart_od_connections", "Additive mart: od connection"),
+    "parallel_coordinates": ("gold", "mart_operating_profile", "Additive mart: parallel coordinates"),
+    "horizon": ("gold", "mart_demand_horizon", "Additive mart: horizon"),
+    "fare_ternary": ("gold", "mart_fare_composition", "Additive mart: fare ternary"),
 }
 ORACLES["refresh_tables"] = " UNION ALL ".join(
-    f"SELECT '{table}' AS table_name, '{layer}' AS layer, count(*) AS row_count FROM ({ORACLES[key]})"
-    for table, (layer, key) in _PUBLISHED.items()
+    f"SELECT '{table}' AS table_name, '{layer}' AS layer, '{comment}' AS comment, count(*) AS row_count FROM ({ORACLES[key]})"
+    for table, (layer, key, comment) in _PUBLISHED.items()
 )

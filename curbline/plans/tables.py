@@ -14,19 +14,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from curbline.operators import enrich, quality
+from curbline.operators.cuboids import write_cuboids
 from curbline.operators.flow_timings import with_flow_timings, with_output_rate
-from curbline.plans import alerts, marts
+from curbline.plans import alerts, marts, widgets
 from curbline.session import new_work_dir
 from curbline.sources import derived
 
 _PATHS: dict[tuple[str, str, str], str] = {}
-_LOCK = threading.RLock()
+_LOCKS: dict[tuple[str, str, str], threading.RLock] = {}
+_LOCK = threading.Lock()
 
 
 def written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
     """The folder ``name``, filled by ``write`` when it is first asked for."""
     key = (spark.conf.get("spark.app.id"), sf_dir, name)
     with _LOCK:
+        own = _LOCKS.setdefault(key, threading.RLock())
+    with own:  # tables wait only for those that they are built from
         if key not in _PATHS:
             path = new_work_dir(spark, "".join(c if c.isalnum() else "-" for c in name)[:40])
             write(path)
@@ -64,6 +68,17 @@ def mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return stored(spark, sf_dir, f"mart_{name}", build)
 
 
+def cube(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The folder with a dataset's cuboids."""
+
+    def write(path: str) -> None:
+        fields = widgets.dataset_fields(name)
+        source = mart(spark, sf_dir, name).select(*fields)
+        write_cuboids(source, path, widgets.WIDGET_DIMS[name], widgets.FILTER_FIELDS, widgets.WIDGET_SUMS[name])
+
+    return written(spark, sf_dir, f"cube_{name}", write)
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "event_log", lambda: derived.event_log(spark, sf_dir))
 

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from curbline.sources import storage
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -44,5 +46,6 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/curbline/{purpose}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unused path below the shared folder, with its scheme: Spark and the tasks that
+    open files themselves then mean the same store."""
+    return storage.qualified(spark, f"{shared_dir(spark)}/curbline/{purpose}-{uuid.uuid4().hex[:12]}")

@@ -121,6 +121,43 @@ def zones_mentioned(raw_trips: DataFrame) -> DataFrame:
     return with_zone_attributes(known, "id").withColumns({**named, "longitude": off})
 
 
+#: The landing zone has one source for each remainder of the pickup zone.
+LANDING_SOURCES = 16
+#: Bytes that a landed file has for each of its trips, and the bytes of its two marks.
+BYTES_PER_TRIP, MARK_BYTES = 24, 8
+
+
+def landing_zone(raw_trips: DataFrame) -> DataFrame:
+    """One landed file for each source and month in which the source has enough trips to a bad end, with its fault.
+
+    ``trips`` decides size and fault: files of too few trips are short, and every fifth,
+    seventh and eleventh number of trips has a damaged head, a damaged tail or no content.
+    """
+    counted = raw_trips.where("PULocationID % 3 <> month(tpep_pickup_datetime) % 3").groupBy(
+        F.pmod("PULocationID", F.lit(LANDING_SOURCES)).alias("source"),
+        F.date_format("tpep_pickup_datetime", "yyyy-MM").alias("file_month"),
+    ).agg(F.count(F.lit(1)).alias("trips"))
+    fault = F.expr("CASE WHEN trips % 11 = 0 THEN 'empty' WHEN trips % 5 = 0 THEN 'head' WHEN trips % 7 = 0 THEN 'tail' ELSE 'none' END")
+    return counted.where("source % 4 <> 3 OR right(file_month, 2) NOT IN ('02', '09')").withColumn("fault", fault)
+
+
+def land_files(files: DataFrame, root: str) -> None:
+    """Write the files of ``landing_zone`` below ``root``, one folder for each source; tasks write them."""
+    from curbline.sources.files import open_fs
+
+    def write(batches):
+        for batch in batches:
+            for source, month, trips, fault in batch[["source", "file_month", "trips", "fault"]].itertuples(index=False):
+                store, inner = open_fs(f"{root}/source={source}")
+                store.create_dir(inner, recursive=True)
+                head, tail = (b"DAMG" if fault == end else b"PAR1" for end in ("head", "tail"))
+                with store.open_output_stream(f"{inner}/yellow_tripdata_{month}.parquet") as out:
+                    out.write(b"" if fault == "empty" else head + bytes(BYTES_PER_TRIP * trips) + tail)
+            yield batch[["source"]]
+
+    files.mapInPandas(write, "source int").write.format("noop").mode("overwrite").save()
+
+
 # The seven flow names of the derived event log.
 FLOW_NAMES = (
     "trips_raw",

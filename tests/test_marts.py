@@ -162,17 +162,17 @@ def test_one_zone_with_a_third_of_all_trips(spark, sf_dir, trips, zones):
 
 def test_refresh_publishes_all_tables(spark, sf_dir, tmp_path):
     raw = tables.raw_trips(spark, sf_dir)
-    written = refresh.refresh(spark, raw, derived.zones(spark), str(tmp_path / "lake"))
-    counts = {name: spark.read.parquet(path).count() for name, path in written.items()}
+    lake = refresh.refresh(spark, raw, derived.zones(spark), str(tmp_path / "lake"))
+    counts = {name: lake.read(name).count() for name in lake.tables()}
+    assert {name: (t.layer, t.comment) for name, t in lake.tables().items()} == refresh.TABLES
     assert counts["accepted"] + counts["quarantine"] == raw.count()
     assert counts["quality_metrics"] == 6
-    metrics = spark.read.parquet(written["quality_metrics"])
+    metrics = lake.read("quality_metrics")
     assert metrics.where("computed_at IS NOT NULL").drop("computed_at").exceptAll(
         quality.rule_metrics(raw, refresh.quality.trip_rules(2025))
     ).isEmpty()
-    assert same(
-        spark.read.parquet(written["fare_ternary"]), tables.mart(spark, sf_dir, "fare_ternary")
-    )
+    for name in marts.MARTS:
+        assert same(lake.read(name), tables.mart(spark, sf_dir, name)), name
 
 
 def test_refresh_reads_raw_trips_once(spark, sf_dir, tmp_path):
@@ -195,6 +195,8 @@ def test_refresh_registers_its_tables(spark, sf_dir, tmp_path):
         for name, (layer, comment) in refresh.TABLES.items():
             described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED lake_test.{name}").collect()}
             assert f"quality={layer}" in described["Table Properties"] and described["Comment"] == comment
+        lake = refresh.refresh(spark, raw.limit(100), derived.zones(spark), str(tmp_path / "lake"), database="lake_test")
+        assert spark.table("lake_test.accepted").count() == lake.read("accepted").count()
     finally:
         spark.sql("DROP DATABASE lake_test CASCADE")
 

@@ -7,8 +7,9 @@ from pyspark.sql import types as T
 from curbline.operators.layout import publish_table
 from curbline.plans import tables
 from curbline.session import new_work_dir, shared_dir
-from curbline.sources import files, landing, rescue
+from curbline.sources import files, landing, rescue, storage
 from curbline.sources import trips as trip_files
+from curbline.sources.lake import Lake
 
 
 def test_audit_checks_size_and_both_marks(spark, tmp_path):
@@ -102,7 +103,7 @@ def test_landing_writes_one_folder_per_month(spark, sf_dir, tmp_path):
 
 def test_work_dirs_are_new_and_shared(spark):
     one, two = new_work_dir(spark, "x"), new_work_dir(spark, "x")
-    assert one != two and one.startswith(shared_dir(spark))
+    assert one != two and one.startswith(storage.qualified(spark, shared_dir(spark))) and ":" in one
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
@@ -131,3 +132,37 @@ def test_values_that_would_lose_something_are_rescued(spark):
 def test_uris_are_named_as_arrow_knows_them():
     known = {"s3a://b/k": "s3://b/k", "file:///a/b": "/a/b", "file:/a/b": "/a/b", "/a/b": "/a/b", "hdfs://n/a": "hdfs://n/a"}
     assert {uri: files.arrow_uri(uri) for uri in known} == known
+
+
+def test_listing_goes_through_all_folders(spark, tmp_path):
+    for name in ("a.parquet", "one/b.parquet", "one/two/c.parquet", "one/two/d.csv", "_hidden/e.parquet", ".f.parquet"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * len(name))
+    (tmp_path / "empty").mkdir()
+    found = {r.path.rsplit("/", 1)[1]: r.bytes for r in landing.landed_files(spark, str(tmp_path)).collect()}
+    assert found == {"a.parquet": 9, "b.parquet": 13, "c.parquet": 17}
+    assert landing.landed_files(spark, str(tmp_path / "nowhere")).isEmpty()
+
+
+def test_a_second_look_tells_what_changed(spark, tmp_path):
+    lake, zone = Lake(spark, str(tmp_path / "lake")), tmp_path / "zone"
+    zone.mkdir()
+    for name in ("same", "longer", "gone"):
+        (zone / f"{name}.parquet").write_bytes(b"PAR1PAR1")
+    look = lambda: {r.path.rsplit("/", 1)[1][:-8]: r.change for r in landing.take_listing(lake, str(zone)).collect()}
+    assert set(look().values()) == {"new"}
+    (zone / "longer.parquet").write_bytes(b"PAR1--PAR1")
+    (zone / "gone.parquet").unlink()
+    (zone / "added.parquet").write_bytes(b"")
+    assert look() == {"same": "same", "longer": "changed", "gone": "gone", "added": "new"}
+    assert look() == {"same": "same", "longer": "same", "added": "same"}
+
+
+def test_missing_months_come_from_names(spark):
+    files = spark.createDataFrame(
+        [("s1/yellow_tripdata_2025-01.parquet", 1), ("s1/yellow_tripdata_2025-03/x.parquet", 1), ("s2/yellow_tripdata_2024-02.parquet", 2), ("s2/none.parquet", 2)],
+        "path string, s int",
+    )
+    gaps = sorted((r.s, r.month) for r in landing.missing_files(files, 2025, 3, by=["s"]).collect())
+    assert gaps == [(1, 2), (2, 1), (2, 2), (2, 3)]
+    assert sorted(r.month for r in landing.missing_files(files, 2025, 3).collect()) == [2]

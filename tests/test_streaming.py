@@ -7,6 +7,7 @@ from curbline.plans.alerts import AlertSettings
 from curbline.session import new_work_dir
 from curbline.sources import derived
 from curbline.sources import trips as trip_files
+from curbline.sources.lake import Lake
 from curbline.streaming import flow_clock, ingest, refine
 
 RULES = quality.trip_rules(2025)
@@ -34,33 +35,66 @@ def test_ingestion_resumes_and_reads_each_file_once(spark, raw, base):
     assert bronze.where("_source_file IS NULL OR _ingested_at IS NULL").count() == 0
 
 
-@pytest.mark.parametrize("files, files_per_batch", [(1, 1000), (104, 1)])
+@pytest.mark.parametrize("files, files_per_batch", [(1, 1000), (12, 1)])
 def test_split_equals_batch_and_counts_rules(spark, raw, base, files, files_per_batch):
-    """Also over more micro-batches than a query remembers."""
+    """Also over many micro-batches, whose counts come from the ledger."""
     raw.repartition(files).write.parquet(f"{base}/bronze")
-    paths = (f"{base}/accepted", f"{base}/quarantine")
-    counted = refine.split_stream(
-        spark, f"{base}/bronze", trip_files.TRIP_SCHEMA, *paths, f"{base}/cp", RULES, files_per_batch
-    )
-    accepted = spark.read.parquet(paths[0])
+    lake = Lake(spark, f"{base}/lake")
+    refine.split_stream(spark, f"{base}/bronze", trip_files.TRIP_SCHEMA, lake, f"{base}/cp", RULES, files_per_batch)
+    accepted, quarantined = refine.read_accepted(lake), refine.read_quarantined(lake)
     assert accepted.exceptAll(enrich.accepted_trips(raw, RULES)).count() == 0
-    assert accepted.count() + spark.read.parquet(paths[1]).count() == raw.count()
-    report = {r.expectation: r.failed_records for r in quality.expectation_report(raw, RULES).collect()}
-    assert counted.pop("records") == raw.count()
-    assert counted == report
+    expected = enrich.quarantined_trips(raw, RULES)
+    assert quarantined.select(*expected.columns).exceptAll(expected).count() == 0
+    assert accepted.count() + quarantined.count() == raw.count()
+    assert lake.read(refine.LEDGER).select("batch").distinct().count() == -(-files // files_per_batch)
+    assert refine.read_expectations(lake).exceptAll(quality.expectation_report(raw, RULES)).isEmpty()
 
 
-def test_a_batch_run_again_replaces_its_share(spark, sf_dir, raw, base):
+def test_the_source_of_a_split_is_read_once(spark, raw, base):
+    raw.coalesce(1).write.parquet(f"{base}/bronze")
+    lake = Lake(spark, f"{base}/lake")
+    query = refine.split_stream(spark, f"{base}/bronze", trip_files.TRIP_SCHEMA, lake, f"{base}/cp", RULES)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == raw.count()
+
+
+def test_tables_and_ledger_agree_over_a_failure_and_a_restart(spark, raw, base, monkeypatch):
+    """The change fails after the rows are written and before it is published; the next run brings them once."""
+    lake = Lake(spark, f"{base}/lake")
+
+    def run():
+        refine.split_stream(spark, f"{base}/bronze", trip_files.TRIP_SCHEMA, lake, f"{base}/cp", RULES)
+
+    raw.where("passenger_count < 3").write.parquet(f"{base}/bronze/one")
+    run()
+    before = (refine.read_accepted(lake).count(), refine.read_expectations(lake).collect())
+    raw.where("passenger_count >= 3").write.parquet(f"{base}/bronze/two")
+
+    def fail(change):
+        raise ValueError("broken on purpose")
+
+    monkeypatch.setattr("curbline.sources.lake.Change.publish", fail)
+    with pytest.raises(Exception, match="broken on purpose"):
+        run()
+    assert (refine.read_accepted(lake).count(), refine.read_expectations(lake).collect()) == before
+    monkeypatch.undo()
+    run()
+    run()
+    assert refine.read_expectations(lake).exceptAll(quality.expectation_report(raw, RULES)).isEmpty()
+    assert refine.read_accepted(lake).count() == enrich.accepted_trips(raw, RULES).count()
+
+
+def test_a_batch_run_again_is_left_out(spark, sf_dir, raw, base):
     zones = derived.zones(spark)
     raw.write.parquet(f"{base}/raw")
+    lake = Lake(spark, f"{base}/lake")
 
     def build(batch):
         return marts.fare_composition(enrich.accepted_trips(batch, RULES), zones)
 
     for run in ("first", "again"):  # a new checkpoint numbers its batches from 0 again
         stream = spark.readStream.schema(trip_files.TRIP_SCHEMA).parquet(f"{base}/raw")
-        refine.keep_mart_current(stream, build, f"{base}/shares", f"{base}/cp-{run}")
-    current = refine.read_mart(spark, f"{base}/shares", marts.FARE_DIMS)
+        refine.keep_mart_current(stream, build, lake, "fares", marts.FARE_DIMS, f"{base}/cp-{run}")
+    current = refine.read_mart(lake, "fares", marts.FARE_DIMS)
     assert current.exceptAll(build(raw)).count() == 0
     assert current.count() == build(raw).count()
 
@@ -102,7 +136,7 @@ def test_clocks_survive_between_runs(spark, base):
         )
     timed = {
         r.event_id: (r.observed_duration_seconds, r.observed_queue_seconds)
-        for r in spark.read.parquet(f"{base}/out/timings").collect()
+        for r in flow_clock.read_timings(spark, f"{base}/out").collect()
     }
     assert timed == {"3": (90.0, 30.0), "4": (None, None)}
     found = flow_clock.read_alerts(spark, f"{base}/out").collect()
@@ -185,3 +219,56 @@ def test_evolving_files_that_differ_in_case_or_shape(spark, raw, base):
     raw.limit(3).write.parquet(f"{base}/landing/three")
     ingest.ingest_evolving(spark, f"{base}/landing", f"{base}/bronze", f"{base}/schemas", f"{base}/cp")
     assert spark.read.json(f"{base}/schemas").count() == before == 1
+
+
+def flow_event(id, state, at, flow="f"):
+    origin = f'{{"pipeline_id":"p","update_id":"u","flow_name":"a.b.{flow}"}}'
+    return (id, "flow_progress", at, "", origin, f'{{"flow_progress":{{"state":"{state}"}}}}')
+
+
+def land(spark, base, *rows):
+    spark.createDataFrame(list(rows), flow_clock.LOG_DDL).coalesce(1).write.mode("append").parquet(f"{base}/log")
+
+
+def watch(spark, base, **more):
+    flow_clock.watch_events(spark, f"{base}/log", f"{base}/out", f"{base}/cp", AlertSettings(), **more)
+    return {r.event_id: (r.observed_duration_seconds, r.observed_queue_seconds) for r in flow_clock.read_timings(spark, f"{base}/out").collect()}
+
+
+def test_a_failed_run_is_taken_up_again(spark, base, monkeypatch):
+    """The second stream fails after the state was read; the next run publishes the same."""
+    land(spark, base, flow_event("1", "QUEUED", "2026-01-01T00:00:00Z"))
+    watch(spark, base)
+    land(spark, base, flow_event("2", "RUNNING", "2026-01-01T00:00:30Z"))
+    whole = flow_clock.publish
+
+    def fail(*args):
+        raise ValueError("broken on purpose")
+
+    monkeypatch.setattr(flow_clock, "publish", fail)
+    with pytest.raises(Exception, match="broken on purpose"):
+        watch(spark, base)
+    monkeypatch.setattr(flow_clock, "publish", whole)
+    land(spark, base, flow_event("3", "COMPLETED", "2026-01-01T00:02:00Z"))
+    assert watch(spark, base) == {"3": (90.0, 30.0)}
+    assert watch(spark, base) == {"3": (90.0, 30.0)}
+    assert spark.read.parquet(f"{base}/out/timed").count() == 3
+
+
+def test_clocks_without_news_are_dropped(spark, base):
+    """A clock of a flow that never ends goes after the stated time, others stay."""
+    from datetime import timedelta
+
+    keep = timedelta(days=2)
+    land(spark, base, flow_event("1", "RUNNING", "2026-01-01T00:00:00Z", "lost"), flow_event("2", "RUNNING", "2026-01-08T00:00:00Z", "kept"))
+    watch(spark, base, keep=keep)
+    land(spark, base, flow_event("3", "RUNNING", "2026-01-09T00:00:00Z", "other"))
+    watch(spark, base, keep=keep)
+    land(spark, base, flow_event("4", "FAILED", "2026-01-09T00:01:00Z", "lost"), flow_event("5", "FAILED", "2026-01-09T00:01:00Z", "kept"))
+    assert watch(spark, base, keep=keep) == {"4": (None, None), "5": (86460.0, None)}
+
+
+def test_batches_without_clock_events_are_published(spark, base):
+    land(spark, base, failed("1", flow="no update"))
+    assert watch(spark, base) == {"1": (None, None)}
+    assert flow_clock.read_alerts(spark, f"{base}/out").count() == 1
