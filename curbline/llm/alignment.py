@@ -11,8 +11,8 @@ ids into groups. Within a group a token of A and one of B are linked if their by
 Pieces. Both tokenizers end a token before a single blank, at line breaks and between a
 letter and a mark (``check_pieces`` looks through B's vocabulary; ``tokenfile.word_edges``
 says where), so those are common ends, and a piece of text between two of them has the same
-ids wherever it stands. Each block's distinct pieces are aligned once; documents are
-sums over their pieces.
+ids wherever it stands. Each block's distinct pieces are encoded once, and written as their
+ids; both later steps read those. Documents are sums over their pieces.
 
 Counts. Blocks add up their pairs of linked ids; pairs are summed over the corpus, and
 the counts come back to the blocks that have the pair. One row for each block and pair
@@ -30,8 +30,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
-from typing import NamedTuple
+from functools import cache, cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,24 +44,13 @@ from curbline.llm.blocks import spread, strings, sums, text_bytes
 from curbline.llm.frames import stored
 from curbline.llm.tokenfile import word_edges
 
-#: Bytes of aligned pieces that a worker remembers; beyond, it forgets all but those of the present block.
-REMEMBERED_BYTES = 64 << 20
+#: Pieces that are encoded at a time.
+ENCODED = 20_000
 
 PAIRS = "block long, pair long, n long"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
 
-class Aligned(NamedTuple):
-    """A piece: its numbers of tokens, groups and links, the linked ids as A's id * 2**32 + B's, and the groups as text."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    links: bytes
-    groups: str
-    whole: bool
-
-
 def letters_of_bytes() -> dict[str, int]:
     """The byte that each letter of a byte-level vocabulary stands for: printable bytes are
     their own letters, all others follow each other from 256 on."""
@@ -94,8 +83,20 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(code.fullmatch(p)[1], 16)]) if code.fullmatch(p) else p.replace("▁", " ").encode() for p in pieces]
         self.blank, self.line = self.b.piece_to_id("▁"), self.b.piece_to_id("<0x0A>")
-        self.known: dict[str, Aligned] = {}
-        self.held = 0
+
+    @cached_property
+    def lengths(self) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of each token of both sides, by id."""
+        a = np.zeros(max(self.bytes_a) + 1, np.int64)
+        for number, body in self.bytes_a.items():
+            a[number] = len(body)
+        return a, np.array([len(p) for p in self.bytes_b], np.int64)
+
+    @cached_property
+    def bodies(self) -> tuple[pa.Array, pa.Array]:
+        """The bytes of each token of both sides, by id."""
+        a = [self.bytes_a.get(i, b"") for i in range(max(self.bytes_a) + 1)]
+        return pa.array(a, pa.large_binary()), pa.array(self.bytes_b, pa.large_binary())
 
     def check_pieces(self) -> None:
         """Whether B ends a token wherever pieces are cut."""
@@ -105,65 +106,18 @@ class Pair:
         if wrong or self.b.encode("\nx")[:2] != [self.blank, self.line] or blanks != b"   x ":
             raise ValueError(f"pieces of text are not apart in the second tokenizer: {wrong[:5]}")
 
-    def ids_b(self, piece: str) -> list[int]:
-        if piece.startswith(" "):
-            return self.b.encode(piece[1:])
-        # A line break, which joins nothing, takes the blank that is put in front.
-        return self.b.encode("\n" + piece)[2:]
-
-    def aligned(self, pieces: list[str]) -> list[Aligned]:
-        new = [p for p in pieces if p not in self.known]
-        for begin in range(0, len(new), 20_000):
-            part = new[begin : begin + 20_000]
-            for piece, encoded in zip(part, self.a.encode_batch_fast(part, add_special_tokens=False)):
-                found = self.known[piece] = self.align(piece.encode(), encoded.ids, self.ids_b(piece))
-                self.held += 300 + 4 * len(piece) + len(found.links) + len(found.groups)
-        result = [self.known[p] for p in pieces]
-        if self.held > REMEMBERED_BYTES:
-            self.known, self.held = {}, 0
-        return result
-
-    def align(self, text: bytes, a: list[int], b: list[int]) -> Aligned:
-        parts_a, parts_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(parts_a) != text or b"".join(parts_b) != text:
-            return Aligned(0, 0, 0, b"", "", False)
-        ends_a, ends_b = ends(parts_a), ends(parts_b)
-        common = sorted(ends_a.keys() & ends_b.keys())
-        groups, links, from_a, from_b = [], [], 0, 0
-        for end in common:
-            to_a, to_b = ends_a[end] + 1, ends_b[end] + 1
-            groups.append(",".join(map(str, a[from_a:to_a])) + "|" + ",".join(map(str, b[from_b:to_b])))
-            links += overlaps(a[from_a:to_a], b[from_b:to_b], parts_a[from_a:to_a], parts_b[from_b:to_b])
-            from_a, from_b = to_a, to_b
-        return Aligned(len(a), len(b), len(common), np.array(links, np.int64).tobytes(), ";".join(groups), True)
-
-
-def ends(parts: list[bytes]) -> dict[int, int]:
-    """The index of the token at each end."""
-    found, at = {}, 0
-    for index, part in enumerate(parts):
-        at += len(part)
-        found[at] = index
-    return found
-
-
-def overlaps(a: list[int], b: list[int], parts_a: list[bytes], parts_b: list[bytes]) -> list[int]:
-    """All links of one group. The token that ends first takes no further part."""
-    if len(a) == 1:
-        return [a[0] << 32 | other for other in b]
-    if len(b) == 1:
-        return [other << 32 | b[0] for other in a]
-    links, i, j, end_a, end_b = [], 0, 0, len(parts_a[0]), len(parts_b[0])
-    while True:
-        links.append(a[i] << 32 | b[j])
-        if end_a == end_b:
-            return links  # only the group's end is common
-        if end_a < end_b:
-            i += 1
-            end_a += len(parts_a[i])
-        else:
-            j += 1
-            end_b += len(parts_b[j])
+    def ids(self, pieces: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """For each side all ids, one piece after another, and the number of each piece's."""
+        a = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
+        # A line break, which joins nothing, takes the blank that is put in front of a piece without one.
+        b = self.b.encode([p[1:] if p.startswith(" ") else "\n" + p for p in pieces], num_threads=1) if pieces else []
+        b = [ids if p.startswith(" ") else ids[2:] for p, ids in zip(pieces, b)]
+        return flat(a), flat(b)
+
+
+def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
 
 
 @cache
@@ -180,30 +134,117 @@ def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return strings(data, edges), np.searchsorted(edges, offsets)
 
 
+def encoded(a: str, b: str):
+    """What a parcel keeps of its pieces: the number of A's ids, A's ids and B's ids, 32 bits each; nothing
+    for a piece whose tokens' bytes differ from it."""
+
+    def translate(pieces: pa.Array) -> pa.Array:
+        tools, parts = pair(a, b), []
+        for begin in range(0, len(pieces), ENCODED):
+            own = pieces.slice(begin, ENCODED)
+            sides = tools.ids(own.to_pylist())
+            whole = np.ones(len(own), bool)
+            for (ids, sizes), bodies in zip(sides, tools.bodies):
+                whole &= same_bytes(ids, sizes, bodies, own)
+            (ids_a, n_a), (ids_b, n_b) = sides
+            n_all = 1 + n_a + n_b
+            body, first = np.empty(int(n_all.sum()), np.uint32), np.cumsum(n_all) - n_all
+            body[first] = n_a
+            body[spread(first + 1, n_a)] = ids_a
+            body[spread(first + 1 + n_a, n_b)] = ids_b
+            parts.append((body[np.repeat(whole, n_all)], np.where(whole, n_all, 0)))
+        sizes = np.concatenate([np.empty(0, np.int64), *(s for _, s in parts)])
+        body = np.concatenate([np.empty(0, np.uint32), *(x for x, _ in parts)])
+        return strings(body.view(np.uint8), np.concatenate(([0], np.cumsum(sizes * 4))))
+
+    return translate
+
+
+def same_bytes(ids: np.ndarray, sizes: np.ndarray, bodies: pa.Array, pieces: pa.Array) -> np.ndarray:
+    """Whether the bytes of each piece's tokens, joined, are the piece."""
+    data, edges = text_bytes(pieces)
+    joined = bodies.take(pa.array(ids))
+    lengths = pc.binary_length(joined).to_numpy()
+    found = sums(lengths, np.concatenate(([0], np.cumsum(sizes))))
+    same = found == np.diff(edges)
+    if not len(ids):
+        return same
+    # Of pieces as long as their tokens, the bytes are compared side by side.
+    body = np.frombuffer(joined.buffers()[2], np.uint8)
+    own = body[np.repeat(same, found)]
+    given = data[np.repeat(same, np.diff(edges))]
+    lies = np.flatnonzero(own != given)
+    if len(lies):
+        at = np.flatnonzero(same)
+        same[at[np.searchsorted(np.cumsum(found[at]), lies, side="right")]] = False
+    return same
+
+
 class Block:
-    """A parcel's distinct pieces, aligned."""
+    """A parcel's distinct pieces, aligned.
+
+    All pieces are taken as one text, piece after piece: the end of a piece is a common end.
+    """
 
     def __init__(self, parcel: parcels.Parcel, a: str, b: str):
         self.parcel = parcel
-        self.pieces = pieces = pair(a, b).aligned(parcel.words.to_pylist())
-        bodies = [p.links for p in pieces]
-        self.n_links = np.fromiter(map(len, bodies), np.int64, len(bodies)) // 8
-        self.links = np.frombuffer(b"".join(bodies), np.int64)
-        self.link_edges = np.concatenate(([0], np.cumsum(self.n_links)))
-        odd = ~np.fromiter((p.whole for p in pieces), bool, len(pieces))
+        body = np.frombuffer(parcel.words.buffers()[2], np.uint32).astype(np.int64) if len(parcel.words) else np.empty(0, np.int64)
+        edges = np.frombuffer(parcel.words.buffers()[1], np.int64)[: len(parcel.words) + 1] // 4
+        size, whole = np.diff(edges), np.diff(edges) > 0
+        first = edges[:-1]
+        self.n_a = np.zeros(len(size), np.int64)
+        self.n_a[whole] = body[first[whole]]
+        self.n_b = np.where(whole, size - 1 - self.n_a, 0)
+        self.ids_a = body[spread(first + 1, self.n_a)]
+        self.ids_b = body[spread(first + 1 + self.n_a, self.n_b)]
+        length_a, length_b = pair(a, b).lengths
+        self.align(np.cumsum(length_a[self.ids_a]), np.cumsum(length_b[self.ids_b]))
         #: Whether each text has tokens.
-        self.fine = (sums(odd[parcel.codes], parcel.edges) == 0) & (np.diff(parcel.edges) > 0)
+        self.fine = (sums(~whole[parcel.codes], parcel.edges) == 0) & (np.diff(parcel.edges) > 0)
+
+    def align(self, ends_a: np.ndarray, ends_b: np.ndarray) -> None:
+        """Groups, links, and how many of them each piece has."""
+        index_a, index_b = ({end: i for i, end in enumerate(ends.tolist())} for ends in (ends_a, ends_b))
+        common = sorted(index_a.keys() & index_b.keys())
+        #: The last token of each group on both sides.
+        self.last_a = np.fromiter(map(index_a.__getitem__, common), np.int64, len(common))
+        self.last_b = np.fromiter(map(index_b.__getitem__, common), np.int64, len(common))
+        pieces_a = np.cumsum(self.n_a)
+        self.group_edges = np.searchsorted(self.last_a, np.concatenate(([0], pieces_a)))
+        # Each end, of either side, closes a stretch of bytes that one token of A and one of B share:
+        # every link once, slice after slice.
+        either = np.union1d(ends_a, ends_b)
+        a, b = np.searchsorted(ends_a, either), np.searchsorted(ends_b, either)
+        self.links = self.ids_a[a] << 32 | self.ids_b[b]
+        self.link_edges = np.searchsorted(a, np.concatenate(([0], pieces_a)))
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of linked ids and the number of their links."""
         sizes = np.diff(self.parcel.edges)
         used = self.parcel.codes[np.repeat(self.fine, sizes)]
-        often = np.bincount(used, minlength=len(self.pieces))
+        often = np.bincount(used, minlength=len(self.n_a))
         found, place = np.unique(self.links, return_inverse=True)
         n = np.zeros(len(found), np.int64)
-        np.add.at(n, place, np.repeat(often, self.n_links))
+        np.add.at(n, place, np.repeat(often, np.diff(self.link_edges)))
         return found[n > 0], n[n > 0]
 
+    def group_texts(self) -> pa.Array:
+        """The groups of each piece: ``a1,a2|b1;a3|b2,b3``."""
+        sizes_a, sizes_b = (np.diff(np.concatenate(([-1], last))) for last in (self.last_a, self.last_b))
+        # Ids stand group after group, A's before B's; each is followed by the sign that belongs behind it.
+        at_a = np.arange(len(self.ids_a)) + np.repeat(np.cumsum(sizes_b) - sizes_b, sizes_a)
+        at_b = np.arange(len(self.ids_b)) + np.repeat(np.cumsum(sizes_a), sizes_b)
+        ids, sign = np.empty(len(at_a) + len(at_b), np.int64), np.zeros(len(at_a) + len(at_b), np.int64)
+        ids[at_a], ids[at_b] = self.ids_a, self.ids_b
+        sign[at_a[self.last_a]] = 1
+        sign[at_b[self.last_b]] = 2
+        closing = self.group_edges[1:][np.diff(self.group_edges) > 0] - 1
+        sign[at_b[self.last_b[closing]]] = 3
+        most = int(ids.max(initial=0)) + 1
+        shown = pa.array([f"{i}{s}" for s in (",", "|", ";", "") for i in range(most)])
+        edges = np.concatenate(([0], np.cumsum(self.n_a + self.n_b))).astype(np.int32)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(edges), shown.take(pa.array(sign * most + ids))), "")
+
     def rows(self, counts: dict[str, np.ndarray], most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
         """Rows of the result, about ``most`` pieces at a time."""
         own, edges, fine = self.parcel, self.parcel.edges, self.fine
@@ -216,10 +257,10 @@ class Block:
             there = known[at] == self.links
             count[there] = counts["total"][order][at[there]]
             best[there] = counts["best"][order][at[there]]
-        numbers = [np.fromiter((p[i] for p in self.pieces), np.int64, len(self.pieces)) for i in range(3)]
-        numbers += [self.n_links, sums(best, self.link_edges), sums(count, self.link_edges)]
+        numbers = [self.n_a, self.n_b, np.diff(self.group_edges), np.diff(self.link_edges)]
+        numbers += [sums(best, self.link_edges), sums(count, self.link_edges)]
         columns = [np.where(fine, sums(n[own.codes], edges), 0) for n in numbers]
-        texts = pa.array([p.groups for p in self.pieces], pa.string())
+        texts = self.group_texts()
         row = 0
         while row < len(fine):
             end = max(row + 1, int(np.searchsorted(edges, edges[row] + most, side="right")) - 1)
@@ -267,7 +308,7 @@ def align(docs: DataFrame, a: str, b: str, doc_id: str = "doc_id", text: str = "
     ``a`` is a tokenizers file, ``b`` a SentencePiece file.
     """
     pair(a, b).check_pieces()
-    table = parcels.write(docs, cut, doc_id, text)
+    table = parcels.write(docs, cut, doc_id, text, translate=encoded(a, b))
     pairs = stored(table.mapInArrow(pair_task(a, b), PAIRS), "pairs")
     told = pairs.select("block", "pair").join(counted(pairs), "pair")
     return parcels.with_parcels(table, told).mapInArrow(row_task(a, b), RESULT)

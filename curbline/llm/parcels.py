@@ -36,12 +36,18 @@ class Parcel:
     words: pa.Array
 
 
-def pack_task(cut: Cut, limit: int):
+#: Makes what is stored of each distinct word: as many binary values as there are words.
+Translate = Callable[[pa.Array], pa.Array]
+
+
+def pack_task(cut: Cut, limit: int, translate: Translate | None):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
         for number, batch in enumerate(text_blocks(batches, "text", limit)):
             found, edges = cut(batch.column("text"))
             codes, words = coded(found)
+            if translate is not None:
+                words = translate(words)
             places = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
             letters = words.buffers()[2].to_pybytes()[places[0] : places[-1]] if len(words) else b""
             row = {
@@ -62,10 +68,12 @@ ARROW = pa.schema(
 )
 
 
-def write(docs: DataFrame, cut: Cut, doc_id: str = "doc_id", text: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
-    """The table of parcels of all texts."""
+def write(
+    docs: DataFrame, cut: Cut, doc_id: str = "doc_id", text: str = "text", limit: int = BLOCK_BYTES, translate: Translate | None = None
+) -> DataFrame:
+    """The table of parcels of all texts; ``translate`` says what is kept of a word in the word's stead."""
     rows = narrowed(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return stored(rows.mapInArrow(pack_task(cut, limit), SCHEMA), "parcels")
+    return stored(rows.mapInArrow(pack_task(cut, limit, translate), SCHEMA), "parcels")
 
 
 def read(batch: pa.RecordBatch, row: int) -> Parcel:
