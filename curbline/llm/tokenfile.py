@@ -16,7 +16,7 @@ task that is run again, or twice, leaves the same file.
 
 The encoder cuts texts before single blanks between other characters, where the
 byte-level pattern always ends a word, so a block's distinct words are encoded once and
-kept in a bounded memory of the worker. Null and empty texts have the end id only. An
+kept in a memory of the task that is bounded by bytes. Null and empty texts have the end id only. An
 empty table gives no document and no error. Other columns are ignored. A text of any
 length is one document; the block of text it is in grows to its size.
 """
@@ -26,7 +26,6 @@ from __future__ import annotations
 import posixpath
 import struct
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +40,8 @@ from curbline.llm.frames import a_task_each, attempt_path, narrowed, open_fs, pu
 MAGIC, VERSION = b"CTOK", 1
 HEAD = struct.Struct("<4sHHQ")  # magic, version, bits of an id, ids in a block
 BLOCK_IDS = 1 << 16
-#: Words that a worker remembers with their ids; beyond, it forgets those that the present block doesn't have.
-REMEMBERED = 800_000
+#: Bytes of words and ids that a task remembers; beyond, it forgets all but those of the present block.
+REMEMBERED_BYTES = 32 << 20
 
 
 def bits_for(vocabulary: int) -> int:
@@ -174,49 +173,59 @@ def word_edges(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(edge)
 
 
-@cache
-def _memory(path: str) -> dict[str, bytes]:
-    return {}
+class WordMemory:
+    """Words with their ids. It belongs to one task and goes with it, and is bounded by bytes."""
 
+    #: What Python needs for an entry besides the letters and ids.
+    ENTRY = 200
 
-def known_words(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    def __init__(self, limit: int = REMEMBERED_BYTES):
+        self.limit, self.held = limit, 0
+        self.known: dict[str, bytes] = {}
+
+    def ids(self, words: list[str], path: str) -> list[bytes]:
+        """The ids of each word, 32 bits each."""
+        new = [w for w in words if w not in self.known]
+        for begin in range(0, len(new), 20_000):
+            part = new[begin : begin + 20_000]
+            for word, encoded in zip(part, tokenizer(path).encode_batch_fast(part, add_special_tokens=False)):
+                self.known[word] = ids = np.array(encoded.ids, np.uint32).tobytes()
+                self.held += self.ENTRY + len(word) + len(ids)
+        found = [self.known[w] for w in words]
+        if self.held > self.limit:
+            self.known, self.held = {}, 0
+        return found
+
+
+def known_words(texts: pa.Array, path: str, memory: WordMemory) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     """The word at each place, the first place of each text, the length of each word in ids, and the ids."""
     data, offsets = text_bytes(texts)
     edges = word_edges(data, offsets)
     at, words = coded(strings(data, edges))
-    known, words = _memory(path), words.to_pylist()
-    new = [w for w in words if w not in known]
-    if len(known) + len(new) > REMEMBERED:
-        kept = {w: known[w] for w in words if w in known}
-        known.clear()
-        known.update(kept)
-    for begin in range(0, len(new), 50_000):
-        part = new[begin : begin + 50_000]
-        for word, encoded in zip(part, tokenizer(path).encode_batch_fast(part, add_special_tokens=False)):
-            known[word] = np.array(encoded.ids, np.uint32).tobytes()
-    bodies = [known[w] for w in words]
+    bodies = memory.ids(words.to_pylist(), path)
     each = np.fromiter(map(len, bodies), np.int64, len(bodies)) // 4
     # A text may be empty, so edges are looked up, not counted.
     return at, np.searchsorted(edges, offsets), each, bodies
 
 
-def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(texts: pa.Array, path: str, memory: WordMemory | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts, one after another, and the number of each text's."""
-    at, places, each, bodies = known_words(texts, path)
+    at, places, each, bodies = known_words(texts, path, memory or WordMemory())
     ids = np.frombuffer(b"".join(bodies), np.uint32)
     begins = np.cumsum(each) - each
     return ids[spread(begins[at], each[at])], sums(each[at], places)
 
 
-def count_texts(texts: pa.Array, path: str) -> np.ndarray:
+def count_texts(texts: pa.Array, path: str, memory: WordMemory | None = None) -> np.ndarray:
     """The number of each text's ids."""
-    at, places, each, _ = known_words(texts, path)
+    at, places, each, _ = known_words(texts, path, memory or WordMemory())
     return sums(each[at], places)
 
 
 def write_task(path: str, folder: str, end_id: int, width: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = out = None
+        memory = WordMemory()
         name = f"part-{TaskContext.get().partitionId():06d}.ctok"
         for batch in text_blocks(batches, "text"):
             if writer is None:
@@ -225,7 +234,7 @@ def write_task(path: str, folder: str, end_id: int, width: int):
                 written = attempt_path(where, name)
                 out = filesystem.open_output_stream(written)
                 writer = Writer(out, width)
-            ids, sizes = encode_texts(batch.column("text"), path)
+            ids, sizes = encode_texts(batch.column("text"), path, memory)
             ends = np.cumsum(sizes)
             writer.add(batch.column("doc_id").to_pylist(), sizes + 1, np.insert(ids, ends, end_id))
         if writer is not None:

@@ -146,22 +146,67 @@ def test_counts_match_the_library_in_ties(text, pieces):
 @given(st.lists(st.integers(1, 60), max_size=40))
 def test_best_fit_matches_a_plain_version(sizes):
     sizes, permitted, overhead = sorted(sizes, reverse=True), (16, 32, 64), 4
-    room, filled, left, expected = [], [], sum(sizes), []
-    for size in sizes:
-        fitting = [(r, k) for k, r in enumerate(room) if r >= size]
-        if fitting:
-            _, k = min(fitting)
-        else:
-            k = len(room)
-            room.append(min((c for c in permitted if c >= size), key=lambda c: ((c + overhead) / min(c, left), -c)))
-            filled.append(0)
-        expected.append((k, filled[k]))
-        room[k] -= size
-        filled[k] += size
-        left -= size
-    bins, places, lengths = packing.best_fit(sizes, permitted, overhead)
-    assert list(zip(bins, places)) == expected
-    assert lengths == [min(c for c in permitted if c >= f) for f in filled]
+
+    def price(at, space):
+        room, held = space - sizes[at], sizes[at]
+        for other in sizes[at + 1 :]:
+            if other <= room:
+                room, held = room - other, held + other
+        return (min(c for c in permitted if c >= held) + overhead) / held, -space
+
+    for mix in packing.mixes(permitted):
+        room, filled, expected = [], [], []
+        for at, size in enumerate(sizes):
+            fitting = [(r, k) for k, r in enumerate(room) if r >= size]
+            if fitting:
+                _, k = min(fitting)
+            else:
+                k = len(room)
+                spaces = [c for c in mix if c >= size] or [min(c for c in permitted if c >= size)]
+                room.append(min(spaces, key=lambda c: price(at, c)))
+                filled.append(0)
+            expected.append((k, filled[k]))
+            room[k] -= size
+            filled[k] += size
+        bins, places, lengths = packing.best_fit(sizes, permitted, overhead, mix)
+        assert list(zip(bins, places)) == expected
+        assert lengths == [min(c for c in permitted if c >= f) for f in filled]
+
+
+def least_cost(sizes, permitted, overhead):
+    """The cost of the best of all partitions."""
+    if not sizes:
+        return 0
+    first, rest = sizes[0], sizes[1:]
+    best = None
+    for chosen in range(1 << len(rest)):
+        held = first + sum(s for i, s in enumerate(rest) if chosen >> i & 1)
+        space = min((c for c in permitted if c >= held), default=None)
+        if space is not None:
+            others = [s for i, s in enumerate(rest) if not chosen >> i & 1]
+            own = space + overhead + least_cost(others, permitted, overhead)
+            best = own if best is None else min(best, own)
+    return best
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 60), min_size=1, max_size=6))
+def test_cost_of_small_groups_against_all_partitions(sizes):
+    sizes = sorted(sizes, reverse=True)
+    own = packing.cost(packing.cheapest(sizes, (16, 32, 64), 4)[2], 4)
+    best = least_cost(sizes, (16, 32, 64), 4)
+    assert best <= own <= 1.35 * best
+    assert own <= min(packing.cost(packing.best_fit(sizes, (16, 32, 64), 4, mix)[2], 4) for mix in packing.mixes((16, 32, 64)))
+
+
+def test_lengths_that_are_chosen_jointly_beat_each_single_one():
+    permitted, overhead = (16, 32, 64), 4
+    sizes = [63, 59, 55, 55, 31, 21, 20, 19]
+    joint = packing.cost(packing.cheapest(sizes, permitted, overhead)[2], overhead)
+    single = [packing.cost(packing.best_fit(sizes, permitted, overhead, (c,))[2], overhead) for c in permitted]
+    assert joint < min(single)
+    lengths = packing.cheapest(sizes, permitted, overhead)[2]
+    assert len(set(lengths)) > 1
 
 
 def test_packing_keeps_every_token_once(spark, odd_docs, odd_texts):
