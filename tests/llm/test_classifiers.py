@@ -1,5 +1,7 @@
 """The fitted operators: held-out accuracy, plain versions of their parts, and odd input."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -75,17 +77,58 @@ GRAMMAR = toxicity.Grammar({"idiot": 1.0}, {"lowe": 2.0})
 
 
 @pytest.mark.parametrize(
-    "text, kinds",
+    "text, matches",
     [
-        ("an idiot", {"plain": 1.0}), ("You are an IDIOT!", {"plain": 1.25}), ("he is not an idiot", {"negated": 1.0}),
-        ("not that it matters much, idiot", {"plain": 1.0}), ("not so. idiot", {"plain": 1.0}), ("she said an idiot came", {"reported": 1.25}),
-        ("they said so. idiot", {"plain": 1.0}), ("i will kill you", {"threat": 1.0}), ("kill the process", {}), ("loweisch lowe", {"plain": 2.0}),
-        ("", {}), (None, {}), ("nothing here", {}),
+        ("an idiot", ["plain 1"]), ("You are an IDIOT!", ["plain 1.25"]), ("he is not an idiot", ["negated 1.25"]),
+        ("not that it matters much, idiot", [None, "plain 1"]), ("not so. idiot", [None, "plain 1"]), ("she said an idiot came", ["reported 1.25"]),
+        ("they said so, an idiot came. idiot", [None, "reported 1", "plain 1"]), ("i will kill you", ["threat 1"]), ("kill the process", [None]),
+        ("they attack. you are kind", [None, None]), ("we attack, you are kind", [None, None]), ("attack you and an idiot", ["threat 1", "plain 1"]),
+        ("loweisch lowe und du idiot", ["plain 2", "plain 1.25"]), ("idiot idiot idiot", ["plain 1"]), ("not idiot, idiot", ["negated 1", "plain 1"]),
+        ("ich werde töten dich", ["threat 1"]), ("il a dit idiot", ["reported 1"]), ("", []), ("nothing here", [None]),
     ],
 )
-def test_clauses(text, kinds):
-    got = toxicity.match_table(pa.array([text], pa.string()), GRAMMAR)[0]
-    assert got == pytest.approx([np.log1p(kinds.get(k, 0.0)) for k in toxicity.KINDS])
+def test_a_clause_has_one_match(text, matches):
+    assert [m and f"{m[0]} {m[1]:g}" for m in GRAMMAR.clauses(text)] == matches
+
+
+def test_length_alone_raises_no_score():
+    clean = "Plain words stand here, and others there. " * 3000
+    texts = [None, "", clean, "idiot. " + clean, "idiot. " * 3, "idiot. " * 300, "idiot " * 300, clean + "idiot. " * 3]
+    table = toxicity.match_table(pa.array(texts, pa.string()), GRAMMAR)
+    one, nothing = np.log1p(1.0), [0.0] * len(toxicity.FEATURES)
+    assert table[:3].tolist() == [nothing] * 3
+    assert table[3][:6].tolist() == [one, 0, 0, 0, 0, 0] and table[3][6] < 0.12
+    assert table[4].tolist() == table[5].tolist() == [one, 0, 0, 0, one, one, 1.0]
+    assert table[6].tolist() == [one, 0, 0, 0, 0, 0, 1.0]
+    scores = GRAMMAR.score(table)
+    assert scores[2] == scores[0] and scores[7] < scores[4] and scores[3] < scores[7]
+
+
+def test_composed_machines_say_what_each_says():
+    parts = (toxicity.INSULT, toxicity.TARGET, toxicity.THREAT, toxicity.NEGATION, toxicity.REPORTED)
+    pick = np.random.default_rng(5)
+    for _ in range(200):
+        symbols = pick.choice(["other", "insult", "threat", "target", "negation", "report"], 8).tolist()
+        expected = []
+        for machine in parts:
+            state = machine.start
+            for symbol in symbols:
+                state = machine.step(state, symbol)
+            expected.append(state)
+        assert toxicity.CLAUSE.run(symbols) == tuple(expected)
+
+
+def test_toxicity_query_follows_its_parts(spark):
+    """Scores, folds and predictions of the query are those of the fitted grammar, text by text."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (table(spark, sf, t) for t in ("documents", "labels"))
+    grammar = toxicity.fit(docs, labels)
+    got = {r.doc_id: r for r in catalog.op5_toxicity(spark, sf).collect()}
+    for row in docs.collect():
+        score = float(grammar.score(grammar.features(row.text or "")[None])[0])
+        own = got[row.doc_id]
+        assert own.score == pytest.approx(score) and own.predicted == int(own.score >= 0.7)
+        assert own.held_out == (zlib.crc32(str(row.doc_id).encode()) % 3 == 1)
 
 
 def test_lexicon_needs_different_contexts(spark):
@@ -100,8 +143,12 @@ def test_lexicon_needs_different_contexts(spark):
 def test_odd_rows_are_scored(spark, odd_docs, odd_texts, module):
     labels = table(spark, "/root/testdata/sf0.001", "labels")
     model = module.fit(table(spark, "/root/testdata/sf0.001", "documents"), labels)
-    scores = [r.s for r in odd_docs.select(module.score(F.col("text"), model).alias("s")).collect()]
-    assert len(scores) == len(odd_texts) and all(0 <= s <= 1 for s in scores)
+    rows = odd_docs.select("doc_id", "text", module.score(F.col("text"), model).alias("s")).collect()
+    assert len(rows) == len(odd_texts) and all(0 <= r.s <= 1 for r in rows)
+    by_text = {}
+    for r in rows:  # copies score alike, and no text like an empty one
+        by_text.setdefault(r.text or "", set()).add(r.s)
+    assert all(len(s) == 1 for s in by_text.values())
 
 
 @pytest.mark.parametrize("module", [quality, toxicity])
