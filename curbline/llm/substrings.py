@@ -60,7 +60,7 @@ SAMPLE_BLOCKS, SAMPLE_OF = 16, 64
 SHARD_BYTES = 8 << 20
 
 ROWS = "fp long, cfp long, doc long, start int, block long, n int"
-KNOWN = "block long, fp long, cfp long, kind int"
+KNOWN = "block long, kind int, fps binary, cfps binary"
 CONTENT = "fp long, cfp long, doc long, start int, block long, hashes binary"
 MASKS = "block long, fp long, cfp long, mask long"
 RESULT = "doc_id long, n_words long, n_removed long, removed_from array<int>, removed_to array<int>, text string"
@@ -224,20 +224,42 @@ def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.add.reduceat(n.astype(np.int64), begins)[content]
         kind = np.where(leads, np.where(several, SHARED, LEADER), COPY)
         told = np.flatnonzero(several | (total > 1))
+        # A row for each block and kind, with its hash values side by side: blocks are many rows otherwise.
+        told = told[np.lexsort((kind[told], block[told]))]
+        new = np.ones(len(told), bool)
+        new[1:] = (np.diff(block[told]) != 0) | (np.diff(kind[told]) != 0)
+        begins = np.flatnonzero(new)
+        edges = np.append(begins, len(told))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x[told]) for x in (block, fp, cfp, kind.astype(np.int32))], names=["block", "fp", "cfp", "kind"]
+            [pa.array(block[told[begins]]), pa.array(kind[told[begins]].astype(np.int32)), side_by_side(fp[told], edges), side_by_side(cfp[told], edges)],
+            names=["block", "kind", "fps", "cfps"],
         )
 
 
+def side_by_side(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """The values between neighbouring edges as one column value each."""
+    body = np.ascontiguousarray(values)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * 8).astype(np.int32)), pa.py_buffer(body)])
+
+
+def told(known: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash values and kinds of the groups of a block that ``judge`` has told of."""
+    if not known:
+        return (np.empty(0, np.int64),) * 3
+    fp, cfp = (np.frombuffer(b"".join(known[c]), np.int64) for c in ("fps", "cfps"))
+    return fp, cfp, np.repeat(known["kind"], [len(b) // 8 for b in known["fps"]])
+
+
 def content_task(size: int, hot: np.ndarray):
     """The words of the leaders that others may match in part."""
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for parcel, (known,) in parcels.visits(batches, ("fp", "cfp", "kind")):
-            if not known or not (known["kind"] == SHARED).any():
+        for parcel, (known,) in parcels.visits(batches, ("kind", "fps", "cfps")):
+            fp, cfp, _ = told(known)
+            if not len(fp):
                 continue
-            keyed, asked = Keyed(parcel, size, hot), known["kind"] == SHARED
-            at = keyed.least[keyed.groups_of(known["fp"][asked], known["cfp"][asked])]
+            keyed = Keyed(parcel, size, hot)
+            at = keyed.least[keyed.groups_of(fp, cfp)]
             found = keyed.found
             for begin in range(0, len(at), 20_000):
                 own = at[begin : begin + 20_000]
@@ -299,7 +321,7 @@ def earlier(bodies: pa.Array, doc: pa.Array, start: pa.Array, size: int) -> np.n
 
 def finish_task(size: int, hot: np.ndarray):
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for parcel, (known, masks) in parcels.visits(batches, ("fp", "cfp", "kind"), ("fp", "cfp", "mask")):
+        for parcel, (known, masks) in parcels.visits(batches, ("kind", "fps", "cfps"), ("fp", "cfp", "mask")):
             covered = np.zeros(len(parcel.codes), bool)
             if known:
                 keyed = Keyed(parcel, size, hot)
@@ -312,7 +334,8 @@ def finish_task(size: int, hot: np.ndarray):
 def covered_words(keyed: Keyed, count: int, known: dict, masks: dict, size: int) -> np.ndarray:
     found = keyed.found
     kind = np.full(len(keyed.least), -1)
-    kind[keyed.groups_of(known["fp"], known["cfp"])] = known["kind"]
+    fp, cfp, kinds = told(known)
+    kind[keyed.groups_of(fp, cfp)] = kinds
     some = np.zeros(len(keyed.least), np.int64)
     if masks:
         some[keyed.groups_of(masks["fp"], masks["cfp"])] = masks["mask"]
