@@ -194,27 +194,59 @@ def test_no_vectors(spark):
     assert impact.top_k(frame, F.col("vec_id") % 20 == 0).count() == 0
 
 
-def test_top_k_matches_brute_force(spark, with_clashes, monkeypatch):
-    monkeypatch.setattr(impact, "BLOCK_ROWS", 50)
-    monkeypatch.setattr(impact, "QUERY_ROWS", 5)
-    rows = [(i, v) for i, v in vectors() if i not in (3008, 3009)]
+@pytest.mark.parametrize("block_rows, group_rows, slice_rows", [(50, 5, 3), (16_384, 2_048, 128)])
+def test_top_k_matches_brute_force(spark, with_clashes, monkeypatch, block_rows, group_rows, slice_rows):
+    """Also impacts that doubles can't sum and that don't fit in a long, ties and repeated rows."""
+    monkeypatch.setattr(impact, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(impact, "QUERY_ROWS", group_rows)
+    monkeypatch.setattr(impact, "SLICE", slice_rows)
+    pick = np.random.default_rng(8)
+    rows = vectors() + [(5000 + i, (pick.standard_normal(16) * 10.0 ** pick.integers(3, 12)).tolist()) for i in range(40)]
+    rows += [(6000, [300_000.0, 1.0]), (6005, [6.0, 1.0]), (6010, [-1e300, 2.0]), (6015, [2.0**40, 2.0**-6]), (6020, [2.0**40, 0.0])]
     frame = with_clashes(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3))
     got = impact.top_k(frame, F.col("vec_id") % 5 == 0, k=7).collect()
-    real = [(i, np.floor(64 * np.array(v)).astype(np.int64)) for i, v in rows if i is not None and fit_vector(v)]
+    largest = np.finfo(np.float64).max
+    real = [
+        (i, [int(x) for x in np.clip(np.floor(64 * np.array(v, np.float64)), -largest, largest).tolist()]) for i, v in rows if i is not None and fit_vector(v)
+    ]
     expected = []
     for a, (i, v) in enumerate(real):
         if i % 5 == 0:
-            best = sorted((-int(v @ w), j) for b, (j, w) in enumerate(real) if b != a and len(v) == len(w))[:7]
-            expected += [(i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
+            scores = [(-sum(x * y for x, y in zip(v, w)), j) for b, (j, w) in enumerate(real) if b != a and len(v) == len(w)]
+            expected += [(i, r, j, max(-(2**63), min(2**63 - 1, -s))) for r, (s, j) in enumerate(sorted(scores)[:7], 1)]
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(expected)
+    assert (6000, 1, 6020, 2**63 - 1) not in got and any(r.query_id == 6000 and r.vec_id == 6005 and r.score == 7_372_804_096 for r in got)
 
 
 def test_the_search_stops_on_proof_and_stays_exact():
     pick = np.random.default_rng(2)
-    matrix = np.floor(64 * pick.standard_normal((600, 8)) ** 3).astype(np.int32)
+    matrix = np.floor(64 * pick.standard_normal((600, 8)) ** 3)
     index, ids = impact.Index(matrix), np.arange(600)
-    for own in (-1, 3):
-        rows, scores = index.top(matrix[3], 10, own, ids)
-        exact = matrix.astype(np.int64) @ matrix[3]
-        order = [r for r in np.lexsort((ids, -exact)) if r != own][:10]
-        assert rows.tolist() == order and scores.tolist() == exact[order].tolist()
+    looked = []
+    for segment, unmet, limit in index.segments:
+        looked.append(limit)
+    assert looked == sorted(looked, reverse=True) and sum(s for s, _, _ in index.segments).tolist() == matrix.tolist()
+    queries = np.concatenate((matrix[3:9], matrix[:1]))
+    for own in (np.full(7, -1), np.array([3, 4, 5, 6, 7, 8, 0])):
+        query, row, score = index.top(queries, 10, own, np.full(7, -np.inf))
+        best = impact.best_of(query, row, score, ids, np.zeros(600, int), 10)
+        for number in range(7):
+            exact = matrix @ queries[number]
+            order = [r for r in np.lexsort((ids, -exact)) if r != own[number]][:10]
+            mine = best[query[best] == number]
+            assert row[mine].tolist() == order and score[mine].tolist() == exact[order].tolist()
+
+
+def test_few_rows_are_scored_when_impacts_differ_much():
+    """Where some impacts are much larger than the rest, the proof comes after the first segments."""
+    pick = np.random.default_rng(3)
+    matrix = np.floor(pick.standard_normal((4000, 32)) * 2.0)
+    for row in range(4000):
+        matrix[row, pick.integers(0, 32, 4)] = np.floor(2000 * pick.standard_normal(4))
+    index = impact.Index(matrix)
+    query, row, _ = index.top(matrix[:50], 20, np.arange(50), np.full(50, -np.inf))
+    assert len(row) < 0.2 * 50 * 4000
+    for number in range(50):
+        exact = matrix @ matrix[number]
+        exact[number] = -np.inf
+        assert set(np.argsort(-exact, kind="stable")[:20]) <= set(row[query == number])
