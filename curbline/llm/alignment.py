@@ -44,8 +44,8 @@ from curbline.llm.blocks import spread, strings, sums, text_bytes
 from curbline.llm.frames import stored
 from curbline.llm.tokenfile import word_edges
 
-#: Pieces that are encoded at a time.
-ENCODED = 20_000
+#: Pieces that are encoded at a time, and bytes of text in a block.
+ENCODED, BLOCK = 20_000, 4 << 20
 
 PAIRS = "block long, pair long, n long"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
@@ -308,7 +308,7 @@ def align(docs: DataFrame, a: str, b: str, doc_id: str = "doc_id", text: str = "
     ``a`` is a tokenizers file, ``b`` a SentencePiece file.
     """
     pair(a, b).check_pieces()
-    table = parcels.write(docs, cut, doc_id, text, translate=encoded(a, b))
+    table = parcels.write(docs, cut, doc_id, text, BLOCK, encoded(a, b))
     pairs = stored(table.mapInArrow(pair_task(a, b), PAIRS), "pairs")
     told = pairs.select("block", "pair").join(counted(pairs), "pair")
     return parcels.with_parcels(table, told).mapInArrow(row_task(a, b), RESULT)
