@@ -54,9 +54,9 @@ from curbline.llm.blocks import (
 from curbline.llm.blocks import words as words_of
 from curbline.llm.frames import narrowed
 
-#: Groups of words. A task encodes some whole groups and holds the words of one at a time;
-#: for a corpus of 100 TB raise it, so that a group's distinct words fit.
-PARTS = 512
+#: Bytes of input for a group of words, and groups at least. A task encodes some whole groups and holds the
+#: distinct words of one at a time, so groups follow the size of the input.
+PART_BYTES, PARTS = 128 << 20, 512
 
 WORDS = "block long, part int, start int, count int, body binary"
 TEXTS = "block long, start int, count int, doc_ids array<long>, sizes array<int>, groups binary, body binary"
@@ -249,11 +249,11 @@ def documents(doc_ids, sizes, at, each, ids, most: int = 1 << 20) -> Iterator[pa
         row = end
 
 
-def with_ids(docs: DataFrame, path: str, doc_id: str, text: str, parts: int, finish, schema: str) -> DataFrame:
+def with_ids(docs: DataFrame, path: str, doc_id: str, text: str, parts: int | None, finish, schema: str) -> DataFrame:
     """What ``finish`` makes of the batches of ``doc_id`` and ``ids``, in the tasks that put them together."""
     if not words_are_apart(path):
         raise ValueError(f"the ids of {path} aren't those of words")
-    kind = narrow_kind(tokenizer(path).get_vocab_size(with_added_tokens=True))
+    kind, parts = narrow_kind(tokenizer(path).get_vocab_size(with_added_tokens=True)), parts or parts_of(docs)
     rows = narrowed(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     words = rows.mapInArrow(cut_words(parts), WORDS).repartition("part").sortWithinPartitions("part")
     ids = words.mapInArrow(encode_words(path, kind), IDS)
@@ -263,12 +263,18 @@ def with_ids(docs: DataFrame, path: str, doc_id: str, text: str, parts: int, fin
     return both.mapInArrow(lambda batches: finish(put(batches)), schema)
 
 
-def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", parts: int = PARTS) -> DataFrame:
+def parts_of(docs: DataFrame) -> int:
+    """Groups of words for an input of this size, as Spark's plan estimates it from its files."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return max(PARTS, min(size // PART_BYTES, 1 << 24))
+
+
+def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
     """``doc_id`` and ``ids`` (array<int>) of each document, as the tokenizer file at ``path`` has them."""
     return with_ids(docs, path, doc_id, text, parts, lambda batches: batches, "doc_id long, ids array<int>")
 
 
-def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", parts: int = PARTS) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
     """``decode`` of ``encode``, joined in the same tasks: ``doc_id``, ``ids`` and the ``text`` that they decode to."""
     return with_ids(docs, path, doc_id, text, parts, join_pieces(*pieces(path)), "doc_id long, ids array<int>, text string")
 
