@@ -27,6 +27,9 @@ METRIC_KEYS = (
     "processed_rows_per_second",
 )
 
+# The members that are read as text.
+TEXT_KEYS = ("name", "dataset", "state", "status", "pipeline_id", "pipeline_name", "update_id", "flow_name", "dataset_name")
+
 # Flow names that map to a layer by themselves.
 CHECK_FLOWS = (
     "trips_enriched_with_rejection_reasons",
@@ -52,6 +55,32 @@ def value_text(json: Column) -> Column:
     return F.get_json_object(F.concat(F.lit('{"v":'), json, F.lit("}")), "$.v")
 
 
+def decoded_text(json: Column) -> Column:
+    """The text of a JSON value; a string that holds JSON text is replaced by that text."""
+    own = F.try_variant_get(F.try_parse_json(F.when(F.ltrim(json).startswith('"'), json)), "$", "string")
+    return F.when(F.ltrim(json).startswith('"'), own).otherwise(json)
+
+
+def is_plain(json_object: Column, parsed: Column) -> Column:
+    """Whether a document is an object that was parsed, has no member that was encoded a second time, and has
+    text where text is read.
+
+    A variant orders its keys, refuses repeated ones and writes numbers in its own way; such documents, and encoded members, are
+    left to the reading of text.
+    """
+    whole = parsed.isNotNull() & F.ltrim(json_object).startswith("{")
+    encoded = r'"\s*[\[{]'
+    untyped = rf'"(?:{"|".join(TEXT_KEYS)})"\s*:\s*(?!null)[^"\s]'
+    return F.coalesce(whole & ~json_object.rlike(f"{encoded}|{untyped}"), F.lit(False))
+
+
+def number_of(parsed: Column, path: str) -> Column:
+    """A member as a double if it is a JSON number; text and booleans are no numbers."""
+    member = F.try_variant_get(parsed, path, "variant")
+    kind = F.schema_of_variant(member)
+    return F.when(~kind.isin("STRING", "BOOLEAN", "VOID") & ~kind.startswith("OBJECT") & ~kind.startswith("ARRAY"), F.try_variant_get(parsed, path, "double"))
+
+
 NUMBER = r"(-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false)"
 
 

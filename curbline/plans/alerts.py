@@ -47,41 +47,65 @@ QUALITY = "expectations array<string>"
 ENTRY = "name string, dataset string, passed_records double, failed_records double"
 
 
-def normalized_events(log: DataFrame) -> DataFrame:
-    """Parsed and cleaned columns of the two event types that matter, one row per event.
+#: The flow's name in the details; the origin's is ``__flow_name``.
+NAME_IN_DETAILS = "__named_in_details"
+ORIGIN_FIELDS = ("pipeline_id", "pipeline_name", "update_id", "flow_name", "dataset_name")
+
+
+def parsed_documents(log: DataFrame) -> DataFrame:
+    """The two documents of an event, each parsed once, as columns of the fields that are read.
 
-    Each JSON level is parsed once, in a projection of its own.
+    A document that is a plain object is parsed as a variant, and its members are read from that
+    with their types. What a variant can't hold as it is (a repeated key), and what has a member that was encoded
+    a second time, is read as text, level by level; those rows alone are parsed that way. Metrics are the first in the order of
+    the document, which a variant doesn't keep, so they are found in its text.
     """
-    parsed = (
-        log.withColumn("event_type", text.squeezed(F.col("event_type"), 80))
-        .where(F.col("event_type").isin(*EVENT_TYPES))
-        .withColumns(
-            {
-                "__origin": F.from_json(ev.value_text(F.col("origin")), ORIGIN),
-                "__text": ev.object_text(F.col("details")),
-            }
-        )
-        .withColumns(
-            {
-                "__details": F.from_json("__text", DETAILS),
-                "__metric_keys": ev.metric_matches(F.col("__text"), 1),
-                "__metric_values": ev.metric_matches(F.col("__text"), 2),
-            }
-        )
-        .withColumns(
-            {
-                "__flow": F.from_json("__details.flow_progress", PROGRESS),
-                "__update": F.from_json("__details.update_progress", PROGRESS),
-            }
-        )
+    plain, both = F.col("__plain"), F.col("__plain_origin")
+    decoded = log.withColumns(
+        {"__o_text": ev.decoded_text(F.col("origin")), "__d_text": ev.decoded_text(ev.decoded_text(F.col("details")))}
+    )
+    parsed = decoded.withColumns({"__o": F.try_parse_json("__o_text"), "__d": F.try_parse_json("__d_text")}).withColumns(
+        {"__plain_origin": ev.is_plain(F.col("__o_text"), F.col("__o")), "__plain": ev.is_plain(F.col("__d_text"), F.col("__d"))}
     )
-    flow_name = _first_text(
-        F.col("__origin.flow_name"), F.col("__origin.dataset_name"), F.col("__flow.name")
+    # The reading of text sees the other rows only.
+    text_rows = parsed.withColumns(
+        {
+            "__old_origin": F.from_json(ev.value_text(F.when(~both, F.col("origin"))), ORIGIN),
+            "__text": F.when(plain, F.col("__d_text")).otherwise(ev.object_text(F.when(~plain, F.col("details")))),
+        }
+    ).withColumn("__details", F.from_json(F.when(~plain, F.col("__text")), DETAILS))
+    levels = text_rows.withColumns(
+        {
+            "__flow": F.from_json("__details.flow_progress", PROGRESS),
+            "__update": F.from_json("__details.update_progress", PROGRESS),
+            "__metric_keys": ev.metric_matches(F.col("__text"), 1),
+            "__metric_values": ev.metric_matches(F.col("__text"), 2),
+        }
     )
-    states = [
-        _first_text(F.col(f"{part}.state"), F.col(f"{part}.status"))
-        for part in ("__flow", "__update")
-    ]
+
+    def member(document: str, path: str) -> Column:
+        return F.try_variant_get(document, path, "string")
+
+    fields = {
+        f"__{name}": F.when(both, member("__o", f"$.{name}")).otherwise(F.col(f"__old_origin.{name}")) for name in ORIGIN_FIELDS
+    }
+    for part in ("flow", "update"):
+        for name in ("name", "state", "status"):
+            fields[NAME_IN_DETAILS if (part, name) == ("flow", "name") else f"__{part}_{name}"] = F.when(plain, member("__d", f"$.{part}_progress.{name}")).otherwise(F.col(f"__{part}.{name}"))
+    items = F.try_variant_get("__d", "$.flow_progress.data_quality.expectations", "array<variant>")
+    fields["__entries"] = F.when(plain, _entries_of_variants(items)).otherwise(_entries_of_text(F.col("__flow.data_quality")))
+    return levels.withColumns(fields)
+
+
+def normalized_events(log: DataFrame) -> DataFrame:
+    """Parsed and cleaned columns of the two event types that matter, one row per event.
+
+    Each document is parsed once, see ``parsed_documents``.
+    """
+    listed = log.withColumn("event_type", text.squeezed(F.col("event_type"), 80)).where(F.col("event_type").isin(*EVENT_TYPES))
+    parsed = parsed_documents(listed)
+    flow_name = _first_text(F.col("__flow_name"), F.col("__dataset_name"), F.col(NAME_IN_DETAILS))
+    states = [_first_text(F.col(f"__{part}_state"), F.col(f"__{part}_status")) for part in ("flow", "update")]
     state = F.when(F.col("event_type") == "flow_progress", states[0]).otherwise(states[1])
     keys, values = F.col("__metric_keys"), F.col("__metric_values")
     return (
@@ -89,16 +113,16 @@ def normalized_events(log: DataFrame) -> DataFrame:
             delivery_key().alias("delivery_key"),
             text.squeezed(F.col("id"), 120).alias("event_id"),
             "event_type",
-            text.squeezed(F.col("__origin.pipeline_id"), 100).alias("pipeline_id"),
-            text.squeezed(F.col("__origin.pipeline_name"), 160).alias("pipeline_name"),
-            text.squeezed(F.col("__origin.update_id"), 100).alias("update_id"),
+            text.squeezed(F.col("__pipeline_id"), 100).alias("pipeline_id"),
+            text.squeezed(F.col("__pipeline_name"), 160).alias("pipeline_name"),
+            text.squeezed(F.col("__update_id"), 100).alias("update_id"),
             text.squeezed(flow_name, 160).alias("flow_name"),
             F.upper(text.squeezed(state, 50)).alias("state"),
             ev.event_instant(F.col("timestamp")).alias("event_time"),
             text.squeezed(F.col("timestamp"), 80).alias("event_time_text"),
             text.squeezed(F.col("message"), 500).alias("event_message"),
             *[ev.first_metric(keys, values, key).alias(key) for key in ev.METRIC_KEYS],
-            _expectations(F.col("__flow.data_quality")).alias("expectations"),
+            _with_ratios(F.col("__entries")).alias("expectations"),
         )
         .withColumn("flow_key", ev.short_flow_name(F.col("flow_name")))
         .withColumn("layer", ev.flow_layer(F.col("flow_key")))
@@ -126,15 +150,34 @@ def _first_text(*candidates: Column) -> Column:
     return F.coalesce(*[text.blank_to_null(c) for c in candidates])
 
 
-def _expectations(data_quality: Column) -> Column:
-    """Expectation counts as an array of structs; entries without numbers are left out."""
-    items = F.from_json(data_quality, QUALITY)["expectations"]
-    entries = F.transform(
-        F.coalesce(items, F.array().cast("array<string>")), lambda item: F.from_json(item, ENTRY)
+def _entry(name: Column, dataset: Column, passed: Column, failed: Column) -> Column:
+    return F.struct(name.alias("name"), dataset.alias("dataset"), passed.alias("passed_records"), failed.alias("failed_records"))
+
+
+def _entries_of_variants(items: Column) -> Column:
+    """The entries of an expectations list as structs; counts that are no numbers are NULL."""
+    return F.transform(
+        items,
+        lambda e: _entry(
+            F.try_variant_get(e, "$.name", "string"), F.try_variant_get(e, "$.dataset", "string"),
+            ev.number_of(e, "$.passed_records"), ev.number_of(e, "$.failed_records"),
+        ),
     )
+
+
+def _entries_of_text(data_quality: Column) -> Column:
+    """The same, from text whose levels may each be encoded a second time."""
+    items = F.from_json(data_quality, QUALITY)["expectations"]
+    entries = F.transform(items, lambda item: F.from_json(item, ENTRY))
+    return F.transform(entries, lambda e: _entry(e["name"], e["dataset"], e["passed_records"], e["failed_records"]))
+
+
+def _with_ratios(entries: Column) -> Column:
+    """Expectation counts as an array of structs; entries without numbers are left out."""
+    none = F.array().cast("array<struct<name:string,dataset:string,passed_records:double,failed_records:double>>")
     counted = F.transform(
         F.filter(
-            entries,
+            F.coalesce(entries, none),
             lambda e: e["passed_records"].isNotNull() & e["failed_records"].isNotNull(),
         ),
         lambda e: F.struct(

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from curbline.operators import enrich, quality
 from curbline.operators.cuboids import write_cuboids
+from curbline.operators.layout import clustered
 from curbline.operators.flow_timings import with_flow_timings, with_output_rate
 from curbline.plans import alerts, marts, widgets
 from curbline.session import new_work_dir
@@ -48,7 +49,7 @@ def stored(
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, sf_dir, "raw_trips", lambda: derived.trips(spark, sf_dir))
+    return stored(spark, sf_dir, "raw_trips", lambda: clustered(derived.trips(spark, sf_dir), ["tpep_pickup_datetime"]))
 
 
 def accepted_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,7 @@ def accepted_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         sf_dir,
         "accepted_trips",
+        # Raw trips are in order of pickup already, so each file covers some days.
         lambda: enrich.accepted_trips(raw_trips(spark, sf_dir), rules),
     )
 
@@ -80,7 +82,8 @@ def cube(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, sf_dir, "event_log", lambda: derived.event_log(spark, sf_dir))
+    # In order of the text of their time: files of equal volume, whose parsing is as many tasks.
+    return stored(spark, sf_dir, "event_log", lambda: clustered(derived.event_log(spark, sf_dir), ["timestamp", "id"]))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

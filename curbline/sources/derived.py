@@ -174,7 +174,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pipeline event per ``events`` row, with ``origin`` and ``details`` as JSON text.
 
     Covers the odd cases: names under other keys or missing, state under another key or in
-    lower case, text encoded twice, cut-off text, unreadable and zone-less times.
+    lower case, keys that repeat, text encoded twice, cut-off text, unreadable and zone-less times.
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         F.col("event_id").alias("n"),
@@ -274,6 +274,8 @@ def _progress() -> Column:
             "state": F.when(n % 2 == 0, _quoted(F.col("state"))).otherwise('""'),
             "status": F.when(n % 2 == 1, _quoted(F.lower("state"))),
             "planned": F.when(n % 13 == 0, F.lit('{"num_output_rows":null}')),
+            # A key that repeats: no variant holds it, the reading of text does.
+            "note": F.when(n % 10 == 0, F.lit('"first","note":"second"')),
             "metrics": F.when(F.col("kind") == "purchase", metrics),
             "totals": F.when(
                 (F.col("kind") == "purchase") & (n % 6 == 0), F.lit('[{"num_output_rows":999}]')

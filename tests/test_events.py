@@ -273,3 +273,58 @@ def test_one_hot_hour_of_one_flow_is_spread(spark):
     expected, _ = folded(rows)
     got = {r.event_id: r.observed_duration_seconds for r in with_flow_timings(frame, ranges=8).collect() if r.observed_duration_seconds}
     assert got == pytest.approx({k: d for k, (d, _) in expected.items() if d})
+
+
+# --- documents read as variants equal those read as text ---------------------------------
+
+
+def odd_documents(seed, count):
+    rng = random.Random(seed)
+    words = ["a", "", " b  c", "{x", "[", "\\", '"', "é", "null", "5", "-1.5", None, True, False, 5, -0.5, 1e3, 12345678901234567890]
+    value = lambda: rng.choice(words) if rng.random() < 0.15 else rng.choice(["a", "", "Running", " b  c", None])
+
+    def entry():
+        own = {k: value() for k in ("name", "dataset", "passed_records", "failed_records") if rng.random() < 0.9}
+        if rng.random() < 0.5:
+            own |= {"passed_records": rng.randrange(9), "failed_records": rng.random()}
+        return rng.choice([own, own, own, json.dumps(own), value(), [own]])
+
+    def progress():
+        own = {k: value() for k in ("name", "state", "status", "other") if rng.random() < 0.7}
+        own["data_quality"] = rng.choice([{"expectations": [entry() for _ in range(rng.randrange(4))]}, value(), {"expectations": value()}])
+        if rng.random() < 0.2:
+            own["data_quality"] = json.dumps(own["data_quality"])
+        return rng.choice([own, own, own, json.dumps(own), value()])
+
+    def twice(text):
+        for _ in range(rng.choice([0, 0, 0, 1, 1, 2, 3])):
+            text = json.dumps(text)
+        return text if rng.random() < 0.95 else text[: rng.randrange(len(text) + 1)]
+
+    rows = []
+    for number in range(count):
+        origin = {k: value() for k in alerts.ORIGIN_FIELDS if rng.random() < 0.7}
+        details = {"flow_progress": progress(), "update_progress": progress(), "x": {"num_output_rows": value()}}
+        own, other = json.dumps(origin), json.dumps(details, ensure_ascii=rng.random() < 0.5)
+        if rng.random() < 0.2:
+            other = other[:-1] + ',"x":{"num_output_rows":3},"update_progress":{"state":"again"}}'
+        rows.append((str(number), rng.choice(alerts.EVENT_TYPES), "2026-01-01", "m", twice(own), twice(other)))
+    return rows + [("n", "flow_progress", None, None, None, None), ("e", "flow_progress", "", "", "", " ")]
+
+
+def test_variants_read_what_text_reads(spark, monkeypatch):
+    log = spark.createDataFrame(odd_documents(1, 600), LOG)
+    by_variant = alerts.normalized_events(log).collect()
+    plain = alerts.parsed_documents(log).agg(F.count_if("__plain"), F.count_if("__plain_origin"), F.count("*")).first()
+    assert 50 < plain[0] < plain[2] and 50 < plain[1] < plain[2]
+    monkeypatch.setattr(ev, "is_plain", lambda text, parsed: F.lit(False))
+    by_text = alerts.normalized_events(log).collect()
+    for one, other in zip(sorted(by_variant, key=lambda r: r.event_id), sorted(by_text, key=lambda r: r.event_id)):
+        assert one == other
+
+
+def test_repeated_keys_are_read_as_text(spark):
+    details = '{"flow_progress":{"state":"QUEUED","note":1,"note":2,"metrics":{"num_output_rows":4}}}'
+    log = spark.createDataFrame([("1", "flow_progress", "", "", '{"flow_name":"a.f","flow_name":"a.g"}', details)], LOG)
+    (row,) = alerts.normalized_events(log).collect()
+    assert (row.state, row.num_output_rows) == ("QUEUED", 4.0) and row.flow_name in ("a.f", "a.g")
