@@ -49,7 +49,8 @@ def _quoted(name: str) -> str:
 def _cast(df: DataFrame, name: str, wanted: T.DataType) -> tuple[Column, Column]:
     """The value as ``wanted``, and whether nothing is lost by that.
 
-    A value fits if casting it back gives the same value; text fits if it can be read.
+    A value fits if casting it back gives the same value; text fits if it can be read, also if
+    the value would be written otherwise ("007" is read as 7).
     Types between which Spark knows no cast never fit.
     """
     own, kind = F.col(_quoted(name)), df.schema[name].dataType
