@@ -6,8 +6,9 @@ see ``NAMES``. The trees are fitted in numpy on a bounded sample of labelled row
 pass, without a shuffle. Language, source and ids are no inputs.
 
 Null and empty texts have all statistics 0 and the score that follows. Without labels
-every score is 0.5. Rows are scored one by one, so repeated rows score alike. An empty
-table gives an empty table. A text of any length is one row.
+every score is 0.5. Rows are scored one by one, so repeated rows score alike. ``doc_id`` is no input of a score and
+may be null; columns other than the named ones are ignored. What a score of exactly the caller's limit means is the
+caller's to say; the query takes it as good. An empty table gives an empty table. A text of any length is one row.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ _CLASSES = {
 }
 NAMES = (
     "log_bytes", "log_words", *_CLASSES, "word_bytes", "log_longest_word", "words_per_stop", "distinct_words", "distinct_pairs",
-    "repeats", "commonest_gap", "log_lines", "distinct_lines", "words_per_line", "lines_ended",
+    "repeats", "log_repeats", "log_lines", "distinct_lines", "words_per_line", "lines_ended",
 )
 
 

@@ -23,7 +23,8 @@ Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z is lower-cased. A text of fewer tha
 words has one shingle, its whole sequence; one without words, null or empty, has none
 and is linked with nothing. Rows of one ``doc_id`` are one document: its links are those
 of all its texts, and each row is returned. A row without ``doc_id`` is linked with nothing and not kept. An
-empty table gives an empty table. Other columns are ignored.
+empty table gives an empty table. A text of any length is one row with its whole set; the block it is in and
+the cell that its set is compared in grow to its size. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -252,7 +252,8 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = 0, doc_id:
     """Files of the ids below ``folder``; returns their table: ``file``, ``documents``, ``ids``."""
     width = bits_for(tokenizer(path).get_vocab_size(with_added_tokens=True))
     rows = narrowed(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one id, or of none, are cut by the beginnings of their texts.
+    ordered = rows.repartitionByRange("doc_id", F.left("text", F.lit(64))).sortWithinPartitions("doc_id", "text")
     return stored(ordered.mapInArrow(write_task(path, folder, end_id, width), "file string, documents long, ids long"), "token-files")
 
 

@@ -13,7 +13,8 @@ unknown pieces count as one.
 
 Words repeat, so a block's distinct words are counted once, and a worker remembers a
 bounded number of them. There is no shuffle. Null and empty texts have no pieces and
-score 0. Repeated rows are counted each. A text of any length is one row.
+score 0. Repeated rows are counted each, and a null ``doc_id`` is kept. A text of any length is one row, and so is a
+word of any length. An empty table gives an empty table. Columns other than the named ones are ignored.
 """
 
 from __future__ import annotations

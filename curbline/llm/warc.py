@@ -291,7 +291,7 @@ def record_rows(files: list[str]) -> Iterator[dict]:
 
 
 def read_records(files: DataFrame) -> DataFrame:
-    """One row for each record of the archives; responses are checked against their digests."""
+    """One row for each record of the archives; a response that differs from its digest is an error."""
     def read(batches):
         for batch in batches:
             yield from batched(record_rows(batch.column("file").to_pylist()), RECORDS_ARROW)
