@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,22 +27,23 @@ LISTING = "landed_files"
 FOLDER_DDL = "path string, is_folder boolean, bytes long, modified timestamp"
 
 
-def _children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What lies right below each folder."""
     from pyarrow import fs
 
     for batch in batches:
-        for folder in batch["path"]:
+        for folder in batch.column("path").to_pylist():
             store, inner = open_fs(folder)
             found = store.get_file_info(fs.FileSelector(inner, allow_not_found=True))
             prefix = folder.rstrip("/")
-            yield pd.DataFrame(
-                {
-                    "path": [f"{prefix}/{f.base_name}" for f in found],
-                    "is_folder": [f.type == fs.FileType.Directory for f in found],
-                    "bytes": pd.array([f.size if f.type == fs.FileType.File else None for f in found], "Int64"),
-                    "modified": pd.to_datetime([f.mtime for f in found], utc=True),
-                }
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([f"{prefix}/{f.base_name}" for f in found], pa.string()),
+                    pa.array([f.type == fs.FileType.Directory for f in found], pa.bool_()),
+                    pa.array([f.size if f.type == fs.FileType.File else None for f in found], pa.int64()),
+                    pa.array([f.mtime for f in found], pa.timestamp("us", "UTC")),
+                ],
+                names=["path", "is_folder", "bytes", "modified"],
             )
 
 
@@ -55,7 +57,7 @@ def landed_files(spark: SparkSession, root: str, ending: str = ".parquet") -> Da
     level = spark.createDataFrame([(storage.qualified(spark, root),)], "path string")
     depth = 0
     while True:
-        below = level.repartition("path").mapInPandas(_children, FOLDER_DDL)
+        below = level.repartition("path").mapInArrow(_children, FOLDER_DDL)
         name = F.substring_index("path", "/", -1)
         below.where(~name.startswith("_") & ~name.startswith(".")).write.parquet(f"{base}/depth={depth}")
         found = spark.read.schema(FOLDER_DDL).parquet(f"{base}/depth={depth}")
