@@ -193,7 +193,9 @@ class WordMemory:
                 self.held += self.ENTRY + len(word) + len(ids)
         found = [self.known[w] for w in words]
         if self.held > self.limit:
-            self.known, self.held = {}, 0
+            # What the present block has is likely to be in the next one.
+            self.known = dict(zip(words, found))
+            self.held = sum(self.ENTRY + len(w) + len(ids) for w, ids in self.known.items())
         return found
 
 
