@@ -239,12 +239,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
         lambda band: F.xxhash64(band, F.substring(F.col("sketch"), band * width + 1, F.lit(width))),
     )
     banded = classes.select(F.col("rep").alias("node"), F.explode(bands).alias("key"))
-    buckets = banded.groupBy("key").agg(
+    # Most keys are one class's own: they are counted and gone before anything else is asked of a bucket.
+    shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
+    met = stored(banded.join(shared, "key"), "met")
+    buckets = met.groupBy("key").agg(
         F.count("*").alias("size"), F.min("node").alias("pivot"), F.bit_xor(F.xxhash64("node")).alias("sum")
     )
     # Buckets of the same members are worked once.
-    apart = stored(buckets.where("size > 1").groupBy("size", "pivot", "sum").agg(F.min("key").alias("key")).select("key"), "buckets")
-    members = stored(banded.join(apart, "key").withColumn("weight", F.lit(1)), "members")
+    apart = stored(buckets.groupBy("size", "pivot", "sum").agg(F.min("key").alias("key")).select("key"), "buckets")
+    members = stored(met.join(apart, "key").withColumn("weight", F.lit(1)), "members")
     of_class = classes.select(F.col("rep").alias("node"), "digest", "n", "sketch")
     candidates = links_in_groups(members, by_registers(percent / 100, count), lambda cells: cells.join(of_class, "node"))
     groups = stored(components(candidates), "candidates")
@@ -265,8 +268,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     reached = stored(components(found.unionByName(also)), "components")
 
     # Only classes of several rows need to be looked up; all others are their own.
-    shared = stored(classes.where("copies > 1").select("digest", "rep"), "copies")
-    named = sketches.select("doc_id", "n", "digest").join(shared, "digest", "left").withColumn("node", F.coalesce("rep", F.when(F.col("n") > 0, F.col("doc_id"))))
+    copied = stored(classes.where("copies > 1").select("digest", "rep"), "copies")
+    named = sketches.select("doc_id", "n", "digest").join(copied, "digest", "left").withColumn("node", F.coalesce("rep", F.when(F.col("n") > 0, F.col("doc_id"))))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return named.join(reached, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
