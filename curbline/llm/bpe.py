@@ -54,7 +54,7 @@ from curbline.llm.blocks import (
 from curbline.llm.blocks import words as words_of
 from curbline.llm.frames import narrowed
 
-#: Bytes of input for a group of words, and groups at least. A task encodes some whole groups and holds the
+#: Bytes of text for a group of words, and groups at least. A task encodes some whole groups and holds the
 #: distinct words of one at a time, so groups follow the size of the input.
 PART_BYTES, PARTS = 128 << 20, 512
 
@@ -253,8 +253,8 @@ def with_ids(docs: DataFrame, path: str, doc_id: str, text: str, parts: int | No
     """What ``finish`` makes of the batches of ``doc_id`` and ``ids``, in the tasks that put them together."""
     if not words_are_apart(path):
         raise ValueError(f"the ids of {path} aren't those of words")
-    kind, parts = narrow_kind(tokenizer(path).get_vocab_size(with_added_tokens=True)), parts or parts_of(docs)
     rows = narrowed(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
+    kind, parts = narrow_kind(tokenizer(path).get_vocab_size(with_added_tokens=True)), parts or parts_of(rows)
     words = rows.mapInArrow(cut_words(parts), WORDS).repartition("part").sortWithinPartitions("part")
     ids = words.mapInArrow(encode_words(path, kind), IDS)
     texts = rows.mapInArrow(cut_texts(parts), TEXTS)
@@ -263,9 +263,9 @@ def with_ids(docs: DataFrame, path: str, doc_id: str, text: str, parts: int | No
     return both.mapInArrow(lambda batches: finish(put(batches)), schema)
 
 
-def parts_of(docs: DataFrame) -> int:
-    """Groups of words for an input of this size, as Spark's plan estimates it from its files."""
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+def parts_of(rows: DataFrame) -> int:
+    """Groups of words for texts of this size, which is summed up wherever the rows come from."""
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     return max(PARTS, min(size // PART_BYTES, 1 << 24))
 
 

@@ -36,6 +36,15 @@ def test_bpe_of_no_documents(no_docs):
     assert bpe.decode(bpe.encode(no_docs, WORDS), WORDS).count() == 0
 
 
+def test_bpe_chooses_its_groups_by_the_bytes_of_the_texts(spark, odd_docs, odd_texts, monkeypatch):
+    docs = stored(odd_docs, "odd")
+    assert bpe.parts_of(docs) == bpe.PARTS == bpe.parts_of(spark.createDataFrame(odd_texts, "doc_id long, text string"))
+    monkeypatch.setattr(bpe, "PART_BYTES", 1000)
+    assert bpe.parts_of(docs) == sum(len((t or "").encode()) for _, t in odd_texts) // 1000 > bpe.PARTS
+    chosen, given_parts = bpe.round_trip(docs, WORDS), bpe.round_trip(docs, WORDS, parts=7)
+    assert ordered(chosen.collect()) == ordered(given_parts.collect())
+
+
 def test_bpe_refuses_a_tokenizer_whose_white_space_matters(odd_docs):
     with pytest.raises(ValueError):
         bpe.encode(odd_docs, BYTES)
