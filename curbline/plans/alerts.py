@@ -45,6 +45,11 @@ DETAILS = "flow_progress string, update_progress string"
 PROGRESS = "name string, state string, status string, data_quality string"
 QUALITY = "expectations array<string>"
 ENTRY = "name string, dataset string, passed_records double, failed_records double"
+# The same levels at once, for a document in which none was encoded a second time.
+WHOLE = (
+    "flow_progress struct<name: string, state: string, status: string, data_quality: struct<expectations: array<string>>>,"
+    " update_progress struct<name: string, state: string, status: string>"
+)
 
 
 #: The flow's name in the details; the origin's is ``__flow_name``.
@@ -55,26 +60,33 @@ ORIGIN_FIELDS = ("pipeline_id", "pipeline_name", "update_id", "flow_name", "data
 def parsed_documents(log: DataFrame) -> DataFrame:
     """The two documents of an event, each parsed once, as columns of the fields that are read.
 
-    A document that is a plain object is parsed as a variant, and its members are read from that
-    with their types. What a variant can't hold as it is (a repeated key), and what has a member that was encoded
-    a second time, is read as text, level by level; those rows alone are parsed that way. Metrics are the first in the order of
-    the document, which a variant doesn't keep, so they are found in its text.
+    A document that is a plain object is read level below level in one go. A document with a repeated key, or with a member that
+    was encoded a second time, is read as text, level by level; those rows alone are parsed that way. Both go by
+    the same rules, so a document gives the same fields either way. Metrics are the first in the order of
+    the document, so they are found in its text.
     """
     plain, both = F.col("__plain"), F.col("__plain_origin")
     decoded = log.withColumns(
         {"__o_text": ev.decoded_text(F.col("origin")), "__d_text": ev.decoded_text(ev.decoded_text(F.col("details")))}
     )
-    parsed = decoded.withColumns({"__o": F.try_parse_json("__o_text"), "__d": F.try_parse_json("__d_text")}).withColumns(
-        {"__plain_origin": ev.is_plain(F.col("__o_text"), F.col("__o")), "__plain": ev.is_plain(F.col("__d_text"), F.col("__d"))}
+    parsed = decoded.withColumns(
+        {
+            "__plain_origin": ev.is_plain(F.col("__o_text"), F.try_parse_json("__o_text")),
+            "__plain": ev.is_plain(F.col("__d_text"), F.try_parse_json("__d_text")),
+        }
     )
-    # The reading of text sees the other rows only.
-    text_rows = parsed.withColumns(
+    # The reading of text sees the other rows only. Inputs are named as seldom as can be: over a plain view, Catalyst
+    # multiplies them when it pushes filters through.
+    read = parsed.withColumns(
         {
-            "__old_origin": F.from_json(ev.value_text(F.when(~both, F.col("origin"))), ORIGIN),
-            "__text": F.when(plain, F.col("__d_text")).otherwise(ev.object_text(F.when(~plain, F.col("details")))),
+            "__origin": F.from_json(F.when(both, F.col("__o_text")).otherwise(ev.value_text(F.col("origin"))), ORIGIN),
+            "__whole": F.from_json("__d_text", WHOLE),
+            "__object": ev.object_text(F.when(~plain, F.col("details"))),
         }
-    ).withColumn("__details", F.from_json(F.when(~plain, F.col("__text")), DETAILS))
-    levels = text_rows.withColumns(
+    ).withColumns(
+        {"__details": F.from_json("__object", DETAILS), "__text": F.when(plain, F.col("__d_text")).otherwise(F.col("__object"))}
+    )
+    levels = read.withColumns(
         {
             "__flow": F.from_json("__details.flow_progress", PROGRESS),
             "__update": F.from_json("__details.update_progress", PROGRESS),
@@ -82,18 +94,13 @@ def parsed_documents(log: DataFrame) -> DataFrame:
             "__metric_values": ev.metric_matches(F.col("__text"), 2),
         }
     )
-
-    def member(document: str, path: str) -> Column:
-        return F.try_variant_get(document, path, "string")
-
-    fields = {
-        f"__{name}": F.when(both, member("__o", f"$.{name}")).otherwise(F.col(f"__old_origin.{name}")) for name in ORIGIN_FIELDS
-    }
+    fields = {f"__{name}": F.col(f"__origin.{name}") for name in ORIGIN_FIELDS}
     for part in ("flow", "update"):
         for name in ("name", "state", "status"):
-            fields[NAME_IN_DETAILS if (part, name) == ("flow", "name") else f"__{part}_{name}"] = F.when(plain, member("__d", f"$.{part}_progress.{name}")).otherwise(F.col(f"__{part}.{name}"))
-    items = F.try_variant_get("__d", "$.flow_progress.data_quality.expectations", "array<variant>")
-    fields["__entries"] = F.when(plain, _entries_of_variants(items)).otherwise(_entries_of_text(F.col("__flow.data_quality")))
+            found = F.when(plain, F.col(f"__whole.{part}_progress.{name}")).otherwise(F.col(f"__{part}.{name}"))
+            fields[NAME_IN_DETAILS if (part, name) == ("flow", "name") else f"__{part}_{name}"] = found
+    quality = F.from_json("__flow.data_quality", QUALITY)["expectations"]
+    fields["__entries"] = F.when(plain, F.col("__whole.flow_progress.data_quality.expectations")).otherwise(quality)
     return levels.withColumns(fields)
 
 
@@ -150,48 +157,22 @@ def _first_text(*candidates: Column) -> Column:
     return F.coalesce(*[text.blank_to_null(c) for c in candidates])
 
 
-def _entry(name: Column, dataset: Column, passed: Column, failed: Column) -> Column:
-    return F.struct(name.alias("name"), dataset.alias("dataset"), passed.alias("passed_records"), failed.alias("failed_records"))
-
+def _with_ratios(entries: Column) -> Column:
+    """Expectation counts of JSON entries as an array of structs; entries without numbers are left out.
 
-def _entries_of_variants(items: Column) -> Column:
-    """The entries of an expectations list as structs; counts that are no numbers are NULL."""
+    Text that spells a number, or none such as NaN, is no number.
+    """
+    none = F.array().cast("array<string>")
+    read = F.transform(F.coalesce(entries, none), lambda item: F.from_json(item, ENTRY, {"allowNonNumericNumbers": "false"}))
+    numbered = F.filter(read, lambda e: e["passed_records"].isNotNull() & e["failed_records"].isNotNull())
     return F.transform(
-        items,
-        lambda e: _entry(
-            F.try_variant_get(e, "$.name", "string"), F.try_variant_get(e, "$.dataset", "string"),
-            ev.number_of(e, "$.passed_records"), ev.number_of(e, "$.failed_records"),
-        ),
-    )
-
-
-def _entries_of_text(data_quality: Column) -> Column:
-    """The same, from text whose levels may each be encoded a second time."""
-    items = F.from_json(data_quality, QUALITY)["expectations"]
-    entries = F.transform(items, lambda item: F.from_json(item, ENTRY))
-    return F.transform(entries, lambda e: _entry(e["name"], e["dataset"], e["passed_records"], e["failed_records"]))
-
-
-def _with_ratios(entries: Column) -> Column:
-    """Expectation counts as an array of structs; entries without numbers are left out."""
-    none = F.array().cast("array<struct<name:string,dataset:string,passed_records:double,failed_records:double>>")
-    counted = F.transform(
-        F.filter(
-            F.coalesce(entries, none),
-            lambda e: e["passed_records"].isNotNull() & e["failed_records"].isNotNull(),
-        ),
+        numbered,
         lambda e: F.struct(
             text.squeezed(e["name"], 120).alias("name"),
             text.squeezed(e["dataset"], 120).alias("dataset"),
             e["passed_records"].alias("passed_records"),
             e["failed_records"].alias("failed_records"),
-        ),
-    )
-    return F.transform(
-        counted,
-        lambda e: e.withField(
-            "failure_ratio",
-            F.try_divide(e.failed_records, e.passed_records + e.failed_records),
+            F.try_divide(e["failed_records"], e["passed_records"] + e["failed_records"]).alias("failure_ratio"),
         ),
     )
 

@@ -83,7 +83,9 @@ def cube(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     # In order of the text of their time: files of equal volume, whose parsing is as many tasks.
-    return stored(spark, sf_dir, "event_log", lambda: clustered(derived.event_log(spark, sf_dir), ["timestamp", "id"]))
+    return stored(
+        spark, sf_dir, "event_log", lambda: derived.event_log(spark, sf_dir, lambda rows: clustered(rows, derived.LOG_ORDER))
+    )
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from curbline.functions import events as ev
 from curbline.functions import text
 from curbline.operators.flow_timings import STATE_DDL, fold, running_clocks, with_flow_timings
 from curbline.plans import alerts
+from curbline.sources import derived
 
 LOG = "id string, event_type string, timestamp string, message string, origin string, details string"
 SETTINGS = alerts.AlertSettings(
@@ -328,3 +329,27 @@ def test_repeated_keys_are_read_as_text(spark):
     log = spark.createDataFrame([("1", "flow_progress", "", "", '{"flow_name":"a.f","flow_name":"a.g"}', details)], LOG)
     (row,) = alerts.normalized_events(log).collect()
     assert (row.state, row.num_output_rows) == ("QUEUED", 4.0) and row.flow_name in ("a.f", "a.g")
+
+
+def test_documents_with_numbers_for_text_are_read_in_one_go(spark):
+    entry = {"name": 7, "passed_records": "NaN", "failed_records": 1}
+    details = {"flow_progress": {"state": 5, "data_quality": {"expectations": [entry, {**entry, "passed_records": 3}]}}}
+    texts = [json.dumps(details), json.dumps(json.dumps(details)), json.dumps({"flow_progress": json.dumps(details["flow_progress"])})]
+    log = spark.createDataFrame([(str(n), "flow_progress", "", "", '{"flow_name":8}', t) for n, t in enumerate(texts)], LOG)
+    assert [r["__plain"] for r in alerts.parsed_documents(log).orderBy("id").collect()] == [True, True, False]
+    for row in alerts.normalized_events(log).collect():
+        assert (row.flow_name, row.state) == ("8", "5")
+        assert [(e.name, e.failure_ratio) for e in row.expectations] == [("7", 0.25)]
+
+
+def test_the_log_is_ordered_before_its_text_is_made(spark, sf_dir):
+    seen = []
+
+    def arranged(rows):
+        seen.extend(rows.columns)
+        return rows.repartitionByRange(3, *derived.LOG_ORDER)
+
+    ordered = derived.event_log(spark, sf_dir, arranged)
+    assert not {"origin", "details", "message", "timestamp"} & set(seen)
+    plain = derived.event_log(spark, sf_dir)
+    assert ordered.exceptAll(plain).isEmpty() and plain.exceptAll(ordered).isEmpty()
