@@ -49,7 +49,9 @@ def stored(
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, sf_dir, "raw_trips", lambda: clustered(derived.trips(spark, sf_dir), ["tpep_pickup_datetime"]))
+    return stored(
+        spark, sf_dir, "raw_trips", lambda: derived.trips(spark, sf_dir, lambda rows: clustered(rows, derived.TRIP_ORDER))
+    )
 
 
 def accepted_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

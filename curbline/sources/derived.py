@@ -15,8 +15,17 @@ from pyspark.sql import functions as F
 ZONE_COUNT = 263
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw trip per ``lineitem`` row, some of them bad on purpose."""
+#: Order of the trips by pickup, in terms of the rows that they are made from.
+TRIP_ORDER = ("pickup",)
+
+
+def trips(
+    spark: SparkSession, sf_dir: str, arranged: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
+    """One raw trip per ``lineitem`` row, some of them bad on purpose.
+
+    ``arranged`` may order the rows by ``TRIP_ORDER`` before their columns are made, so that a shuffle carries a few numbers.
+    """
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
     )
@@ -38,6 +47,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN h % 97 = 0 THEN 0 WHEN h % 83 = 0 THEN 12000 WHEN h % 79 = 0 THEN -30"
         " ELSE 60 + h % 5400 END"
     )
+    hashed = arranged(hashed.withColumn("pickup", F.expr(pickup)))
+    pickup = "pickup"
     columns = {
         "VendorID": "cast(1 + h % 2 AS int)",
         "tpep_pickup_datetime": pickup,

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from curbline.operators.layout import publish_table
 from curbline.plans import tables
 from curbline.session import new_work_dir, shared_dir
-from curbline.sources import files, landing, rescue, storage
+from curbline.sources import derived, files, landing, rescue, storage
 from curbline.sources import trips as trip_files
 from curbline.sources.lake import Lake
 
@@ -166,3 +166,16 @@ def test_missing_months_come_from_names(spark):
     gaps = sorted((r.s, r.month) for r in landing.missing_files(files, 2025, 3, by=["s"]).collect())
     assert gaps == [(1, 2), (2, 1), (2, 2), (2, 3)]
     assert sorted(r.month for r in landing.missing_files(files, 2025, 3).collect()) == [2]
+
+
+def test_trips_are_ordered_before_their_columns_are_made(spark, sf_dir):
+    seen = []
+
+    def arranged(rows):
+        seen.extend(rows.columns)
+        return rows.repartitionByRange(3, *derived.TRIP_ORDER)
+
+    ordered = derived.trips(spark, sf_dir, arranged)
+    assert len(seen) < len(ordered.columns) / 2
+    plain = derived.trips(spark, sf_dir)
+    assert ordered.exceptAll(plain).isEmpty() and plain.exceptAll(ordered).isEmpty()
