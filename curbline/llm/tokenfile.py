@@ -26,6 +26,8 @@ from __future__ import annotations
 import posixpath
 import struct
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ HEAD = struct.Struct("<4sHHQ")  # magic, version, bits of an id, ids in a block
 BLOCK_IDS = 1 << 16
 #: Bytes of words and ids that a task remembers; beyond, it forgets all but those of the present block.
 REMEMBERED_BYTES = 32 << 20
+#: Words that are encoded as one text, and words whose ids are Python lists at a time.
+JOINED, AT_ONCE = 64, 4096
 
 
 def bits_for(vocabulary: int) -> int:
@@ -173,6 +177,43 @@ def word_edges(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(edge)
 
 
+@cache
+def mark_between(path: str) -> tuple[str, int] | None:
+    """A text that ends a word on either side and has an id of its own, with that id; none if the file has no such token."""
+    known = tokenizer(path)
+    added = known.get_added_tokens_decoder()
+    if len(added) != 1 or known.normalizer is not None:
+        return None
+    ((number, token),) = added.items()
+    # One that could begin within another would be found in its neighbour.
+    whole = not any(token.content.startswith(token.content[k:]) for k in range(1, len(token.content)))
+    apart = not (token.lstrip or token.rstrip or token.single_word or token.normalized)
+    return (token.content, number) if whole and apart else None
+
+
+def encode_words(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words, one after another, and the number of each word's.
+
+    Words are encoded ``JOINED`` at a time with a mark between them, as most of a short
+    text's time goes into what is done once for each text. Where a word has the mark's
+    id itself, there are too many of them, and each word is encoded alone.
+    """
+    known, mark = tokenizer(path), mark_between(path)
+    if mark is not None:
+        content, number = mark
+        texts = [content.join(words[k : k + JOINED]) for k in range(0, len(words), JOINED)]
+        ids = listed_ids([e.ids + [number] for e in known.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.flatnonzero(ids == number)
+        if len(ends) == len(words):
+            return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+    found = [e.ids for e in known.encode_batch_fast(words, add_special_tokens=False)]
+    return listed_ids(found), np.fromiter(map(len, found), np.int64, len(found))
+
+
+def listed_ids(found: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(found), np.uint32)
+
+
 class WordMemory:
     """Words with their ids. It belongs to one task and goes with it, and is bounded by bytes."""
 
@@ -181,47 +222,63 @@ class WordMemory:
 
     def __init__(self, limit: int = REMEMBERED_BYTES):
         self.limit, self.held = limit, 0
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, int] = {}
+        #: The ids of all known words, one after another, and the number of each word's.
+        self.ids, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64)
 
-    def ids(self, words: list[str], path: str) -> list[bytes]:
-        """The ids of each word, 32 bits each."""
-        new = [w for w in words if w not in self.known]
-        for begin in range(0, len(new), 20_000):
-            part = new[begin : begin + 20_000]
-            for word, encoded in zip(part, tokenizer(path).encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = ids = np.array(encoded.ids, np.uint32).tobytes()
-                self.held += self.ENTRY + len(word) + len(ids)
-        found = [self.known[w] for w in words]
+    def numbers(self, words: list[str], path: str) -> np.ndarray:
+        """The number of each of these distinct words, which holds until the next call."""
         if self.held > self.limit:
-            # What the present block has is likely to be in the next one.
-            self.known = dict(zip(words, found))
-            self.held = sum(self.ENTRY + len(w) + len(ids) for w, ids in self.known.items())
-        return found
-
-
-def known_words(texts: pa.Array, path: str, memory: WordMemory) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """The word at each place, the first place of each text, the length of each word in ids, and the ids."""
+            self._forget([w for w in words if w in self.known])
+        new = [w for w in words if w not in self.known]
+        ids, sizes = [self.ids], [self.sizes]
+        for begin in range(0, len(new), AT_ONCE):
+            found = encode_words(new[begin : begin + AT_ONCE], path)
+            ids.append(found[0])
+            sizes.append(found[1])
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.held += self._bytes(new) + sum(part.nbytes for part in ids[1:])
+        self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
+        return np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
+
+    def _forget(self, wanted: list[str]) -> None:
+        """Leave these alone: those of the present block, which are likely to be in the next one too."""
+        at = np.fromiter(map(self.known.__getitem__, wanted), np.int32, len(wanted))
+        self.ids, self.sizes = self.of(at), self.sizes[at]
+        self.known = dict(zip(wanted, range(len(wanted))))
+        self.held = self._bytes(wanted) + self.ids.nbytes
+
+    def _bytes(self, words: list[str]) -> int:
+        return self.ENTRY * len(words) + sum(map(len, words))
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of words by their numbers, one after another."""
+        begins = np.cumsum(self.sizes) - self.sizes
+        return self.ids[spread(begins[numbers], self.sizes[numbers])]
+
+
+def known_words(texts: pa.Array, path: str, memory: WordMemory) -> tuple[np.ndarray, np.ndarray]:
+    """The number in ``memory`` of the word at each place, and the first place of each text."""
     data, offsets = text_bytes(texts)
     edges = word_edges(data, offsets)
     at, words = coded(strings(data, edges))
-    bodies = memory.ids(words.to_pylist(), path)
-    each = np.fromiter(map(len, bodies), np.int64, len(bodies)) // 4
+    numbers = memory.numbers(words.to_numpy(zero_copy_only=False).tolist(), path)
     # A text may be empty, so edges are looked up, not counted.
-    return at, np.searchsorted(edges, offsets), each, bodies
+    return numbers[at], np.searchsorted(edges, offsets)
 
 
 def encode_texts(texts: pa.Array, path: str, memory: WordMemory | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts, one after another, and the number of each text's."""
-    at, places, each, bodies = known_words(texts, path, memory or WordMemory())
-    ids = np.frombuffer(b"".join(bodies), np.uint32)
-    begins = np.cumsum(each) - each
-    return ids[spread(begins[at], each[at])], sums(each[at], places)
+    memory = memory or WordMemory()
+    at, places = known_words(texts, path, memory)
+    return memory.of(at), sums(memory.sizes[at], places)
 
 
 def count_texts(texts: pa.Array, path: str, memory: WordMemory | None = None) -> np.ndarray:
     """The number of each text's ids."""
-    at, places, each, _ = known_words(texts, path, memory or WordMemory())
-    return sums(each[at], places)
+    memory = memory or WordMemory()
+    at, places = known_words(texts, path, memory)
+    return sums(memory.sizes[at], places)
 
 
 def write_task(path: str, folder: str, end_id: int, width: int):

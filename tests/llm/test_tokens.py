@@ -66,6 +66,52 @@ def test_words_have_the_ids_of_the_text(texts):
     assert tokenfile.count_texts(pa.array(texts, pa.string()), BYTES).tolist() == sizes.tolist()
 
 
+class Counting:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, known):
+        self.known, self.texts = known, 0
+
+    def __getattr__(self, name):
+        return getattr(self.known, name)
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.known.encode_batch_fast(texts, **options)
+
+
+def test_new_words_are_encoded_many_at_a_time(monkeypatch):
+    counting = Counting(bpe.tokenizer(BYTES))
+    monkeypatch.setattr(tokenfile, "tokenizer", lambda path: counting)
+    text = " ".join(f"w{i}x" for i in range(10_000))
+    ids, sizes = tokenfile.encode_texts(pa.array([text, None, text]), BYTES)
+    expected = counting.known.encode(text, add_special_tokens=False).ids
+    assert counting.texts < 500
+    assert ids.tolist() == expected * 2 and sizes.tolist() == [len(expected), 0, len(expected)]
+
+
+@pytest.mark.parametrize("words", [["a", "<|endoftext|>", " b"], ["<|endoftext|", "|>", "<", "<|endoftext|><|endoftext|>"], ["x<|endoftext|>y"], [" z"], []])
+def test_words_that_hold_the_mark_have_their_own_ids(words):
+    known = Tokenizer.from_file(BYTES)
+    assert tokenfile.mark_between(BYTES) == ("<|endoftext|>", 50256)
+    ids, sizes = tokenfile.encode_words(words, BYTES)
+    expected = [known.encode(w, add_special_tokens=False).ids for w in words]
+    assert sizes.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+
+
+@pytest.mark.parametrize("limit", [0, 30_000, 1 << 20])
+def test_a_memory_that_forgets_gives_the_same_ids(limit):
+    memory, known = tokenfile.WordMemory(limit), Tokenizer.from_file(BYTES)
+    for block in range(5):
+        texts = [" ".join(f"w{i}é" for i in range(block * 50, block * 50 + 100)), "", "same <|endoftext|> words"]
+        ids, sizes = tokenfile.encode_texts(pa.array(texts), BYTES, memory)
+        expected = [known.encode(t, add_special_tokens=False).ids for t in texts]
+        assert sizes.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+        assert len(memory.known) == len(memory.sizes) and memory.sizes.sum() == len(memory.ids)
+        # What is over the limit goes before the next block's words come.
+        assert limit or len(memory.known) <= 110
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(TEXTS, min_size=1, max_size=6))
 def test_cut_words_have_the_ids_of_the_text(texts):
