@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curbline.llm import packing, quality, setsketch, toxicity
-from curbline.llm.frames import field, stored, table
+from curbline.llm.frames import field, parted_by_ids, stored, table
 
 #: A document with at least this score of being toxic goes, and so does one with less than this of being good.
 TOXIC, GOOD = 0.7, 0.7
@@ -39,18 +39,23 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest ``doc_id`` of each group stays; of rows that repeat it, the one with the smallest text."""
     found = stored(setsketch.near_duplicates(docs, percent=SIMILAR), "near-duplicates").where("doc_id is not null")
-    left = docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*map(field, docs.columns))
+    names = [*map(field, docs.columns)]
+
+    def others(rows: DataFrame, ids: DataFrame) -> DataFrame:
+        few, rest = parted_by_ids(rows, "doc_id", ids)
+        return rest.select(*names).unionByName(few.join(ids, "doc_id", "left_anti").select(*names))
+
+    left = others(docs, found.where("not kept").select("doc_id").distinct())
     again = stored(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     if again.isEmpty():
         return left
-    names = [*map(field, docs.columns)]
     # As a struct, so that no column of ``docs`` meets one of these names.
-    whole = left.join(again, "doc_id", "left_semi").select(
+    whole = parted_by_ids(left, "doc_id", again)[0].join(again, "doc_id", "left_semi").select(
         F.struct(*names).alias("row"), field("doc_id").alias("id"), field("text").alias("text")
     )
     first = F.row_number().over(Window.partitionBy("id").orderBy("text"))
     one = whole.withColumn("place", first).where("place = 1").select("row.*")
-    return left.join(again, "doc_id", "left_anti").select(*names).unionByName(one)
+    return others(left, again).unionByName(one)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from curbline.llm.blocks import coded, hashed, spread, text_blocks, text_bytes
 from curbline.llm.blocks import words as split_words
-from curbline.llm.frames import narrowed, stored
+from curbline.llm.frames import narrowed, parted_by_ids, stored
 from curbline.llm.graph import components, links_in_groups
 
 SHINGLE_WORDS = 5
@@ -255,7 +255,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     wanted = stored(groups.join(of_class.drop("sketch"), "node"), "wanted")
     renamed = texts.select(F.col("doc_id").alias("node"), "text")
     ids = wanted.select("node").distinct()
-    sets = renamed.join(ids, "node", "left_semi").mapInArrow(set_task, "node long, digest binary, shingles binary")
+    # Texts of other nodes don't leave their tasks.
+    few, _ = parted_by_ids(renamed, "node", ids)
+    sets = few.join(ids, "node", "left_semi").mapInArrow(set_task, "node long, digest binary, shingles binary")
     sets = stored(sets.join(wanted.select("node", "digest"), ["node", "digest"], "left_semi").dropDuplicates(["node", "digest"]), "sets")
     found = links_in_groups(
         wanted.select(F.col("component").alias("key"), "node", F.col("n").alias("weight")),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbline.llm import labelled, packing, quality, setsketch, toxicity
-from curbline.llm.frames import stored, table
+from curbline.llm.frames import parted_by_ids, stored, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -68,3 +68,46 @@ def test_an_empty_table_stays_empty(spark, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def shuffled(plan: str) -> list[str]:
+    """What is below each hash shuffle of a plan."""
+    lines = [line for line in plan.splitlines() if "#" in line]
+    depth = [len(line) - len(line.lstrip(" :+-*(0123456789)")) for line in lines]
+    found = []
+    for at, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            end = next((k for k in range(at + 1, len(lines)) if depth[k] <= depth[at]), len(lines))
+            found.append("\n".join(lines[at:end]))
+    return found
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_texts_that_stay_are_not_shuffled(spark, no_broadcast, capsys):
+    texts = [(i, " ".join(f"w{i * 31 + k}" for k in range(40))) for i in range(500)]
+    docs = stored(spark.createDataFrame([*texts, *((1000 + i, t) for i, t in texts[:20])], "doc_id long, text string"), "docs")
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    left.explain()
+    of_texts = [part for part in shuffled(capsys.readouterr().out) if "text#" in part]
+    assert of_texts and all("LeftSemi" in part for part in of_texts)
+    assert sorted(map(tuple, left.collect())) == texts
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 10, 1 << 24])
+def test_rows_are_parted_by_ids(spark, no_broadcast, with_clashes, bits):
+    rows = with_clashes(spark.createDataFrame([(i if i % 50 else None, str(i)) for i in range(2000)], "`a.b` long, mark string"))
+    ids = spark.createDataFrame([(i,) for i in [None, *range(1, 4000, 200), 5_000_000_000]], "word long")
+    few, rest = parted_by_ids(rows, "a.b", ids, bits)
+    assert few.columns == rest.columns == rows.columns
+    few, rest = ([r.mark for r in part.select("mark").collect()] for part in (few, rest))
+    assert sorted(few + rest, key=int) == [str(i) for i in range(2000)]
+    assert {str(i) for i in range(1, 2000, 200)} <= set(few)
+    assert len(few) < {64: 2000, 1 << 10: 200, 1 << 24: 60}[bits]
